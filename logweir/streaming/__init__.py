@@ -1,0 +1,6 @@
+"""Empty on purpose: the unit of work is a finished day.
+
+No row of a day can be kept before the whole day is known, since a request in
+the evening can still mark its address for the morning. New days are picked up
+by running :func:`logweir.run` again, which skips what is there.
+"""
