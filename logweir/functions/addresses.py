@@ -10,10 +10,24 @@ from pyspark.sql import functions as F
 # a trailing line break; White_Space, because Java's `\s` is ASCII only.
 MASKED_IPV4 = r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.[^.\s\p{IsWhite_Space}]+\z"
 
-# Dotted quad with every octet in 0..255 and no leading zero.
-STRICT_IPV4 = (
-    r"^(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\z"
-)
+# An octet in 0..255 without leading zero.
+_OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+STRICT_IPV4 = rf"^(?:{_OCTET}\.){{3}}{_OCTET}\z"
+STRICT_MASKED_IPV4 = rf"^(?:{_OCTET}\.){{3}}[^.\s\p{{IsWhite_Space}}]+\z"
+
+
+def _weighted_octets(address: Column, weights: tuple[int, ...]) -> Column:
+    total = None
+    for n, weight in enumerate(weights, start=1):
+        text = F.substring_index(F.substring_index(address, ".", n), ".", -1)
+        value = text.cast("bigint") * F.lit(weight).cast("bigint")
+        total = value if total is None else total + value
+    return total
+
+
+def _or_error(value: Column, address: Column) -> Column:
+    message = F.concat(F.lit("not an IPv4 address: "), address)
+    return value.when(address.isNotNull(), F.raise_error(message).cast("bigint"))
 
 
 def clean_ip(ip: Column) -> Column:
@@ -25,24 +39,20 @@ def clean_ip(ip: Column) -> Column:
     )
 
 
+def clean_ip_to_long(ip: Column, strict: bool = False) -> Column:
+    """Integer of the address that :func:`clean_ip` gives, straight from the log
+    text: the same as ``ipv4_to_long(clean_ip(ip))`` in a much smaller plan."""
+    number = _weighted_octets(ip, (16777216, 65536, 256))
+    result = F.when(ip.rlike(STRICT_MASKED_IPV4), number)
+    return _or_error(result, clean_ip(ip)) if strict else result
+
+
 def ipv4_to_long(address: Column, strict: bool = False) -> Column:
     """Dotted quad -> integer (network order), null -> null.
 
     Text that is no valid address (octet over 255, leading zero) gives null,
     or an error when ``strict`` is set.
     """
-    octets = [
-        F.substring_index(F.substring_index(address, ".", n), ".", -1).cast("bigint")
-        for n in (1, 2, 3, 4)
-    ]
-    value = (
-        octets[0] * F.lit(16777216)
-        + octets[1] * F.lit(65536)
-        + octets[2] * F.lit(256)
-        + octets[3]
-    )
-    result = F.when(address.rlike(STRICT_IPV4), value)
-    if strict:
-        message = F.concat(F.lit("not an IPv4 address: "), address)
-        result = result.when(address.isNotNull(), F.raise_error(message).cast("bigint"))
-    return result
+    number = _weighted_octets(address, (16777216, 65536, 256, 1))
+    result = F.when(address.rlike(STRICT_IPV4), number)
+    return _or_error(result, address) if strict else result

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweir.functions.addresses import clean_ip, ipv4_to_long
+from logweir.functions.addresses import clean_ip, clean_ip_to_long
 from logweir.operators.columns import add_missing_column, conform
 from logweir.schemas import ATTEMPTED, LOCATIONS
 
@@ -18,8 +18,9 @@ _LEVELS = (16, 12, 8, 4, 0)
 
 def with_clean_ip(log: DataFrame, strict: bool = False) -> DataFrame:
     """Add `cleaned_ip` and `cleaned_ip_int`."""
-    return log.withColumn("cleaned_ip", clean_ip(F.col("ip"))).withColumn(
-        "cleaned_ip_int", ipv4_to_long(F.col("cleaned_ip"), strict)
+    ip = F.col("ip")
+    return log.withColumns(
+        {"cleaned_ip": clean_ip(ip), "cleaned_ip_int": clean_ip_to_long(ip, strict)}
     )
 
 
@@ -103,27 +104,29 @@ def match_range(addresses: DataFrame, locations: DataFrame, how: str = "left") -
         .groupBy("b.level", "b.block")
         .agg(F.min("place").alias("place"))
     )
-    number = F.col("cleaned_ip_int")
+    # A null address has null blocks, which match nothing.
     own = F.array(
         *(
-            F.struct(F.lit(lv).alias("level"), F.shiftright(number, lv).alias("block"))
-            for lv in _LEVELS
+            F.struct(
+                F.lit(level).alias("level"),
+                F.shiftright(F.col("cleaned_ip_int"), level).alias("block"),
+            )
+            for level in _LEVELS
         )
     )
-    probes = (
-        addresses.where(number.isNotNull())
-        .select("cleaned_ip_int")
-        .distinct()
-        .select("cleaned_ip_int", F.explode(own).alias("b"))
-        .select("cleaned_ip_int", "b.level", "b.block")
+    probes = addresses.select("*", F.explode(own).alias("b")).select(
+        *addresses.columns, "b.level", "b.block"
     )
     found = (
-        probes.join(blocks, ["level", "block"])
-        .groupBy("cleaned_ip_int")
+        probes.join(blocks, ["level", "block"], "left")
+        .groupBy(*addresses.columns)
         .agg(F.min("place").alias("place"))
-        .select("cleaned_ip_int", *(F.col(f"place.{name}").alias(name) for name in PLACE))
     )
-    return addresses.join(found, "cleaned_ip_int", how).select(*addresses.columns, *PLACE)
+    if how == "inner":
+        found = found.where(F.col("place").isNotNull())
+    return found.select(
+        *addresses.columns, *(F.col(f"place.{name}").alias(name) for name in PLACE)
+    )
 
 
 def locate(

@@ -132,18 +132,18 @@ def drop_bots(log: DataFrame, bots: DataFrame, limit: int = BROADCAST_BYTES) ->
     hot key, which are gone before the rest of the log is shuffled to meet the
     many small bots. Then the rows of a day are brought together again.
     """
-    keys = [DAY, "ip"]
+    keys, columns = [DAY, "ip"], log.columns
     threshold, all_fit = _busiest_that_fit(bots, limit)
     if all_fit:
-        return log.join(F.broadcast(bots.select(keys)), keys, "left_anti")
+        return log.join(F.broadcast(bots.select(keys)), keys, "left_anti").select(columns)
     if threshold is not None:
         busy = bots.where(F.col("requests") >= threshold).select(keys)
         bots = bots.where(F.col("requests") < threshold)
         log = log.join(F.broadcast(busy), keys, "left_anti")
     spread = F.when(
         F.col("ip").isNull(),
-        F.pmod(F.xxhash64(*log.columns), F.lit(_NULL_PARTS)).cast("int") + 1,
+        F.pmod(F.xxhash64(*columns), F.lit(_NULL_PARTS)).cast("int") + 1,
     ).otherwise(F.lit(0))
     quiet = bots.select(*keys, F.lit(0).alias("_part"))
     kept = log.withColumn("_part", spread).join(quiet, [*keys, "_part"], "left_anti")
-    return kept.select(*log.columns).hint("rebalance", DAY)
+    return kept.select(columns).hint("rebalance", DAY)

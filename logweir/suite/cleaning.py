@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.functions import clean_ip, ipv4_to_long
+from logweir.operators.addresses import with_clean_ip
 from logweir.operators.rules import (
     bots_by_entities,
     bots_by_rate,
@@ -97,10 +98,8 @@ def clean_days(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ip_clean(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = clean_ip(F.col("ip"))
-    return access_log(spark, folder).select(
-        "event_id", cleaned.alias("cleaned_ip"), ipv4_to_long(cleaned).alias("cleaned_ip_int")
-    )
+    log = access_log(spark, folder)
+    return with_clean_ip(log).select("event_id", "cleaned_ip", "cleaned_ip_int")
 
 
 def ip_clean_docs(spark: SparkSession, folder: str) -> DataFrame:

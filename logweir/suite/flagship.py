@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logweir.operators.resolving import from_table
 from logweir.plans import clean_log, enrich_ip, standardise_country
+from logweir.sources.workspace import written
 from logweir.suite.cleaning import BOTS
 from logweir.suite.locations import LEARNING, answers_table
 from logweir.suite.views import (
@@ -23,7 +24,8 @@ from logweir.suite.views import (
 
 def days_by_country(spark: SparkSession, folder: str) -> DataFrame:
     """Requests of people, by day and standard country name."""
-    clean = clean_log(access_log(spark, folder), **ONE_FILE)
+    # Two later steps read the clean log, so it is written, as in the daily job.
+    clean = written(clean_log(access_log(spark, folder), **ONE_FILE), "clean")
     resolver = from_table(answers_table(spark, folder))
     located, _ = enrich_ip(clean, locations_exact(spark, folder), resolver)
     standard, _ = standardise_country(located, country_mapping(spark, folder), COUNTRY_RULES)

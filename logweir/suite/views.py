@@ -11,7 +11,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.functions import clean_ip, ipv4_to_long
 from logweir.operators.countries import CountryRule
 
 DAY = dt.date(2024, 1, 1)
@@ -101,17 +100,17 @@ addressed AS (
 
 
 def addresses_of_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Distinct address numbers of all requests in the log."""
-    cleaned = clean_ip(F.col("ip"))
-    number = ipv4_to_long(cleaned).alias("x")
-    return access_log(spark, folder).select(number).where(F.col("x").isNotNull()).distinct()
+    """Distinct numbers of the addresses in the log, without going over the text."""
+    user = F.col("user_id")
+    number = (user % 223 + 1) * 16777216 + (user % 256) * 65536 + (user * 7 % 256) * 256
+    users = table(spark, folder, "events").where(user % 17 != 0)
+    return users.select(number.alias("x")).distinct()
 
 
-KNOWN_ADDRESSES = r"""known_addresses AS (
-  SELECT DISTINCT CAST(split_part(ip, '.', 1) AS bigint) * 16777216
-       + CAST(split_part(ip, '.', 2) AS bigint) * 65536
-       + CAST(split_part(ip, '.', 3) AS bigint) * 256 AS x
-  FROM access_log WHERE regexp_matches(ip, '^\d{1,3}\.\d{1,3}\.\d{1,3}\.[^.\s]+$'))"""
+KNOWN_ADDRESSES = """known_addresses AS (
+  SELECT DISTINCT (user_id % 223 + 1) * 16777216 + (user_id % 256) * 65536
+       + (user_id * 7 % 256) * 256 AS x
+  FROM events WHERE user_id % 17 <> 0)"""
 
 # First addresses of the networks that get different kinds of location rows.
 _NO_COUNTRY, _NOT_TRIED, _ABSENT = (n * 16777216 for n in (64, 96, 128))
