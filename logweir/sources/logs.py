@@ -47,7 +47,8 @@ def read_csv_logs(
 
     Without ``schema`` the header of the first file gives the columns
     (``types`` as in :func:`logweir.schemas.log_schema`). A value of the wrong
-    type or another header fails the load.
+    type or another header fails the load. Large files are read by many tasks,
+    so quoted values must not hold line breaks.
     """
     if schema is None:
         first = paths if isinstance(paths, str) else paths[0]
@@ -57,6 +58,9 @@ def read_csv_logs(
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
+        # Only a missing value is null, `""` is an empty text. Any other mark
+        # than the default, which stands for both, makes Spark tell them apart.
+        .option("nullValue", "\0")
         .csv(paths)
     )
     return rows.withColumn("log_date", date_from_link(F.col("_metadata.file_path")))
