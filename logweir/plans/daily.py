@@ -22,7 +22,9 @@ from logweir.schemas import COUNTRY_MAPPING, LOCATIONS, RAW_LOG
 from logweir.sources.folders import exists
 from logweir.sources.logs import raw_files, read_csv_logs, read_zip_logs
 from logweir.sources.tables import (
+    COMPRESSION,
     DAY_SCHEMA,
+    STAGE_COMPRESSION,
     present_days,
     read_days,
     read_latest,
@@ -168,6 +170,8 @@ def run(
     unmatched: str = NOT_FOUND,
     types: Mapping[str, T.DataType] | None = None,
     at: Column | None = None,
+    compression: str = COMPRESSION,
+    stage_compression: str = STAGE_COMPRESSION,
     report: Callable[[str, dict[str, int]], None] | None = None,
 ) -> DataFrame:
     """Process the days from ``start`` to ``end`` and return their output rows.
@@ -184,7 +188,8 @@ def run(
     days = [row["log_date"] for row in day_range(spark, start, end).collect()]
 
     def store(stage: str, path: str, df: DataFrame, on: list[dt.date]) -> None:
-        counts = write_days(df, path, on)
+        codec = compression if stage == "output" else stage_compression
+        counts = write_days(df, path, on, codec)
         _logger.info("%s: %s", stage, counts)
         if report:
             report(stage, counts)

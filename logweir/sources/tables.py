@@ -15,6 +15,9 @@ from logweir.sources.folders import exists, make_empty, names_in
 
 DAY = "log_date"
 COMPRESSION = "gzip"
+# Stage tables are written and read again by the job itself: about the size of
+# gzip in half the time.
+STAGE_COMPRESSION = "zstd"
 
 DAY_SCHEMA = T.StructType([T.StructField(DAY, T.DateType())])
 
@@ -52,7 +55,9 @@ def read_days(
     return read_table(spark, path, schema).where(F.col(DAY).isin(list(days)))
 
 
-def write_days(df: DataFrame, path: str, days: Iterable[dt.date]) -> dict[str, int]:
+def write_days(
+    df: DataFrame, path: str, days: Iterable[dt.date], compression: str = COMPRESSION
+) -> dict[str, int]:
     """Replace the partitions of ``days``; other days stay as they are.
 
     A day without rows gets an empty folder, so that it counts as done and
@@ -67,7 +72,7 @@ def write_days(df: DataFrame, path: str, days: Iterable[dt.date]) -> dict[str, i
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("compression", COMPRESSION)
+        .option("compression", compression)
         .partitionBy(DAY)
         .parquet(path)
     )

@@ -211,7 +211,7 @@ CLEANED = [
     ("1.2.3.4.5", None, None),
     ("1.2.3.a b", None, None),
     ("1.2.3.ab\n", None, None),
-    ("1.2.3.a b", None, None),
+    ("1.2.3.a\u00a0b", None, None),
     (" 1.2.3.ab", None, None),
     ("", None, None),
     (None, None, None),
@@ -268,7 +268,21 @@ def test_datetime(spark):
     result = data.select(parse_datetime(F.col("d"), F.col("t")).alias("at"))
     assert result.schema["at"].dataType == T.TimestampNTZType()
     assert [row.at for row in result.collect()] == [dt.datetime(2024, 3, 20, 1, 2, 3), None, None]
-    bad = spark.createDataFrame([("2024-03-20", "25:00:00")], "d string, t string")
+
+
+@pytest.mark.parametrize(
+    "date, time",
+    [
+        ("2024-03-20", "25:00:00"), ("2024-03-20", "24:00:00"), ("2024-02-30", "01:00:00"),
+        ("2024-03-20", "1:02:03"), ("2024-3-20", "01:02:03"), ("+2024-3-20", "01:02:03"),
+        ("02024-3-20", "01:02:03"), ("2024-03-20", "1:2:3.45"), ("2024-03-20", "01:02:3Z"), ("2024-03-20", "01:02:+1"), ("2024-03-20", "01:02:.5"),
+        ("2024-03-20", "+1:02:03"), ("2024-03-20", "01:-2:03"),
+        ("2024-03-20", "01:02:03 "), ("2024-03-20T", "01:02:03"), ("2024/03/20", "01:02:03"),
+        ("2024-03-20", "01:02"), ("", ""), ("+202-03-20", "01:02:03"), ("2024-03-20", " 1:02:03"),
+    ],
+)
+def test_other_forms_of_datetime_are_errors(spark, date, time):
+    bad = spark.createDataFrame([(date, time)], "d string, t string")
     with pytest.raises(Exception):
         bad.select(parse_datetime(F.col("d"), F.col("t"))).collect()
 
