@@ -7,6 +7,7 @@ from logweir.plans import (
     attach_locations,
     clean_log,
     enrich_ip,
+    learn_locations,
     load_ip_ranges,
     run,
     standardise_country,
@@ -21,6 +22,7 @@ __all__ = [
     "clean_log",
     "enrich_ip",
     "from_table",
+    "learn_locations",
     "load_ip_ranges",
     "read_rules",
     "run",

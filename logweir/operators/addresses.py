@@ -12,8 +12,9 @@ from logweir.schemas import ATTEMPTED, LOCATIONS
 # Columns a location brings along, without the key.
 PLACE = [name for name in LOCATIONS.names if name != "ip_from"]
 
-# Block sizes of the range lookup, as powers of two from large to small.
-_LEVELS = (16, 12, 8, 4, 0)
+# Block sizes of the range lookup, as powers of two from large to small. No
+# range, however wide, is cut into more than 886 blocks.
+_LEVELS = (24, 16, 12, 8, 4, 0)
 
 
 def with_clean_ip(log: DataFrame, strict: bool = False) -> DataFrame:
@@ -50,39 +51,40 @@ def match_exact(addresses: DataFrame, locations: DataFrame, how: str = "left") -
     return addresses.join(keyed, addresses["cleaned_ip_int"] == keyed["_start"], how).drop("_start")
 
 
-def _between(first: Column, last: Column) -> Column:
-    none = F.array().cast("array<bigint>")
-    return F.when(first <= last, F.sequence(first, last)).otherwise(none)
+def _key(block: Column, level: int) -> Column:
+    """One number for a block of a size; block numbers need at most 32 bits."""
+    return block + F.lit(level << 40).cast("bigint")
 
 
-def _labelled(blocks: Column, level: int) -> Column:
-    return F.transform(
-        blocks, lambda block: F.struct(F.lit(level).alias("level"), block.alias("block"))
-    )
+def _block_runs(start: Column, end: Column) -> Column:
+    """Cut a range into aligned blocks of the sizes in ``_LEVELS``, each as
+    large as it can be; together they cover the range exactly once.
 
+    Returns an array of runs (first key, last key), some of them empty: the
+    blocks of the largest size, then for each smaller size those before and
+    those after.
+    """
+    runs, outer = [], None
+
+    def add(first: Column, last: Column, level: int) -> None:
+        runs.append(
+            F.struct(_key(first, level).alias("first"), _key(last, level).alias("last"))
+        )
 
-def _range_blocks(start: Column, end: Column) -> Column:
-    """Cut a range into aligned blocks of the sizes in ``_LEVELS``, each as
-    large as it can be; together they cover the range exactly once."""
-    pieces, outer = [], None
     for level in _LEVELS:
         # Blocks of this size that lie wholly within the range.
         first = F.shiftright(start + ((1 << level) - 1), level)
         last = F.shiftright(end + 1, level) - 1
         if outer is None:
-            blocks = _between(first, last)
+            add(first, last, level)
         else:
             wide_first, wide_last, wide_level = outer
             ratio = 1 << (wide_level - level)
-            blocks = F.when(wide_first > wide_last, _between(first, last)).otherwise(
-                F.concat(
-                    _between(first, wide_first * ratio - 1),
-                    _between((wide_last + 1) * ratio, last),
-                )
-            )
-        pieces.append(_labelled(blocks, level))
+            none_wide = wide_first > wide_last
+            add(first, F.when(none_wide, last).otherwise(wide_first * ratio - 1), level)
+            add(F.when(none_wide, last + 1).otherwise((wide_last + 1) * ratio), last, level)
         outer = (first, last, level)
-    return F.concat(*pieces)
+    return F.array(*runs)
 
 
 def match_range(addresses: DataFrame, locations: DataFrame, how: str = "left") -> DataFrame:
@@ -90,35 +92,27 @@ def match_range(addresses: DataFrame, locations: DataFrame, how: str = "left") -
 
     ``addresses`` must be distinct. Ranges are cut into aligned blocks, and an
     address lies in exactly one block of each size, so the lookup is an equi
-    join on (size, block): no pair is looked at that does not match. Within a
+    join on the block: no pair is looked at that does not match. Within a
     block all ranges cover the same addresses, so only the narrowest of each
-    block is kept before the join, and at most one row per size meets an
-    address.
+    block is kept before the join, and at most one per size meets an address.
     """
-    place = F.struct(
-        (F.col("ip_to") - F.col("ip_from")).alias("width"), "ip_from", *PLACE
-    ).alias("place")
+    start, end = F.col("ip_from"), F.col("ip_to")
+    place = F.struct((end - start).alias("width"), "ip_from", *PLACE).alias("place")
     blocks = (
-        locations.where(F.col("ip_from") <= F.col("ip_to"))
-        .select(place, F.explode(_range_blocks(F.col("ip_from"), F.col("ip_to"))).alias("b"))
-        .groupBy("b.level", "b.block")
+        locations.where(start <= end)
+        .select(place, F.inline(_block_runs(start, end)))
+        .where(F.col("first") <= F.col("last"))
+        .select("place", F.explode(F.sequence("first", "last")).alias("block"))
+        .groupBy("block")
         .agg(F.min("place").alias("place"))
     )
     # A null address has null blocks, which match nothing.
     own = F.array(
-        *(
-            F.struct(
-                F.lit(level).alias("level"),
-                F.shiftright(F.col("cleaned_ip_int"), level).alias("block"),
-            )
-            for level in _LEVELS
-        )
-    )
-    probes = addresses.select("*", F.explode(own).alias("b")).select(
-        *addresses.columns, "b.level", "b.block"
+        *(_key(F.shiftright(F.col("cleaned_ip_int"), level), level) for level in _LEVELS)
     )
     found = (
-        probes.join(blocks, ["level", "block"], "left")
+        addresses.select("*", F.explode(own).alias("block"))
+        .join(blocks, "block", "left")
         .groupBy(*addresses.columns)
         .agg(F.min("place").alias("place"))
     )

@@ -2,7 +2,7 @@
 
 from logweir.plans.clean import clean_log
 from logweir.plans.daily import Layout, run
-from logweir.plans.enrich import attach_locations, enrich_ip
+from logweir.plans.enrich import attach_locations, enrich_ip, learn_locations
 from logweir.plans.ranges import load_ip_ranges
 from logweir.plans.standardise import standardise_country
 
@@ -11,6 +11,7 @@ __all__ = [
     "attach_locations",
     "clean_log",
     "enrich_ip",
+    "learn_locations",
     "load_ip_ranges",
     "run",
     "standardise_country",

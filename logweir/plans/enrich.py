@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import logging
+import math
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +25,11 @@ from logweir.sources.workspace import written
 
 Save = Callable[[DataFrame], DataFrame]
 
+# Lookups between two versions of the location table.
+ROUND_SIZE = 1_000_000
+
+_logger = logging.getLogger(__name__)
+
 
 def attach_locations(
     log: DataFrame,
@@ -43,6 +51,35 @@ def attach_locations(
     return lookup_join(log, places, "cleaned_ip_int", "_address", limit, regroup)
 
 
+def learn_locations(
+    addresses: DataFrame,
+    locations: DataFrame,
+    resolver: Resolver,
+    match: str = "exact",
+    at: Column | None = None,
+    save: Save | None = None,
+    round_size: int = ROUND_SIZE,
+) -> DataFrame:
+    """The location table after looking up the addresses it does not know.
+
+    Each address is asked for once. A million lookups may take hours, so they
+    go in rounds, by hash, and ``save`` stores the table after each: a job that
+    breaks off has lost one round. Without missing addresses the table stays
+    as it is.
+    """
+    missing = written(needs_lookup(locate(addresses, locations, match)), "missing")
+    count = missing.count()
+    rounds = math.ceil(count / round_size)
+    keep = save or (lambda table: written(table, "locations"))
+    start = time.monotonic()
+    for number in range(rounds):
+        own = F.pmod(F.xxhash64("cleaned_ip_int"), F.lit(rounds)) == number
+        answers = point_locations(resolver(missing.where(own)), at)
+        locations = location_table(keep(updated_locations(locations, answers)))
+    _logger.info("looked up %d addresses in %.1f s", count, time.monotonic() - start)
+    return locations
+
+
 def enrich_ip(
     log: DataFrame,
     locations: DataFrame,
@@ -55,17 +92,12 @@ def enrich_ip(
     """Returns (log with locations, location table to use next time).
 
     ``match`` is `exact` (address = start of the range) or `range`. With a
-    ``resolver``, addresses without a known country are looked up once and the
+    ``resolver``, addresses without a known country are looked up and the
     answers, hits and misses, go into the table; ``save`` writes that table
-    and reads it back, by default to the shared work folder. When nothing is
-    missing the table stays as it is.
+    and reads it back, by default to the shared work folder.
     """
     locations = location_table(locations)
     addresses = written(distinct_addresses(log), "addresses")
     if resolver is not None:
-        missing = written(needs_lookup(locate(addresses, locations, match)), "missing")
-        if not missing.isEmpty():
-            answers = point_locations(resolver(missing), at)
-            keep = save or (lambda table: written(table, "locations"))
-            locations = location_table(keep(updated_locations(locations, answers)))
+        locations = learn_locations(addresses, locations, resolver, match, at, save)
     return attach_locations(log, addresses, locations, match, limit), locations

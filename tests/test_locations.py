@@ -9,7 +9,15 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from logweir import Unavailable, attach_locations, calling, enrich_ip, from_table, load_ip_ranges
+from logweir import (
+    Unavailable,
+    attach_locations,
+    calling,
+    enrich_ip,
+    from_table,
+    learn_locations,
+    load_ip_ranges,
+)
 from logweir.functions import location_from_payload, zone_offset
 from logweir.operators.addresses import (
     distinct_addresses,
@@ -109,6 +117,24 @@ def test_second_run_asks_for_nothing(spark):
     assert as_dict(second) == as_dict(first)
 
 
+def test_lookups_in_rounds_are_saved_one_by_one(spark):
+    addresses = distinct_addresses(log_of(spark, [f"10.2.{n}.0" for n in range(40)] + [A, E]))
+    asked, sizes = [], []
+
+    def resolver(missing):
+        asked.extend(row.cleaned_ip for row in missing.collect())
+        return missing.select("cleaned_ip_int", F.lit(HIT).alias("payload"))
+
+    def save(table):
+        sizes.append(table.count())
+        return table
+
+    table = learn_locations(addresses, cache(spark), resolver, save=save, round_size=10)
+    assert len(sizes) == 5 and sizes == sorted(sizes)
+    assert len(asked) == len(set(asked)) == 41
+    assert table.count() == 43 and as_dict(table)[E] == ("DE", True)
+
+
 def test_addresses_that_got_no_answer_are_asked_again(spark):
     log = log_of(spark, [B, C])
     _, table = enrich_ip(log, cache(spark), from_table(answers(spark, {B: HIT})))
