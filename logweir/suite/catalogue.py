@@ -12,7 +12,7 @@ from logweir.operators.catalogue import day_range, latest_link, link_catalogue,
 from logweir.suite.views import table, with_sql
 
 _PAGE = "https://host.example/files/logs%d.html"
-_FIRST, _LAST = dt.date(1995, 1, 1), dt.date(1995, 12, 31)
+_FIRST, _LAST = dt.date(2000, 1, 1), dt.date(2001, 12, 31)
 
 
 def links(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,7 +40,7 @@ def latest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dates_pending(spark: SparkSession, folder: str) -> DataFrame:
-    """Days of a year without an order of a large sum."""
+    """Days of two years, beyond the last order, without an order of a large sum."""
     large = table(spark, folder, "orders").where(F.col("o_totalprice") > 250000)
     present = large.select(F.to_date("o_orderdate").alias("log_date"))
     return pending_days(day_range(spark, _FIRST, _LAST), present)
