@@ -1,4 +1,4 @@
-"""Command line: `spark-submit ... -m logweir --root R --start-date D`."""
+"""Command line: `python -m logweir --root R --start-date D`, or `process_logs.py`."""
 
 from __future__ import annotations
 

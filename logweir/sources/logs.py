@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import zipfile
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from typing import IO
 from urllib.parse import quote, unquote, urlsplit
 
@@ -66,8 +66,8 @@ def read_csv_logs(
     return rows.withColumn("log_date", date_from_link(F.col("_metadata.file_path")))
 
 
-def _open(path: str) -> IO[bytes]:
-    """Open a file from within a task, by its Hadoop path."""
+def open_path(path: str) -> IO[bytes]:
+    """Open a local, HDFS, S3 or GCS file from within a task, by its Hadoop path."""
     parts = urlsplit(re.sub(r"^(\w+):/(?!/)", r"\1:///", path))
     if parts.scheme in ("", "file"):
         return open(re.sub(r"^file:/+", "/", path), "rb")
@@ -85,9 +85,12 @@ def _csv_member(archive: zipfile.ZipFile, path: str) -> str:
     raise ValueError(f"no CSV file in {path}")
 
 
-def _batches_of(path: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+Opener = Callable[[str], IO[bytes]]
+
+
+def _batches_of(path: str, schema: pa.Schema, opener: Opener) -> Iterator[pa.RecordBatch]:
     """Decode the first CSV member block by block; it is never held whole."""
-    with _open(path) as file, zipfile.ZipFile(file) as archive:
+    with opener(path) as file, zipfile.ZipFile(file) as archive:
         with archive.open(_csv_member(archive, path)) as member:
             reader = arrow_csv.open_csv(
                 member,
@@ -108,9 +111,9 @@ def _batches_of(path: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def zip_header(path: str) -> list[str]:
+def zip_header(path: str, opener: Opener = open_path) -> list[str]:
     """Header of the first CSV member of an archive."""
-    with _open(path) as file, zipfile.ZipFile(file) as archive:
+    with opener(path) as file, zipfile.ZipFile(file) as archive:
         with archive.open(_csv_member(archive, path)) as member:
             return arrow_csv.open_csv(member).schema.names
 
@@ -120,27 +123,32 @@ def read_zip_logs(
     paths: str | list[str],
     schema: T.StructType | None = None,
     types: Mapping[str, T.DataType] | None = None,
+    opener: Opener = open_path,
 ) -> DataFrame:
     """Logs in ZIP archives: the first member that ends in `.csv` of each.
 
     An archive can only be unpacked from front to back, so each is the work of
     one task, which streams it in blocks; archives are unpacked side by side.
-    Spark lists the files and the tasks open them, so no archive has to fit
-    into memory. Write the result before working on it further.
+    Spark lists the files and the tasks open them, with ``opener``, so no
+    archive has to fit into memory. Write the result before working on it
+    further.
     """
+    listed = spark.read.format("binaryFile").load(paths).select("path")
+    files = listed.count() if isinstance(paths, str) else len(paths)
     if schema is None:
-        first = paths if isinstance(paths, str) else paths[0]
-        schema = log_schema(zip_header(first), types)
+        first = listed.first()["path"] if isinstance(paths, str) else paths[0]
+        schema = log_schema(zip_header(first, opener), types)
     arrow_schema = to_arrow_schema(schema)
 
     def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                yield from _batches_of(path, arrow_schema)
+                yield from _batches_of(path, arrow_schema, opener)
 
-    listed = spark.read.format("binaryFile").load(paths).select("path")
     output = T.StructType([*schema.fields, T.StructField(_PATH, T.StringType())])
-    rows = listed.mapInArrow(unpack, output)
+    # Small files would share a task: only the paths move, to one task each.
+    spread = listed.repartitionByRange(max(files, 1), "path")
+    rows = spread.mapInArrow(unpack, output)
     return rows.withColumn("log_date", date_from_link(F.col(_PATH))).drop(_PATH)
 
 

@@ -168,9 +168,9 @@ def payload_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def zone_offsets(spark: SparkSession, folder: str) -> DataFrame:
     names = list(ZONES)
-    zone = F.element_at(F.array(*map(F.lit, names)), (F.col("n_nationkey") % len(names)) + 1)
-    return table(spark, folder, "nation").select(
-        "n_nationkey", zone.alias("zone"), zone_offset(zone, _at()).alias("utc_offset")
+    zone = F.element_at(F.array(*map(F.lit, names)), (F.col("c_nationkey") % len(names)) + 1)
+    return table(spark, folder, "customer").select(
+        "c_custkey", zone.alias("zone"), zone_offset(zone, _at()).alias("utc_offset")
     )
 
 
@@ -275,7 +275,7 @@ SQL = {
         "zones(n, zone, utc_offset) AS (VALUES "
         + ", ".join(f"({n}, '{zone}', '{off}')" for n, (zone, off) in enumerate(ZONES.items()))
         + ")",
-        select="SELECT n_nationkey, zone, utc_offset FROM nation "
-        f"JOIN zones ON n = n_nationkey % {len(ZONES)}",
+        select="SELECT c_custkey, zone, utc_offset FROM customer "
+        f"JOIN zones ON n = c_nationkey % {len(ZONES)}",
     ),
 }

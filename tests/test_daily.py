@@ -82,6 +82,10 @@ def test_other_types_can_be_asked_for(spark, tmp_path):
 def test_archives_are_read_side_by_side(spark, tmp_path):
     paths = [write_zip(tmp_path, day, human(day)) for day in (ONE, TWO, THREE)]
     rows = read_zip_logs(spark, paths)
+    tasks = rows.select(F.spark_partition_id().alias("task"), "log_date").distinct().collect()
+    assert len({row.task for row in tasks}) == len(tasks) == 3
+    folder = read_zip_logs(spark, str(tmp_path))
+    assert sorted(map(str, folder.collect())) == sorted(map(str, rows.collect()))
     assert rows.groupBy("log_date").count().collect() and rows.count() == 6
     assert rows.where(F.col("note").contains("\n")).count() == 3
 
