@@ -20,6 +20,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--force", action="store_true", help="process days again that are done")
     parser.add_argument("--rules", help="CSV of country rules: priority,pattern,standard_name")
     parser.add_argument("--match", choices=("exact", "range"), default="exact")
+    parser.add_argument("--days-per-job", type=int, help="default: all days in one job")
     options = parser.parse_args(arguments)
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
@@ -36,6 +37,7 @@ def main(arguments: list[str] | None = None) -> None:
         options.force,
         rules=read_rules(options.rules) if options.rules else (),
         match=options.match,
+        days_per_job=options.days_per_job,
     )
 
 

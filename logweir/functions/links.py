@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 
 def date_from_link(link: Column) -> Column:
-    """`.../log20240320.zip` -> 2024-03-20; null when the name holds no date."""
-    name = F.substring_index(link, "/", -1)
-    digits = F.regexp_extract(name, r"^log(\d{8})\.", 1)
-    return F.try_to_date(F.nullif(digits, F.lit("")), "yyyyMMdd")
+    """`.../log20240320.zip` -> 2024-03-20; null when the name holds no date.
+
+    The date is what is left of the file name without `log` and from the first
+    dot on, with or without dashes.
+    """
+    name = F.replace(F.substring_index(link, "/", -1), F.lit("log"), F.lit(""))
+    stem = F.substring_index(name, ".", 1)
+    dated = stem.rlike(r"^(?:\d{8}|\d{4}-\d{2}-\d{2})\z")
+    return F.when(dated, F.try_to_date(F.replace(stem, F.lit("-"), F.lit("")), "yyyyMMdd"))
 
 
 def file_name(day: Column, suffix: str = ".zip") -> Column:

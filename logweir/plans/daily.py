@@ -102,6 +102,11 @@ def _pending(spark: SparkSession, path: str, days: list[dt.date], force: bool) -
     return sorted(row["log_date"] for row in rows)
 
 
+def _slices(days: list[dt.date], size: int | None) -> list[list[dt.date]]:
+    step = size or max(len(days), 1)
+    return [days[i : i + step] for i in range(0, len(days), step)]
+
+
 def _files_by_suffix(
     spark: SparkSession, folder: str, days: list[dt.date]
 ) -> dict[str, dict[dt.date, str]]:
@@ -172,15 +177,18 @@ def run(
     at: Column | None = None,
     compression: str = COMPRESSION,
     stage_compression: str = STAGE_COMPRESSION,
+    days_per_job: int | None = None,
     report: Callable[[str, dict[str, int]], None] | None = None,
 ) -> DataFrame:
     """Process the days from ``start`` to ``end`` and return their output rows.
 
     ``end`` defaults to ``start``, ``start`` to the latest day with a file.
-    Every stage works on all its days in one job and skips days it already
-    has, unless ``force`` is set; the country stage always runs, so that an
-    edit of the mapping takes effect. ``report`` is called with the name of
-    each stage and its counts.
+    Every stage skips days it already has, unless ``force`` is set; the country
+    stage always runs, so that an edit of the mapping takes effect. A stage
+    works on all its days at once, or on ``days_per_job`` at a time: a run that
+    breaks off then goes on where it was, and the tables that are broadcast
+    stay small. ``report`` is called with the name of each stage and its counts
+    after every job.
     """
     layout = Layout(root)
     if start is None:
@@ -194,36 +202,36 @@ def run(
         if report:
             report(stage, counts)
 
-    todo = _pending(spark, layout.converted, days, force)
-    if todo:
-        logs = _raw_logs(spark, layout.downloads, todo, types)
-        store("converted", layout.converted, logs, todo)
+    def pending(path: str) -> list[list[dt.date]]:
+        return _slices(_pending(spark, path, days, force), days_per_job)
 
-    todo = _pending(spark, layout.no_bots, days, force)
-    if todo:
-        converted = read_days(spark, layout.converted, todo, _CONVERTED)
-        store("no_bots", layout.no_bots, clean_log(converted, r, p, v), todo)
+    for part in pending(layout.converted):
+        logs = _raw_logs(spark, layout.downloads, part, types)
+        store("converted", layout.converted, logs, part)
 
-    todo = _pending(spark, layout.ip_enriched, days, force)
-    if todo:
-        clean = read_days(spark, layout.no_bots, todo, _CLEAN)
+    for part in pending(layout.no_bots):
+        converted = read_days(spark, layout.converted, part, _CONVERTED)
+        store("no_bots", layout.no_bots, clean_log(converted, r, p, v), part)
+
+    for part in pending(layout.ip_enriched):
         enriched, _ = enrich_ip(
-            clean,
+            read_days(spark, layout.no_bots, part, _CLEAN),
             _locations(spark, layout),
             resolver,
             match,
             at,
             save=lambda table: write_next(table, layout.locations),
         )
-        store("ip_enriched", layout.ip_enriched, enriched, todo)
-
-    enriched = read_days(spark, layout.ip_enriched, days, _ENRICHED)
-    output, _ = standardise_country(
-        enriched,
-        conform(read_latest(spark, layout.country_mapping, COUNTRY_MAPPING), COUNTRY_MAPPING),
-        rules,
-        unmatched=unmatched,
-        save=lambda table: write_next(table, layout.country_mapping),
-    )
-    store("output", layout.output, output, days)
+        store("ip_enriched", layout.ip_enriched, enriched, part)
+
+    for part in _slices(days, days_per_job):
+        mapping = read_latest(spark, layout.country_mapping, COUNTRY_MAPPING)
+        output, _ = standardise_country(
+            read_days(spark, layout.ip_enriched, part, _ENRICHED),
+            conform(mapping, COUNTRY_MAPPING),
+            rules,
+            unmatched=unmatched,
+            save=lambda table: write_next(table, layout.country_mapping),
+        )
+        store("output", layout.output, output, part)
     return read_days(spark, layout.output, days, _ENRICHED)

@@ -232,6 +232,15 @@ def test_whole_job(spark, site):
     assert read_latest(spark, site.country_mapping).count() == 2
 
 
+def test_some_days_at_a_time(spark, site):
+    stages = []
+    output = run(spark, site.root, ONE, THREE, rules=RULES, resolver=resolver(spark),
+                 days_per_job=2, report=lambda stage, counts: stages.append((stage, counts["days"])))
+    assert summary(output) == EXPECTED
+    assert stages == [(name, n) for name in ("converted", "no_bots", "ip_enriched", "output")
+                      for n in (2, 1)]
+
+
 def test_second_run_does_the_countries_only(spark, site):
     run(spark, site.root, ONE, TWO, rules=RULES, resolver=resolver(spark))
     # An edit of the mapping takes effect.

@@ -59,6 +59,10 @@ def test_dates_of_links(spark):
         "log20240320.csv.gz": DAY,
         "file:/x/log20241399.zip": None,
         "log2024032.zip": None,
+        "https://h/log120240320.zip": None,
+        "https://h/log2024-03-20.zip": DAY,
+        "20240320": DAY,
+        "weblog20240320.zip": None,
         "https://h/log20240320/x.zip": None,
     }
     data = spark.createDataFrame(list(cases.items()), "link string, day date")

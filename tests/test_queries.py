@@ -23,7 +23,10 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query_equals_sql(spark, duck, name):
-    columns, rows = spark_bag(contract.queries()[name](spark, FOLDER))
+    result = contract.queries()[name](spark, FOLDER)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    columns, rows = spark_bag(result)
     expected_columns, expected_rows = sql_bag(duck, contract.oracle_sql()[name])
     assert columns == expected_columns
     assert rows == expected_rows
