@@ -135,10 +135,15 @@ def locate(
 
 
 def needs_lookup(located: DataFrame) -> DataFrame:
-    """Addresses without a country that were never asked for."""
+    """Addresses without a country that were never asked for.
+
+    Text that only looks like an address (`999.1.1.0`) has no number under
+    which an answer could be kept, so it is not asked for.
+    """
     tried = F.coalesce(F.col(ATTEMPTED), F.lit(False))
+    open_ = ~tried & F.col("country_code").isNull()
     return (
-        located.where(~tried & F.col("country_code").isNull() & F.col("cleaned_ip").isNotNull())
+        located.where(open_ & F.col("cleaned_ip").isNotNull() & F.col("cleaned_ip_int").isNotNull())
         .select("cleaned_ip", "cleaned_ip_int")
         .distinct()
     )

@@ -9,10 +9,21 @@ from pyspark.sql import types as T
 # Bytes a lookup table may take up in every executor before it is shuffled.
 BROADCAST_BYTES = 128 * 1024 * 1024
 
-# Parts that rows without a key are spread over in a shuffle.
+# Values that rows without a key are spread over in a shuffle.
 _NULL_PARTS = 4096
 
 
+def spread_nulls(df: DataFrame, key: str) -> Column:
+    """The key, with one of many values in place of null.
+
+    Rows without a key can match nothing, but a shuffle would send them all to
+    one task. Join on this and require the key itself to be not null. (A second
+    key column, constant on the other side, would not do: Spark folds it.)
+    """
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(_NULL_PARTS))
+    return F.coalesce(F.col(key), part.cast(df.schema[key].dataType))
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Rough size of a row in memory, from above for flat tables."""
     size = F.lit(16)
@@ -49,16 +60,8 @@ def lookup_join(
     if fits_in_memory(table, limit):
         joined = facts.join(F.broadcast(table), F.col(fact_key) == F.col("_table_key"), "left")
         return joined.drop("_table_key")
-    spread = F.when(
-        F.col(fact_key).isNull(),
-        F.pmod(F.xxhash64(*facts.columns), F.lit(_NULL_PARTS)).cast("int") + 1,
-    ).otherwise(F.lit(0))
-    left = facts.withColumn("_part", spread)
-    right = table.withColumn("_table_part", F.lit(0))
-    joined = left.join(
-        right,
-        (F.col(fact_key) == F.col("_table_key")) & (F.col("_part") == F.col("_table_part")),
-        "left",
+    joined = facts.withColumn("_key", spread_nulls(facts, fact_key)).join(
+        table, (F.col("_key") == F.col("_table_key")) & F.col(fact_key).isNotNull(), "left"
     )
-    joined = joined.drop("_table_key", "_part", "_table_part")
+    joined = joined.drop("_table_key", "_key")
     return joined.hint("rebalance", regroup) if regroup else joined

@@ -14,16 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweir.functions.times import bucket_start, parse_datetime
-from logweir.operators.lookup import BROADCAST_BYTES, row_bytes
+from logweir.operators.lookup import BROADCAST_BYTES, row_bytes, spread_nulls
 
 DAY = "log_date"
 
 # Default thresholds of the three rules (fixed values).
 R, P, V = 25, 3, 500
 
-# Parts that rows without an address are spread over in a shuffle.
-_NULL_PARTS = 4096
-
 
 def successful_requests(log: DataFrame) -> DataFrame:
     """Rows with code 200, idx 0, crawler 0. A null in any of them drops the row."""
@@ -140,10 +137,10 @@ def drop_bots(log: DataFrame, bots: DataFrame, limit: int = BROADCAST_BYTES) ->
         busy = bots.where(F.col("requests") >= threshold).select(keys)
         bots = bots.where(F.col("requests") < threshold)
         log = log.join(F.broadcast(busy), keys, "left_anti")
-    spread = F.when(
-        F.col("ip").isNull(),
-        F.pmod(F.xxhash64(*columns), F.lit(_NULL_PARTS)).cast("int") + 1,
-    ).otherwise(F.lit(0))
-    quiet = bots.select(*keys, F.lit(0).alias("_part"))
-    kept = log.withColumn("_part", spread).join(quiet, [*keys, "_part"], "left_anti")
+    quiet = bots.select(F.col(DAY).alias("_day"), F.col("ip").alias("_bot"))
+    kept = log.withColumn("_ip", spread_nulls(log, "ip")).join(
+        quiet,
+        (F.col(DAY) == F.col("_day")) & (F.col("_ip") == F.col("_bot")) & F.col("ip").isNotNull(),
+        "left_anti",
+    )
     return kept.select(columns).hint("rebalance", DAY)

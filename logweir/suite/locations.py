@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from logweir.functions import zone_offset
 from logweir.operators.addresses import (
     distinct_addresses,
+    location_table,
     match_exact,
     match_range,
     needs_lookup,
     updated_locations,
     with_clean_ip,
 )
-from logweir.operators.columns import conform
+from logweir.operators.columns import conform, drop_columns
 from logweir.operators.resolving import calling, from_table, point_locations
 from logweir.operators.rules import successful_requests
 from logweir.plans import enrich_ip
@@ -107,6 +108,12 @@ def answers_table(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def location_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranges without the attempted mark, in the columns of the location table."""
+    plain = drop_columns(locations_range(spark, folder), "geolocation_db_attempted", "no_such")
+    return location_table(plain)
+
+
 def ip_distinct(spark: SparkSession, folder: str) -> DataFrame:
     return _addresses(spark, folder)
 
@@ -175,6 +182,7 @@ def zone_offsets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "q_location_columns": location_columns,
     "q_ip_distinct": ip_distinct,
     "q_geo_exact": geo_exact,
     "q_geo_exact_addresses": geo_exact_addresses,
@@ -236,6 +244,15 @@ _RANGE = "l.ip_to, l.country_code, l.country_name"
 _IN_RANGE = "LEFT JOIN ranges l ON a.cleaned_ip_int BETWEEN l.ip_from AND l.ip_to"
 
 SQL = {
+    "q_location_columns": with_sql(
+        KNOWN_ADDRESSES,
+        LOCATIONS_RANGE,
+        select="SELECT ip_from, ip_to, country_code, country_name, "
+        "CAST(NULL AS varchar) AS region_name, CAST(NULL AS varchar) AS city_name, "
+        "CAST(NULL AS double) AS latitude, CAST(NULL AS double) AS longitude, "
+        "CAST(NULL AS varchar) AS zip_code, CAST(NULL AS varchar) AS timezone, "
+        "false AS geolocation_db_attempted FROM ranges",
+    ),
     "q_ip_distinct": with_sql(
         ACCESS_LOG, REQUESTS, ADDRESSES, _DISTINCT, select="SELECT * FROM addresses"
     ),
@@ -269,7 +286,7 @@ SQL = {
         f"FROM addressed a {_IN_RANGE}",
     ),
     "q_payload_rows": with_sql(
-        ACCESS_LOG, KNOWN_ADDRESSES, found_sql("known_addresses", "x"), select="SELECT * FROM found"
+        KNOWN_ADDRESSES, found_sql("known_addresses", "x"), select="SELECT * FROM found"
     ),
     "q_zone_offset": with_sql(
         "zones(n, zone, utc_offset) AS (VALUES "

@@ -24,6 +24,7 @@ from logweir.operators.rules import (
     traffic_profile,
     union_of_bots,
 )
+from logweir.operators.lookup import spread_nulls
 from logweir.schemas import RAW_LOG
 from logweir.sources.workspace import written
 
@@ -182,6 +183,21 @@ def test_every_way_to_drop_bots_gives_the_same(spark, limit):
     assert expected.exceptAll(result).isEmpty()
 
 
+def test_null_addresses_are_spread_when_the_log_is_shuffled(spark):
+    log = _random_log(spark)
+    bots = written(find_bots(rule_base(log), **THRESHOLDS), "bots")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = drop_bots(log, bots, limit=0)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "hashpartitioning(log_date" in plan and "_ip#" in plan
+        nulls = log.where("ip IS NULL")
+        keys = nulls.select(spread_nulls(nulls, "ip").alias("k")).distinct().count()
+        assert keys > nulls.count() * 0.9
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_part_of_the_bots_can_be_broadcast(spark):
     bots = written(find_bots(rule_base(_random_log(spark)), **THRESHOLDS), "bots")
     threshold, all_fit = rules._busiest_that_fit(bots, 900)

@@ -25,6 +25,7 @@ from logweir.operators.addresses import (
     locate,
     match_range,
     needs_lookup,
+    repeated_starts,
     updated_locations,
 )
 from logweir.operators.columns import add_missing_column, conform, drop_columns, require_columns
@@ -117,6 +118,21 @@ def test_second_run_asks_for_nothing(spark):
     assert as_dict(second) == as_dict(first)
 
 
+def test_text_without_a_number_is_not_asked_for(spark):
+    rows = [("999.1.1.0", None), (B, number(B)), (None, None)]
+    addresses = spark.createDataFrame(rows, "cleaned_ip string, cleaned_ip_int bigint")
+    missing = needs_lookup(locate(addresses, cache(spark)))
+    assert [row.cleaned_ip for row in missing.collect()] == [B]
+
+
+def test_repeated_starts_multiply_rows(spark):
+    twice = cache(spark).unionByName(cache(spark))
+    log = log_of(spark, [A, B])
+    attached = attach_locations(log, distinct_addresses(log), twice)
+    assert sorted(row.event_id for row in attached.collect()) == [0, 0, 1]
+    assert repeated_starts(twice).count() == 4 and repeated_starts(cache(spark)).isEmpty()
+
+
 def test_lookups_in_rounds_are_saved_one_by_one(spark):
     addresses = distinct_addresses(log_of(spark, [f"10.2.{n}.0" for n in range(40)] + [A, E]))
     asked, sizes = [], []
@@ -273,6 +289,36 @@ def test_both_ways_to_join_a_lookup_table(spark, limit):
     assert ("ResolvedHint (strategy=broadcast)" in plan) == (limit > 0)
 
 
+def test_hot_keys_are_split_when_both_sides_are_shuffled(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        # Two thirds of the rows: one key, and no key at all.
+        n = 300_000
+        key = F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, None).otherwise(F.col("id") % 997)
+        facts = spark.range(0, n, 1, 8).select("id", key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("s"))
+        table = spark.range(997).select(F.col("id").alias("n"), F.col("id").alias("v"))
+        result = lookup_join(facts, table, "k", "n", limit=0)
+        by_task = result.groupBy(F.spark_partition_id().alias("p"))
+        sizes = by_task.agg(F.count(F.lit(1)).alias("n"), F.max("s"), F.count("v").alias("v"))
+        tasks = sizes.collect()
+        assert sum(row.n for row in tasks) == n and sum(row.v for row in tasks) == n * 2 // 3
+        assert max(row.n for row in tasks) < n // 6
+        plan = sizes._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan and "hashpartitioning(_key" in plan
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
 def test_size_check(spark):
     small = spark.range(10)
     assert fits_in_memory(small, 10 * 32)
