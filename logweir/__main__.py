@@ -15,7 +15,7 @@ from logweir.plans.daily import run
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="logweir", description="Process days of access logs.")
     parser.add_argument("--root", required=True, help="folder with downloads/ and all tables")
-    parser.add_argument("--start-date", type=dt.date.fromisoformat, help="YYYY-MM-DD; default: latest")
+    parser.add_argument("--start-date", type=dt.date.fromisoformat, help="default: latest")
     parser.add_argument("--end-date", type=dt.date.fromisoformat, help="default: the start date")
     parser.add_argument("--force", action="store_true", help="process days again that are done")
     parser.add_argument("--rules", help="CSV of country rules: priority,pattern,standard_name")

@@ -38,7 +38,9 @@ def read_rules(path: str) -> list[CountryRule]:
         ]
 
 
-def unmapped_names(df: DataFrame, mapping: DataFrame, country_col: str = "country_name") -> DataFrame:
+def unmapped_names(
+    df: DataFrame, mapping: DataFrame, country_col: str = "country_name"
+) -> DataFrame:
     """Distinct names of the table that the mapping does not hold, nulls left out."""
     names = (
         df.select(F.col(country_col).alias("raw_country_name"))

@@ -76,7 +76,9 @@ def calling(
     return resolve
 
 
-def from_table(answers: DataFrame, ip: str = "cleaned_ip_int", payload: str = "payload") -> Resolver:
+def from_table(
+    answers: DataFrame, ip: str = "cleaned_ip_int", payload: str = "payload"
+) -> Resolver:
     """Resolver over a table of answers; an address it lacks is not tried."""
 
     def resolve(missing: DataFrame) -> DataFrame:

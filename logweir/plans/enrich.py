@@ -94,7 +94,8 @@ def enrich_ip(
     ``match`` is `exact` (address = start of the range) or `range`. With a
     ``resolver``, addresses without a known country are looked up and the
     answers, hits and misses, go into the table; ``save`` writes that table
-    and reads it back, by default to the shared work folder.
+    and reads it back, by default to the shared work folder. The log is read
+    twice, so it should be a written table.
     """
     locations = location_table(locations)
     addresses = written(distinct_addresses(log), "addresses")

@@ -35,7 +35,8 @@ def standardise_country(
 
     Names the mapping holds are never converted again, so a row edited by hand
     stays. New names are converted by the rules and come first in the new
-    mapping, which ``save`` writes and reads back.
+    mapping, which ``save`` writes and reads back. The table is read twice, the
+    first time for its country names only.
     """
     mapping = require_columns(mapping, COUNTRY_MAPPING.names, "country mapping")
     new = written(unmapped_names(df, mapping, country_col), "new-names")

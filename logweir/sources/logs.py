@@ -98,17 +98,16 @@ def _batches_of(path: str, schema: pa.Schema, opener: Opener) -> Iterator[pa.Rec
                 parse_options=arrow_csv.ParseOptions(newlines_in_values=True),
                 convert_options=arrow_csv.ConvertOptions(
                     column_types=schema,
-                    include_columns=schema.names,
                     null_values=[""],
                     strings_can_be_null=True,
                     quoted_strings_can_be_null=False,
                 ),
             )
+            if sorted(reader.schema.names) != sorted(schema.names):
+                raise ValueError(f"another header than expected in {path}: {reader.schema.names}")
             for batch in reader:
                 paths = pa.array([path] * batch.num_rows, pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, paths], names=[*schema.names, _PATH]
-                )
+                yield batch.select(schema.names).append_column(_PATH, paths)
 
 
 def zip_header(path: str, opener: Opener = open_path) -> list[str]:

@@ -86,7 +86,8 @@ def write_days(
 
 def _version_numbers(spark: SparkSession, folder: str) -> list[int]:
     """Numbers of the versions that were written to the end."""
-    numbers = [int(n[2:]) for n in names_in(spark, folder) if n.startswith("v=") and n[2:].isdigit()]
+    versions = [name for name in names_in(spark, folder) if name.startswith("v=")]
+    numbers = [int(name[2:]) for name in versions if name[2:].isdigit()]
     return sorted(n for n in numbers if exists(spark, f"{folder}/v={n}/_SUCCESS"))
 
 

@@ -102,8 +102,8 @@ SQL = {
     "q_day_files": with_sql(
         "days AS (SELECT DISTINCT CAST(o_orderdate AS date) AS log_date FROM orders)",
         "named AS (SELECT log_date, concat('log', strftime(log_date, '%Y%m%d')) AS stem FROM days)",
-        select="SELECT log_date, concat(stem, '.zip') AS zip_name, concat(stem, '.csv') AS csv_name,"
-        " concat(stem, '.parquet') AS parquet_name FROM named",
+        select="SELECT log_date, concat(stem, '.zip') AS zip_name, "
+        "concat(stem, '.csv') AS csv_name, concat(stem, '.parquet') AS parquet_name FROM named",
     ),
     "q_year_page": "SELECT o_orderkey, concat('https://host.example/files/logs', "
     "CAST(year(o_orderdate) AS varchar), '.html') AS page FROM orders",

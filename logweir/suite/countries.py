@@ -54,7 +54,8 @@ QUERIES = {
 }
 
 _CUSTOMERS = """customers AS (
-  SELECT c_custkey, n_name AS country_name FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+  SELECT c_custkey, n_name AS country_name
+  FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
 
 _UNMAPPED = """unmapped AS (
   SELECT DISTINCT country_name AS raw_country_name FROM customers

@@ -109,6 +109,15 @@ def test_wrong_value_fails_the_load(spark, tmp_path, kind):
         rows.collect()
 
 
+@pytest.mark.parametrize("kind", ["zip", "csv"])
+def test_another_header_is_an_error(spark, tmp_path, kind):
+    write, read = (write_zip, read_zip_logs) if kind == "zip" else (write_csv, read_csv_logs)
+    path = write(tmp_path, ONE, [line("10.0.0.abc", ONE)])
+    names = [name for name in HEADER.split(",") if name != "note"]
+    with pytest.raises(Exception, match="(?i)header"):
+        read(spark, path, log_schema(names)).collect()
+
+
 def test_header_must_hold_the_columns():
     with pytest.raises(ValueError, match="crawler"):
         log_schema(name for name in RAW_LOG.names if name != "crawler")
