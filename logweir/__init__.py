@@ -1,5 +1,9 @@
 """Access-log analytics on Spark: people's requests, located and counted."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from logweir.operators.countries import CountryRule, read_rules
 from logweir.operators.resolving import Unavailable, calling, from_table
 from logweir.plans import (
@@ -28,3 +32,7 @@ __all__ = [
     "run",
     "standardise_country",
 ]
+
+# Functions that run in tasks travel with the job, so that workers need no copy
+# of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
