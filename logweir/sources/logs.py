@@ -94,7 +94,8 @@ def _batches_of(path: str, schema: pa.Schema, opener: Opener) -> Iterator[pa.Rec
         with archive.open(_csv_member(archive, path)) as member:
             reader = arrow_csv.open_csv(
                 member,
-                read_options=arrow_csv.ReadOptions(block_size=_BLOCK_BYTES),
+                # One core per task, and no blocks read ahead.
+                read_options=arrow_csv.ReadOptions(block_size=_BLOCK_BYTES, use_threads=False),
                 parse_options=arrow_csv.ParseOptions(newlines_in_values=True),
                 convert_options=arrow_csv.ConvertOptions(
                     column_types=schema,
