@@ -11,8 +11,9 @@ many sources there are, not on how many documents.
 The tokens that leave a pattern are then turned into documents: whole rounds
 over all of them, and for the rest a seeded choice. Rows of a pattern are dealt
 to buckets by a keyed hash; buckets are taken in order while they fit, and only
-in the bucket where the budget ends the rows are ranked one by one, with a
-documented number of rows to a bucket on average. Reruns agree.
+in the bucket where the budget ends (one of BUCKETS of a pattern) the rows are
+ranked one by one. One more row, the one whose size comes nearest, fills what
+is missing then. Reruns agree.
 
 A null text has no words: size 0, taken 0. Null sources form a source of their
 own, last in order. Repeated rows count as often as they are there. An empty
@@ -172,12 +173,24 @@ def mix(
     joined = keyed.join(F.broadcast(edges), ["_pattern", "_bucket"])
     inside = (F.col("room") > 0) & (F.col("room") < F.col("words"))
     settled = joined.where(~inside).withColumn("_extra", (F.col("room") >= F.col("words")).cast("int"))
-    # The row that crosses the end is taken if that comes nearer.
     order = Window.partitionBy("_pattern", "_bucket").orderBy("_hash", "doc_id", "size")
-    ahead = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size") / 2
+    ahead = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
     ended = joined.where(inside).withColumn("_extra", (ahead <= F.col("room")).cast("int"))
+    chosen = settled.unionByName(ended)
+    # What is still missing then is filled by the row left out whose size comes nearest.
+    missing = written(
+        chosen.groupBy("_pattern").agg(F.sum(F.col("size") * F.col("_extra")).alias("got")).join(F.broadcast(plan_df), "_pattern")
+        .select("_pattern", (F.col("rest") - F.col("got")).alias("gap")), "gaps",
+    )
+    spare = chosen.where("_extra = 0 and size > 0").join(F.broadcast(missing), "_pattern")
+    spare = spare.withColumn("off", F.abs(F.col("gap") - F.col("size"))).where("off < gap")
+    fill = written(spare.groupBy("_pattern").agg(F.min(F.struct("off", "_hash", "doc_id", "size")).alias("m")), "fills")
+    fill = fill.select("_pattern", F.col("m._hash").alias("_hash"), F.col("m.size").alias("size"), F.lit(1).alias("_fill"))
+    chosen = chosen.join(F.broadcast(fill), ["_pattern", "_hash", "size"], "left").withColumn(
+        "_extra", F.greatest("_extra", F.coalesce("_fill", F.lit(0)))
+    )
     copies = (F.col("rounds") + F.col("_extra")).alias("copies")
-    mixed = settled.unionByName(ended).select(*columns, copies).withColumn("taken", F.col("copies") * F.col("size"))
+    mixed = chosen.select(*columns, copies).withColumn("taken", F.col("copies") * F.col("size"))
     goal = spark.createDataFrame(
         [(s, float(t), int(sizes[s])) for s, t in targets.items()], "source string, target double, source_size long"
     )

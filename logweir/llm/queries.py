@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.llm.common import table, written
+from logweir.llm.kneser_ney import classify
 from logweir.llm.language_id import held_out, identify, learn_language_model
+from logweir.llm.main_text import extract
 from logweir.llm.mixing import mix, word_count
 from logweir.llm.near_dup import near_duplicates
 from logweir.llm.packing import default_tokenizer, pack
 from logweir.llm.pii import replace_pii
+from logweir.llm.prefix_forest import nearest
 from logweir.llm.quality_rules import apply_rules
+from logweir.llm.warc_zip import round_trip
 
 
 def surrogates(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,6 +33,10 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def warc(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip(table(spark, folder, "pages")).drop("url", "payload")
+
+
 def mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     sized = written(docs.select("doc_id", "source", word_count().alias("size")), "sizes")
@@ -42,17 +50,34 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), default_tokenizer())
 
 
+def html(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(table(spark, folder, "pages"))
+
+
 def near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels")
+    return classify(table(spark, folder, "documents"), labels.where("quality = 1 and toxic = 0"))
+
+
+def ann(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
+
+
 QUERIES = {
     "op1_surrogates": surrogates,
     "op2_quality_rules": quality_rules,
     "op3_language_id": language_id,
+    "op4_warc": warc,
     "op5_mixing": mixing,
     "op6_packing": packing,
+    "op7_html": html,
     "op8_near_dup": near_dup,
+    "op9_kneser_ney": kneser_ney,
+    "op10_ann": ann,
 }
 
 # Trees, forests, flows, tokenizers and signatures: nothing here that SQL can say.
