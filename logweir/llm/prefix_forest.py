@@ -8,8 +8,9 @@ vectors, made orthogonal, through the median). In every tree the strings are
 sorted, so the vectors that share a prefix with a query are one range, found by
 two binary searches. A query starts at the longest prefixes and goes up in all
 trees at the same time until the ranges hold enough candidates; how many
-vectors share a prefix is known from a table of bounded size (2^DEPTH for each
-tree). All candidates are compared exactly.
+vectors share a prefix is known from a table of counts whose depth follows the
+number of vectors up to LEVELS (2^LEVELS numbers for each tree at most). All
+candidates are compared exactly.
 
 Spark deals entries and queries by tree and by a short common prefix. A group
 with too many entries or too many queries (equal vectors, say) is dealt to a
@@ -35,10 +36,11 @@ from pyspark.sql.window import Window
 
 from logweir.llm.common import written
 
-TREES, DEPTH = 32, 15
+TREES, DEPTH = 32, 24
+LEVELS = 15
 SAMPLE = 2_000
 # Candidates of all trees together that a query looks at, at least.
-CANDIDATES = 24_000
+CANDIDATES = 40_000
 # Entries and queries of a group that one task compares.
 PART_ENTRIES, PART_QUERIES = 8_192, 2_048
 _SLACK = 1e-9
@@ -116,10 +118,10 @@ def _coded(rows: DataFrame, planes: Planes, query: bool) -> DataFrame:
     return rows.select("id", "v").mapInPandas(run, "id long, v array<double>, codes array<long>")
 
 
-def _levels(queries: DataFrame, starts: np.ndarray, wanted: int, depth: int) -> DataFrame:
+def _levels(queries: DataFrame, starts: np.ndarray, wanted: int, depth: int, levels: int) -> DataFrame:
     """Queries with the level at which all trees together have enough candidates.
 
-    ``starts``: trees x (2^depth + 1), entries with a smaller string.
+    ``starts``: trees x (2^levels + 1), entries whose string begins with a smaller number.
     """
     counted = queries.sparkSession.sparkContext.broadcast(starts)
 
@@ -127,11 +129,11 @@ def _levels(queries: DataFrame, starts: np.ndarray, wanted: int, depth: int) ->
         starts = counted.value
         trees = np.arange(len(starts))
         for batch in batches:
-            codes = np.stack(batch["codes"].to_list())
+            codes = np.stack(batch["codes"].to_list()) >> (depth - levels)
             level = np.zeros(len(batch), np.int64)
-            for x in range(depth + 1):
-                low = (codes >> (depth - x)) << (depth - x)
-                found = (starts[trees, low + (1 << (depth - x))] - starts[trees, low]).sum(axis=1)
+            for x in range(levels + 1):
+                low = (codes >> (levels - x)) << (levels - x)
+                found = (starts[trees, low + (1 << (levels - x))] - starts[trees, low]).sum(axis=1)
                 level = np.where(found >= wanted, x, level)
             yield batch.assign(level=level)
 
@@ -207,13 +209,13 @@ def nearest(
     index = written(_coded(rows, planes, False), "index")
     asked = written(_coded(rows.where(queries), planes, True), "queries")
     each = F.posexplode("codes").alias("tree", "code")
-    # At most trees x 2^depth rows.
-    filled = index.select(each).groupBy("tree", "code").count().toPandas()
-    starts = np.zeros((trees, (1 << depth) + 1), np.int64)
+    total = index.count()
+    levels = int(np.clip(np.ceil(np.log2(max(2.0, trees * total / wanted))) + 2, 2, min(LEVELS, depth)))
+    # At most trees x 2^levels rows of three numbers.
+    filled = index.select(each).groupBy("tree", F.shiftright("code", depth - levels).alias("code")).count().toPandas()
+    starts = np.zeros((trees, (1 << levels) + 1), np.int64)
     np.add.at(starts, (filled["tree"].to_numpy(), filled["code"].to_numpy() + 1), filled["count"].to_numpy())
-    starts = starts.cumsum(axis=1)
-    total = int(starts[0, -1])
-    leveled = written(_levels(asked, starts, wanted, depth), "levels")
+    leveled = written(_levels(asked, starts.cumsum(axis=1), wanted, depth, levels), "levels")
     lowest = leveled.agg(F.min("level").alias("m")).first()["m"]
     if lowest is None:
         return spark.createDataFrame([], empty)
