@@ -77,9 +77,11 @@ class Encoder:
         self.starts = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in got]
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each text, and all ids in a row."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        return sizes, np.fromiter(chain.from_iterable(got), np.uint32, int(sizes.sum()))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         plain = [i for i, t in enumerate(texts) if not self.odd.search(t) and not any(s in t for s in self.special)]
@@ -92,12 +94,11 @@ class Encoder:
                 self.known, self.sizes, self.starts, self.flat = {}, self.sizes[:0], self.starts[:0], self.flat[:0]
             new = list(set(flat).difference(self.known))
             if new:
-                ids = self._whole(new)
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                sizes, ids = self._whole(new)
                 self.known.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new)), strict=True))
                 self.starts = np.concatenate([self.starts, len(self.flat) + spans(sizes)[1]])
                 self.sizes = np.concatenate([self.sizes, sizes])
-                self.flat = np.concatenate([self.flat, *ids])
+                self.flat = np.concatenate([self.flat, ids])
             at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
             sizes = self.sizes[at]
             piece, begins = spans(sizes)
@@ -106,7 +107,8 @@ class Encoder:
             out.update(zip(plain, np.split(ids, ends[:-1]), strict=True))
         rest = [i for i in range(len(texts)) if i not in out]
         if rest:
-            out.update(zip(rest, self._whole([texts[i] for i in rest]), strict=True))
+            sizes, ids = self._whole([texts[i] for i in rest])
+            out.update(zip(rest, np.split(ids, np.cumsum(sizes)[:-1]), strict=True))
         return [out[i] for i in range(len(texts))]
 
 

@@ -217,8 +217,8 @@ def surrogate(kind: str, canon: str, attempt: int = 0, key: bytes = KEY) -> str:
             return pool[draw(len(pool))].lower()
         # Lists end; made-up names, longer with each further draw, do not.
         consonants, vowels = _SYLLABLES[more[0]]
-        return pool[draw(len(pool))].lower() + "".join(
-            consonants[draw(len(consonants))] + vowels[draw(len(vowels))] for _ in range(1 + attempt // 3)
+        return "".join(
+            consonants[draw(len(consonants))] + vowels[draw(len(vowels))] for _ in range(2 + attempt // 3)
         )
     if what == "email":
         local, _, domain = canon.rpartition("@")

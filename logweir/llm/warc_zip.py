@@ -85,7 +85,8 @@ def directory(file: Ranged) -> dict[str, Member]:
     """Members by name, from the central directory. Layouts are those of the public ZIP format."""
     tail_at = max(0, file.size - 22 - 0xFFFF)
     tail = file.read(tail_at, file.size - tail_at)
-    end = tail.rfind(b"PK\x05\x06")
+    # The last mark from which the note reaches exactly to the end of the file.
+    end = tail.rfind(b"PK\x05\x06", 0, max(0, len(tail) - 18))
     while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
         end = tail.rfind(b"PK\x05\x06", 0, end)
     if end < 0:

@@ -1,0 +1,499 @@
+"""Operators against brute force on small fixtures, and on odd rows."""
+
+from __future__ import annotations
+
+import hashlib
+import io
+import random
+import re
+import zipfile
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from logweir.llm import near_dup, pii, prefix_forest, warc_zip
+from logweir.llm.kneser_ney import ORDER, classify, gram_counts, perplexities, probabilities
+from logweir.llm.language_id import Crf, fit_crf, identify, label_texts, posteriors, words_of
+from logweir.llm.main_text import cut, extract, main_text
+from logweir.llm.mixing import mix, route, source_targets, word_count
+from logweir.llm.packing import Encoder, default_tokenizer, pack
+from logweir.llm.quality_rules import FEATURES, apply_rules, fit_trees, statistics
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, size string"
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(["the", "of", "and", "river", "stone", "walks", "light", "green"]) + str(rng.randrange(60)) for _ in range(n))
+
+
+def documents(spark, texts, start=0):
+    rows = [(start + i, t, "en", f"s{i % 3}", 0, "x", "y") for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in every column, empty and long texts, repeated rows, columns with clashing names."""
+    rows = [
+        (1, None, None, None, None, None, None), (2, "", "en", "a", 0, "x", "y"), (3, " \n\t ", "en", None, 3, "x", "y"),
+        (4, "one two", "en", "a", 7, "x", "y"), (4, "one two", "en", "a", 7, "x", "y"), (None, "one two", "de", "b", 7, "x", "y"),
+        (5, "lorem ipsum dolor " * 40_000, "en", "a", 1, "x", "y"), (6, "12 34", "en", "b", 5, "x", "y"),
+    ]
+    return spark.createDataFrame(rows, DOCS)
+
+
+# -- personal data -------------------------------------------------------------
+
+TEXT = (
+    'Mail anna.k@Mail.example.com or ANNA.K@MAIL.EXAMPLE.COM, call +1 (555) 010-7788, card 4111 1111 1111 1111 or '
+    '4111111111111111, host 10.20.30.40, token = "0123456789abcdef0123456789abcdef01234567", ssn 123-45-6789. '
+    "Mr. Smith met Mary Smith and Павел Орлов. version 3.0 of 2024."
+)
+
+
+def test_surrogates_keep_form_and_coreference():
+    parts = pii.find(TEXT)
+    assert [k for _, _, k, _ in parts] == [
+        "email", "email", "phone", "card", "card", "ip", "secret", "ssn", "surname latin", "given latin f",
+        "surname latin", "given cyrillic m", "surname cyrillic",
+    ]
+    new = pii.rewrite(TEXT, parts, {})
+    for old in ("anna.k", "010-7788", "4111 1111", "10.20.30.40", "0123456789abcdef", "123-45-6789", "Smith", "Павел"):
+        assert old not in new
+    out = [(TEXT[a:b], new_part) for (a, b, _, _), new_part in zip(parts, [p for p in _values(new, parts, TEXT)], strict=True)]
+    assert out[0][1].upper() == out[1][1]
+    assert out[3][1].replace(" ", "") == out[4][1] and pii.luhn(out[4][1])
+    assert out[8][1] == out[10][1]
+    assert out[9][1] in pii.GIVEN["latin", "f"] and out[11][1] in pii.GIVEN["cyrillic", "m"]
+    assert new.endswith("version 3.0 of 2024.")
+
+
+def _values(new, parts, old):
+    at, shift = [], 0
+    for a, b, kind, canon in parts:
+        value = pii.fit_form(old[a:b], kind, pii.surrogate(kind, canon))
+        assert new[a + shift : a + shift + len(value)] == value
+        shift += len(value) - (b - a)
+        at.append(value)
+    return at
+
+
+@pytest.mark.parametrize("in_memory", [10**6, 0])
+def test_surrogates_are_distinct(spark, in_memory):
+    given = pii.GIVEN["latin", "f"]
+    texts = [f"{g} Walker wrote to {g.lower()}@site.example.com from 10.0.0.{i}" for i, g in enumerate(given)]
+    docs = documents(spark, texts)
+    found = pii.entities(docs)
+    done = pii.settled(found.cache()).collect()
+    values = Counter((r["kind"], r["value"]) for r in done)
+    assert max(values.values()) == 1 and len(done) == found.count()
+    assert not {(r["kind"], r["value"]) for r in done} & {(r["kind"], r["canon"]) for r in done}
+    out = {r["doc_id"]: r["text"] for r in pii.replace_pii(docs, in_memory=in_memory).collect()}
+    assert len({t.split()[0] for t in out.values()}) == len(given)
+    assert not any(g in out[i] for i, g in enumerate(given))
+    assert len({t.split()[1] for t in out.values()}) == 1
+
+
+def test_surrogates_on_odd_rows(spark, odd):
+    out = pii.replace_pii(odd)
+    assert out.columns == [*odd.columns, "n_entities"]
+    assert sorted(map(str, out.drop("n_entities").collect())) == sorted(map(str, odd.collect()))
+    assert pii.replace_pii(odd.limit(0)).count() == 0
+
+
+# -- quality rules -------------------------------------------------------------
+
+
+def slow_statistics(text):
+    words = WORD.findall(text or "")
+    three = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    often = {w for w, c in Counter(three).items() if c > 1}
+    marked = {i + k for i, w in enumerate(three) if w in often for k in range(3)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return [len(words), sum(map(len, words)), sum((text or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(marked)]
+
+
+def test_statistics_equal_brute_force():
+    rng = random.Random(3)
+    texts = [None, "", " \n", "a a a a", "x\ny\nx\n\n\nx"]
+    texts += ["".join(rng.choice("ab# \n\té|<") for _ in range(rng.randrange(200))) for _ in range(200)]
+    counts, features = statistics(texts)
+    assert counts.tolist() == [slow_statistics(t) for t in texts]
+    assert np.isfinite(features).all() and features.shape[1] == len(FEATURES)
+
+
+def test_trees_are_monotonic():
+    rng = np.random.default_rng(0)
+    x = rng.random((600, 2))
+    y = ((x[:, 0] + 0.3 * np.sin(20 * x[:, 0]) + 0.2 * x[:, 1]) < 0.6).astype(float)
+    trees = fit_trees(x, y, np.array([-1, 0]))
+    line = np.column_stack([np.linspace(0, 1, 300), np.full(300, 0.5)])
+    assert (np.diff(trees.score(line)) <= 1e-12).all()
+    assert ((trees.score(x) > 0.5) == (y > 0)).mean() > 0.8
+
+
+def test_quality_rules_rows(spark, odd):
+    labels = spark.createDataFrame([(5, 0, 0), (4, 1, 0), (None, 1, 0), (7, None, None)], "doc_id long, quality int, toxic int")
+    rows = apply_rules(odd, labels).collect()
+    assert len(rows) == 8
+    by_id = {r["doc_id"]: r for r in rows}
+    assert by_id[1]["n_words"] == 0 and by_id[1]["base_failed"] and not by_id[1]["kept"]
+    assert by_id[5]["n_words"] == 120_000 and by_id[5]["n_repeat_words"] == 120_000 and by_id[5]["base_failed"]
+    assert apply_rules(odd.limit(0), labels.limit(0)).count() == 0
+
+
+# -- language ID ---------------------------------------------------------------
+
+LANGS = {"en": "the and of with from house water".split(), "fr": "le la des avec pour maison eau".split()}
+
+
+def sample_texts(n=60):
+    rng = random.Random(5)
+    return [(" ".join(rng.choice(LANGS[g]) for _ in range(30)), g) for g in LANGS for _ in range(n)]
+
+
+def test_forward_backward_equals_enumeration():
+    rng = np.random.default_rng(1)
+    model = Crf(["a", "b"], np.zeros((1, 2)), rng.normal(size=(2, 2)), rng.normal(size=2))
+    counts = np.array([1, 4, 6])
+    emit = rng.normal(size=(11, 2))
+    got, at = posteriors(emit, counts, model), 0
+    for n in counts:
+        total = np.zeros((n, 2))
+        for code in range(2**n):
+            path = [(code >> i) & 1 for i in range(n)]
+            score = model.first[path[0]] + sum(emit[at + i, y] for i, y in enumerate(path))
+            score += sum(model.trans[a, b] for a, b in zip(path, path[1:], strict=False))
+            for i, y in enumerate(path):
+                total[i, y] += np.exp(score)
+        assert np.allclose(got[at : at + n], total / total.sum(1, keepdims=True))
+        at += n
+
+
+def test_long_texts_go_in_segments(monkeypatch):
+    rng = np.random.default_rng(2)
+    model = Crf(["a", "b", "c"], np.zeros((1, 3)), rng.normal(size=(3, 3)), rng.normal(size=3))
+    counts, emit = np.array([700, 3, 1100, 512]), rng.normal(size=(2315, 3))
+    long = posteriors(emit, counts, model)
+    monkeypatch.setattr("logweir.llm.language_id._SEGMENT", 5000)
+    assert np.allclose(long, posteriors(emit, counts, model))
+
+
+def test_languages_of_words_and_texts(spark, odd):
+    model = fit_crf(sample_texts(), per_lang=100)
+    words = "the house of water with the and maison avec la eau pour le des".split()
+    shares = posteriors(model.emissions(words), np.array([len(words)]), model)
+    assert [model.langs[i] for i in shares.argmax(1)] == ["en"] * 7 + ["fr"] * 7
+    langs, score, _ = label_texts(["The House", None, "12 3", "", "la maison"], model, {})
+    assert langs == ["en", "und", "und", "und", "fr"] and (score >= 0).all() and (score <= 1).all()
+    assert words_of("Ab1c_d É") == ["ab", "c", "d", "é"]
+    out = identify(odd, model)
+    assert out.count() == 8 and out.columns == [c for c in odd.columns if c != "score"] + ["lang_pred", "score"]
+    assert identify(odd.limit(0), fit_crf([])).count() == 0
+    assert {r["lang_pred"] for r in identify(odd, fit_crf([])).collect()} == {"und"}
+
+
+# -- WARC in ZIP ---------------------------------------------------------------
+
+
+def test_directory_with_zip64_and_note(monkeypatch):
+    for limit in (zipfile.ZIP64_LIMIT, 10):
+        monkeypatch.setattr(zipfile, "ZIP64_LIMIT", limit)
+        data = io.BytesIO()
+        with zipfile.ZipFile(data, "w", zipfile.ZIP_STORED) as z:
+            z.comment = b"a note PK\x05\x06 with a mark"
+            for i in range(20):
+                z.writestr(f"m{i}é", bytes([i]) * (i + 30))
+            z.writestr("packed", b"x" * 100, zipfile.ZIP_DEFLATED)
+        file = warc_zip.Ranged(warc_zip.InMemory(data.getvalue()))
+        members = warc_zip.directory(file)
+        assert len(members) == 21
+        for i in range(20):
+            m = members[f"m{i}é"]
+            assert file.read(warc_zip.stored_at(file, m), m.size) == bytes([i]) * (i + 30)
+        with pytest.raises(ValueError, match="compressed"):
+            warc_zip.stored_at(file, members["packed"])
+    with pytest.raises(ValueError, match="no end record"):
+        warc_zip.directory(warc_zip.Ranged(warc_zip.InMemory(b"nothing")))
+
+
+def test_archive_round_trip(spark):
+    same = "<p>" + "é\r\n\r\n" * 60
+    pages = [(7, "http://a b", same), (3, None, same), (9, "u", same), (1, "u", "short"), (2, "u", "short"), (4, "u", None), (None, "u", same), (5, "u", "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("digest", F.lit(1))
+    out = {r["page_id"]: r for r in warc_zip.round_trip(df).collect()}
+    assert len(out) == len(pages)
+    for page, _, html in pages:
+        raw, r = (html or "").encode(), out[page]
+        assert (r["payload_bytes"], r["payload_digest"]) == (len(raw), hashlib.sha256(raw).hexdigest())
+        if html == same and page != 3:
+            assert (r["record_type"], r["refers_to"]) == ("revisit", 3)
+        else:
+            assert (r["record_type"], r["refers_to"]) == ("response", None) and bytes(r["payload"]) == raw
+    assert warc_zip.round_trip(df.limit(0)).count() == 0
+
+
+# -- mixing ----------------------------------------------------------------------
+
+
+def test_targets_and_flow():
+    sizes = {"b": 100, "a": 10, "c": 1000, None: 50}
+    targets = source_targets(sizes)
+    assert targets["a"] == 20 and targets["b"] == 200 and sum(targets.values()) == pytest.approx(1.5 * 1160)
+    assert all(t <= 2 * sizes[s] + 1e-9 for s, t in targets.items())
+    flows = route([(("a",), 10), (("a", "b"), 50), (("b",), 30)], {"a": 40.0, "b": 60.0})
+    assert sum(f.get("a", 0) for f in flows) == 40 and sum(f.get("b", 0) for f in flows) == 60
+    # Ninety words are there once and a hundred are asked for: only ten are repeated.
+    used = [sum(f.values()) for f in flows]
+    assert sum(max(0, u - s) for u, s in zip(used, (10, 50, 30), strict=True)) == 10
+
+
+def test_mix_meets_targets(spark, odd):
+    rng = random.Random(1)
+    rows = [(i, prose(rng, rng.randrange(5, 60)), rng.choice(["a", "b", "b", "b", None])) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sized = docs.withColumn("size", word_count()).withColumn("sources", F.array("source"))
+    runs = []
+    for n in (2, 5):
+        mixed, goals = mix(sized.repartition(n))
+        runs.append(sorted((r["doc_id"], r["taken"]) for r in mixed.collect()))
+    assert runs[0] == runs[1]
+    size = {r["doc_id"]: r["size"] for r in sized.collect()}
+    assert all(t in (0, size[d], 2 * size[d]) for d, t in runs[0])
+    source = {i: s for i, _, s in rows}
+    for goal in goals.collect():
+        got = sum(t for d, t in runs[0] if source[d] == goal["source"])
+        assert abs(got - goal["target"]) <= 5
+    mixed, goals = mix(odd.withColumn("size", word_count()).withColumn("sources", F.array("source")))
+    assert mixed.count() == 8 and goals.count() == 3
+    assert mix(odd.limit(0).withColumn("size", word_count()).withColumn("sources", F.array("source")))[0].count() == 0
+
+
+# -- packing ---------------------------------------------------------------------
+
+
+def test_encoder_equals_library():
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("ab é'sld \n\t 1²!  Ω\x1d\x85日") for _ in range(rng.randrange(40))) for _ in range(500)]
+    texts += ["<|endoftext|> x", "", "don't we'll"]
+    encoder = Encoder(default_tokenizer())
+    whole = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in encoder.encode(texts)] == whole == [x.tolist() for x in encoder.encode(texts)]
+
+
+@pytest.mark.parametrize("window", [16, 1024])
+def test_pieces_cover_every_id_once(spark, odd, window):
+    rng = random.Random(4)
+    docs = odd.select("doc_id", "text").union(documents(spark, [prose(rng, rng.randrange(1, 300)) for _ in range(40)], 100).select("doc_id", "text"))
+    pieces = [r.asDict() for r in pack(docs.repartition(3), default_tokenizer(), window).collect()]
+    encoder = Encoder(default_tokenizer())
+    want = Counter()
+    for r in docs.collect():
+        ids = [*encoder.tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 0]
+        want[r["doc_id"], len(ids)] += 1
+    assert Counter((p["doc_id"], p["doc_tokens"]) for p in pieces if p["start"] == 0) == want
+    rows = defaultdict(list)
+    for p in pieces:
+        rows[p["sequence_id"]].append((p["offset"], p["length"]))
+    for n, row in rows.items():
+        ends = [0]
+        for offset, length in sorted(row):
+            assert offset == ends[-1]
+            ends.append(offset + length)
+        assert ends[-1] == window or n == max(rows)
+    ids = np.array([*encoder.tokenizer.encode("one two", add_special_tokens=False).ids, 0], "<u4")
+    if window > 16:
+        assert zlib.crc32(ids.tobytes()) in {p["ids_crc32"] for p in pieces if p["doc_id"] == 4}
+    assert pack(docs.limit(0), default_tokenizer()).count() == 0
+
+
+# -- main text -------------------------------------------------------------------
+
+
+def test_main_text_of_pages(spark):
+    page = """<html><head><title>No</title></head><body><header><a href=/>Site</a></header><nav><ul><li><a href=x>One</a></ul></nav>
+    <div class="cookie-notice"><p>We use cookies to make this site work well for all of you.</p></div><main><article><header><h1>A &amp; B</h1></header>
+    <p>First   <b>par</b>agraph<br>goes on.<p>Short.<script>var t = "<p>x</p>";</script><!-- <p>gone</p> --><table><tr><td>x<td>y</table>
+    <div class=ad>Buy one of these now, they are cheap.</div><p>All rights reserved.</article><section id=comments><p>I think this is a great text, thank you.</p></section></main>
+    <aside><p>Related stories that run on and on, for a whole line.</p></aside><form><p>Write your name here</p></form><footer>&copy; us</footer>"""
+    assert main_text(page) == "A & B\nFirst paragraph goes on.\nShort.\nx\ny\nAll rights reserved."
+    rows = [(1, "u", None), (2, None, ""), (3, "u", "plain &lt; words"), (3, "u", "plain &lt; words"), (None, "u", "<p>a" + "<b>" * 3000 + "b"), (4, "u", "<<<>>>&&<p")]
+    out = extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("x"))).collect()
+    assert len(out) == 6
+    assert all(r["n_chars"] == len(r["text"]) for r in out)
+    assert [r["text"] for r in out if r["page_id"] in (1, 2)] == ["", ""]
+
+
+def test_cut_is_minimal():
+    rng = random.Random(6)
+    for _ in range(200):
+        n = rng.randrange(1, 8)
+        terminal = [(rng.choice([0, rng.random() * 2]), rng.choice([0, rng.random() * 2])) for _ in range(n)]
+        ties = [(a, b, rng.random()) for a in range(n) for b in range(a) if rng.random() < 0.5]
+
+        def cost(labels, terminal=terminal, ties=ties):
+            own = sum(c if keep else b for (c, b), keep in zip(terminal, labels, strict=True))
+            return own + sum(w for a, b, w in ties if labels[a] != labels[b])
+
+        best = min(cost([bool(code >> i & 1) for i in range(n)]) for code in range(2**n))
+        assert cost(cut(terminal, ties)) == pytest.approx(best)
+
+
+# -- near duplicates -------------------------------------------------------------
+
+
+def windows(text):
+    words = WORD.findall((text or "").lower())
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def slow_classes(rows, threshold=0.8):
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    sets = {i: windows(t) for i, t in rows}
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in root}
+
+
+def near_texts(rng):
+    """Copies, near copies, chains that only hubs after hubs can find, and texts that share a passage."""
+    texts = [prose(rng, 80) for _ in range(20)]
+    base = prose(rng, 100).split()
+    for i in range(60):
+        words = list(base)
+        for k in range(i // 4):
+            words[(7 * k) % 100] = f"new{i}-{k}"
+        texts.append(" ".join(words))
+    passage = prose(rng, 60)
+    texts += [f"{passage} {prose(rng, 30)}" for _ in range(30)]
+    chain = prose(rng, 120).split()
+    for i in range(25):
+        texts.append(" ".join(chain[3 * i : 3 * i + 60]))
+    return texts + texts[:5] + ["one two", "one two", "One  two", "", " "]
+
+
+@pytest.mark.parametrize("all_pairs", [12, 2])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, all_pairs):
+    monkeypatch.setattr(near_dup, "_ALL_PAIRS", all_pairs)
+    texts = near_texts(random.Random(8))
+    rows = list(enumerate(texts))
+    random.Random(9).shuffle(rows)
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, kept string")
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(docs).collect()}
+    assert got == slow_classes(rows)
+
+
+def test_probminhash_estimates():
+    rng = np.random.default_rng(0)
+    keys = rng.integers(0, 2**63, 300).astype(np.uint64)
+    a, b = rng.random(300) + 0.1, rng.random(300) + 0.1
+    a[:50], b[250:] = 0, 0
+    one, two = np.flatnonzero(a), np.flatnonzero(b)
+    both = a * b > 0
+    want = sum(1 / np.maximum(a / a[i], b / b[i]).sum() for i in np.flatnonzero(both))
+    slots = 4000
+    sig = near_dup.prob_minhash(np.repeat([0, 1], [len(one), len(two)]), np.concatenate([keys[one], keys[two]]), np.concatenate([a[one], b[two]]), 2, slots)
+    assert abs((sig[0] == sig[1]).mean() - want) < 0.03
+
+
+def test_near_duplicates_on_odd_rows(spark, odd):
+    out = near_dup.near_duplicates(odd).collect()
+    assert len(out) == 8
+    assert {r["doc_id"]: r["class_id"] for r in out} == {1: 1, 2: 2, 3: 3, 4: 4, None: 4, 5: 5, 6: 6}
+    assert near_dup.near_duplicates(odd.limit(0)).count() == 0
+
+
+# -- Kneser-Ney ------------------------------------------------------------------
+
+
+def test_probabilities_sum_to_one(spark):
+    rng = random.Random(7)
+    texts = [prose(rng, 40) for _ in range(20)]
+    docs = documents(spark, texts).withColumn("train", F.lit(True))
+    grams = gram_counts(docs).cache()
+    seen = [r["g"] for r in grams.collect()]
+    letters = sorted({c for g in seen for c in g}) + ["Ж"]  # one for all unseen
+    asked = [("en", h + c) for h in {"rive", "r ri", "zzzz", seen[0][:4]} for c in letters]
+    extra = spark.createDataFrame(asked, "lang string, g string").join(grams, ["lang", "g"], "left_anti").withColumn("c", F.lit(0).cast("long"))
+    p = {r["g"]: r["p"] for r in probabilities(grams.unionByName(extra)).collect()}
+    for h in {g[:4] for _, g in asked}:
+        assert sum(p[h + c] for c in letters) == pytest.approx(1.0)
+    assert all(len(g) == ORDER for g in p)
+
+
+def test_perplexity_does_not_depend_on_shards(spark, odd):
+    docs = odd.select("doc_id", "text", F.lit("en").alias("lang"), F.lit(True).alias("train"), F.lit(False).alias("calibrate"))
+    docs = docs.withColumn("h", F.xxhash64("text"))
+    table = probabilities(gram_counts(docs)).cache()
+    one, many = (
+        sorted(((r["doc_id"] or 0), r["n"], round(r["perplexity"] or 0, 5)) for r in perplexities(docs, table, n).collect()) for n in (10**6, 7)
+    )
+    assert one == many and len(one) == 8
+
+
+def test_classifier_keeps_clean_text(spark, odd):
+    rng = random.Random(11)
+    texts = [prose(rng, 60) for _ in range(120)] + ["".join(rng.choice("#%&xqzj9 ") for _ in range(300)) for _ in range(20)]
+    docs = documents(spark, texts)
+    out = {r["doc_id"]: r["kept"] for r in classify(docs, docs.where("doc_id < 100").select("doc_id")).collect()}
+    assert not any(out[i] for i in range(120, 140)) and sum(out[i] for i in range(120)) >= 110
+    rows = classify(odd, odd.select("doc_id")).collect()
+    assert len(rows) == 8 and not any(r["kept"] for r in rows if r["doc_id"] in (1, 2, 3))
+    assert classify(odd.limit(0), odd.select("doc_id")).count() == 0
+
+
+# -- nearest neighbours ------------------------------------------------------------
+
+
+def test_search_is_exact_when_all_are_candidates(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 8)).astype(np.float32) * rng.random((300, 1)).astype(np.float32)
+    x[40:80] = x[40]
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    bad = [(1000, None, 1), (1020, [0.0] * 8, 1), (1040, [float("nan")] * 8, 1), (1060, [1.0, None] + [0.0] * 6, 1), (None, [1.0] * 8, 1), (1080, [1.0], 1), (1100, [float("inf")] * 8, 1)]
+    df = spark.createDataFrame(rows + bad + rows[:3], "vec_id long, embedding array<float>, rank int")
+    exact = x.astype(float) @ x.astype(float).T
+    got = defaultdict(list)
+    for r in prefix_forest.nearest(df, F.col("id") % 20 == 0, 7).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    assert sorted(got) == list(range(0, 300, 20))
+    for q, found in got.items():
+        scores = [((x[i].astype(float) * x[q].astype(float)).sum(), i) for i in range(300) if i != q]
+        want = sorted(scores, key=lambda s: (-s[0], s[1]))[:7]
+        assert [(n, i) for n, i, _ in found] == [(k + 1, i) for k, (_, i) in enumerate(want)]
+        assert [s for *_, s in found] == [s for s, _ in want]
+        assert abs(found[0][2] - np.delete(exact[q], q).max()) < 1e-9
+    few = prefix_forest.nearest(df.where("vec_id < 5"), F.col("id") % 20 == 0, 7)
+    assert few.count() == 4
+    assert prefix_forest.nearest(df.limit(0), F.col("id") % 20 == 0).count() == 0
+
+
+def test_search_recall(spark, monkeypatch):
+    monkeypatch.setattr(prefix_forest, "PART_ENTRIES", 300)
+    monkeypatch.setattr(prefix_forest, "PART_QUERIES", 20)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = prefix_forest.nearest(df, F.col("id") % 20 == 0, 10, wanted=6000).collect()
+    found = defaultdict(set)
+    for r in rows:
+        found[r["query_id"]].add(r["vec_id"])
+    hits = 0
+    for q, ids in found.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(ids & set(np.argsort(-s)[:10].tolist()))
+    assert len(found) == 150 and hits / 1500 >= 0.9
