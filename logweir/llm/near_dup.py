@@ -35,8 +35,8 @@ from logweir.llm.common import WORD, chunks, hash_words, mix, spans, written
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
-# Texts in a bucket whose pairs are all compared.
-_ALL_PAIRS = 12
+# Texts in a bucket whose pairs are all compared: in buckets of one equal band, of two, of more.
+_ALL_PAIRS = (12, 64, 256)
 # Further bands that larger buckets are cut by before hubs follow each other in place.
 _CUTS = 2
 
@@ -154,8 +154,9 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
         )
         hubs = hubs.where((F.col("n") > 1) & (F.col("hub.o") == 0))
         buckets = written(members.join(hubs.select("key", "n", F.col("hub.doc_id").alias("hub")), "key"), "buckets")
-        small = buckets.where(F.col("n") <= _ALL_PAIRS)
-        large = buckets.where(F.col("n") > _ALL_PAIRS)
+        few = _ALL_PAIRS[min(level, len(_ALL_PAIRS) - 1)]
+        small = buckets.where(F.col("n") <= few)
+        large = buckets.where(F.col("n") > few)
         one, two = small.select("key", F.col("doc_id").alias("x")), small.select("key", F.col("doc_id").alias("y"))
         pairs = one.join(two, "key").where(F.col("x") < F.col("y")).select(*_pair("x", "y"))
         pairs = pairs.union(large.where(F.col("doc_id") != F.col("hub")).select(*_pair("doc_id", "hub"))).distinct()
