@@ -93,7 +93,9 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             if not len(ends):
                 continue
             key = _keys(points, ends, hash_words(langs)[doc])
-            kinds, first, which = np.unique(key, return_index=True, return_inverse=True)
+            which, kinds = pd.factorize(key)
+            first = np.zeros(len(kinds), np.int64)
+            first[which[::-1]] = np.arange(len(which))[::-1]
             weight = part["train"].to_numpy(bool)[doc]
             counts = np.bincount(which, weight, len(kinds)).astype(np.int64)
             held.append(pd.DataFrame({"key": kinds, "lang": langs[doc[first]], "g": _strings(points, ends[first]), "c": counts}))
@@ -160,16 +162,24 @@ def probabilities(grams: DataFrame) -> DataFrame:
     return below
 
 
+def _as_keys(table: DataFrame) -> DataFrame:
+    """key, logp: numbers in place of language and n-gram."""
+
+    def run(batches):
+        for batch in batches:
+            wide = np.array(batch["g"].to_numpy(object), dtype=f"<U{ORDER}").view(np.uint32)
+            ends = np.arange(len(batch)) * ORDER + ORDER - 1
+            keys = _keys(wide, ends, hash_words(batch["lang"].to_numpy(object)))
+            yield pd.DataFrame({"key": keys.view(np.int64), "logp": np.log(batch["p"].to_numpy(float)).astype(np.float32)})
+
+    return table.mapInPandas(run, "key long, logp float")
+
+
 def _sums(docs: DataFrame, table: pd.DataFrame, shard: int) -> DataFrame:
     """doc_id, h, lang, train, calibrate, shard, n, logp: sums over the n-grams of one shard."""
-    values = table["g"].to_numpy(object)
-    wide = np.array(values, dtype=f"<U{ORDER}").view(np.uint32).reshape(-1, ORDER) if len(values) else np.zeros((0, ORDER), np.uint32)
-    ends = np.arange(len(wide)) * ORDER + ORDER - 1
-    keys = _keys(wide.ravel(), ends, hash_words(table["lang"].to_numpy(object)) if len(values) else np.zeros(0, np.uint64))
-    order = np.argsort(keys)
-    model = docs.sparkSession.sparkContext.broadcast(
-        (keys[order], np.log(table["p"].to_numpy(float))[order].astype(np.float32))
-    )
+    order = np.argsort(table["key"].to_numpy().view(np.uint64))
+    keys = table["key"].to_numpy().view(np.uint64)[order]
+    model = docs.sparkSession.sparkContext.broadcast((keys, table["logp"].to_numpy(np.float32)[order]))
 
     def run(batches):
         keys, logs = model.value
@@ -178,7 +188,7 @@ def _sums(docs: DataFrame, table: pd.DataFrame, shard: int) -> DataFrame:
             points, doc, ends = windows(part["text"].tolist(), langs)
             n, logp = np.zeros(len(part), np.int64), np.zeros(len(part))
             if len(ends) and len(keys):
-                kinds, which = np.unique(_keys(points, ends, hash_words(langs)[doc]), return_inverse=True)
+                which, kinds = pd.factorize(_keys(points, ends, hash_words(langs)[doc]))
                 at = np.minimum(np.searchsorted(keys, kinds), len(keys) - 1)
                 mine = keys[at] == kinds
                 value = np.where(mine, logs[at], 0.0)
@@ -199,7 +209,7 @@ def perplexities(docs: DataFrame, table: DataFrame, shard_rows: int = SHARD_ROWS
     parts = []
     for s in range(shards):
         # One shard passes the driver at a time; its size is bounded.
-        rows = table.where(F.pmod(F.xxhash64("lang", "g"), F.lit(shards)) == s).toPandas()
+        rows = _as_keys(table.where(F.pmod(F.xxhash64("lang", "g"), F.lit(shards)) == s)).toPandas()
         parts.append(written(_sums(docs, rows, s), "sums"))
     whole = parts[0]
     for part in parts[1:]:
