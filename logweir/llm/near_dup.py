@@ -13,7 +13,8 @@ In a larger one every text is compared with a hub only. Texts that reach the
 hub are one class with it. The others, with those texts near enough to the edge
 to reach them (distance is a metric, so no other can), go on: first to buckets
 of two and of three equal bands, then, hub after hub, until none is left. So no
-bucket is ever expanded into all pairs and no link between classes is lost.
+larger bucket is ever expanded into all pairs and no link between classes is
+lost. Texts that earlier rounds put in one class are not compared again.
 Pairs count if the Jaccard similarity of their sets of windows is at least the
 threshold. Classes are the connected components of these links.
 
@@ -143,7 +144,7 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
     far = 1.0 - threshold
     # path: the last band that the key is made of; open: not yet in a class with what it was compared with.
     members = reps.select("doc_id", F.posexplode("bands").alias("path", "h")).select(
-        "doc_id", F.xxhash64("path", "h").alias("key"), "path", F.lit(1).alias("open")
+        "doc_id", F.xxhash64("path", "h").alias("key"), "path", F.lit(1).alias("open"), F.col("doc_id").alias("root")
     )
     done: DataFrame | None = None
     level = 0
@@ -151,14 +152,16 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
         hubs = members.groupBy("key").agg(
             F.count(F.lit(1)).alias("n"),
             F.min(F.struct((1 - F.col("open")).alias("o"), "doc_id")).alias("hub"),
+            F.min("root").alias("low"),
+            F.max("root").alias("high"),
         )
-        hubs = hubs.where((F.col("n") > 1) & (F.col("hub.o") == 0))
+        hubs = hubs.where((F.col("n") > 1) & (F.col("hub.o") == 0) & (F.col("low") < F.col("high")))
         buckets = written(members.join(hubs.select("key", "n", F.col("hub.doc_id").alias("hub")), "key"), "buckets")
         few = _ALL_PAIRS[min(level, len(_ALL_PAIRS) - 1)]
         small = buckets.where(F.col("n") <= few)
         large = buckets.where(F.col("n") > few)
-        one, two = small.select("key", F.col("doc_id").alias("x")), small.select("key", F.col("doc_id").alias("y"))
-        pairs = one.join(two, "key").where(F.col("x") < F.col("y")).select(*_pair("x", "y"))
+        one, two = (small.select("key", F.col("doc_id").alias(c), F.col("root").alias(f"{c}_root")) for c in "xy")
+        pairs = one.join(two, "key").where("x < y and x_root <> y_root").select(*_pair("x", "y"))
         pairs = pairs.union(large.where(F.col("doc_id") != F.col("hub")).select(*_pair("doc_id", "hub"))).distinct()
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
@@ -171,17 +174,22 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
         edge = written(edge, "edge")
         if edge.isEmpty():
             return done.where(F.col("sim") >= threshold)
+        # Texts that are in one class already need no further link between them.
+        of_class = components(done.where(F.col("sim") >= threshold)).toDF("doc_id", "root")
         rest = tested.join(edge, "key").where(
             (F.col("sim") < threshold) | (1 - F.col("sim") >= 1 - F.col("nearest") - far - 1e-9)
         )
         rest = rest.select("doc_id", "key", "path", (F.col("sim") < threshold).cast("int").alias("open"))
+        rest = rest.join(of_class, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+        mixed = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        rest = written(rest.join(mixed.select("key"), "key", "left_semi"), "rest")
         if level < _CUTS:
             further = F.posexplode("bands").alias("next", "h")
             rest = (
                 rest.join(reps, "doc_id")
-                .select("doc_id", "key", "path", "open", further)
+                .select("doc_id", "key", "path", "open", "root", further)
                 .where(F.col("next") > F.col("path"))
-                .select("doc_id", F.xxhash64("key", "next", "h").alias("key"), F.col("next").alias("path"), "open")
+                .select("doc_id", F.xxhash64("key", "next", "h").alias("key"), F.col("next").alias("path"), "open", "root")
             )
         members = written(rest, "members")
         level += 1

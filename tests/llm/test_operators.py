@@ -385,7 +385,7 @@ def near_texts(rng):
     return texts + texts[:5] + ["one two", "one two", "One  two", "", " "]
 
 
-@pytest.mark.parametrize("all_pairs", [(12, 64, 256), (2, 2, 2)])
+@pytest.mark.parametrize("all_pairs", [(12, 64, 256), (4, 8, 16)])
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, all_pairs):
     monkeypatch.setattr(near_dup, "_ALL_PAIRS", all_pairs)
     texts = near_texts(random.Random(8))
