@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm.common import chunks, hash_words, mix, spans, written
+from logweir.llm.common import chunks, fresh_path, hash_words, mix, spans, written
 from logweir.operators.lookup import lookup_join
 
 ORDER = 5
@@ -175,14 +175,25 @@ def _as_keys(table: DataFrame) -> DataFrame:
     return table.mapInPandas(run, "key long, logp float")
 
 
-def _sums(docs: DataFrame, table: pd.DataFrame, shard: int) -> DataFrame:
+def _load(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """A shard of the table, sorted by key; read by the task itself from the shared folder."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    system, place = fs.FileSystem.from_uri(path if ":/" in path else f"file://{path}")
+    files = [f.path for f in system.get_file_info(fs.FileSelector(place)) if f.path.endswith(".parquet")]
+    parts = [pq.ParquetFile(system.open_input_file(f)).read() for f in files]
+    keys = np.concatenate([t["key"].to_numpy() for t in parts] or [np.zeros(0, np.int64)]).view(np.uint64)
+    logs = np.concatenate([t["logp"].to_numpy() for t in parts] or [np.zeros(0, np.float32)])
+    order = np.argsort(keys)
+    return keys[order], logs[order]
+
+
+def _sums(docs: DataFrame, path: str, shard: int) -> DataFrame:
     """doc_id, h, lang, train, calibrate, shard, n, logp: sums over the n-grams of one shard."""
-    order = np.argsort(table["key"].to_numpy().view(np.uint64))
-    keys = table["key"].to_numpy().view(np.uint64)[order]
-    model = docs.sparkSession.sparkContext.broadcast((keys, table["logp"].to_numpy(np.float32)[order]))
 
     def run(batches):
-        keys, logs = model.value
+        keys, logs = _load(path)
         for part in chunks(batches):
             langs = part["lang"].to_numpy(object)
             points, doc, ends = windows(part["text"].tolist(), langs)
@@ -208,9 +219,9 @@ def perplexities(docs: DataFrame, table: DataFrame, shard_rows: int = SHARD_ROWS
     shards = max(1, -(-table.count() // shard_rows))
     parts = []
     for s in range(shards):
-        # One shard passes the driver at a time; its size is bounded.
-        rows = _as_keys(table.where(F.pmod(F.xxhash64("lang", "g"), F.lit(shards)) == s)).toPandas()
-        parts.append(written(_sums(docs, rows, s), "sums"))
+        path = fresh_path(docs.sparkSession, "shard")
+        _as_keys(table.where(F.pmod(F.xxhash64("lang", "g"), F.lit(shards)) == s)).write.parquet(path)
+        parts.append(written(_sums(docs, path, s), "sums"))
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.union(part)
