@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 def parse_datetime(date: Column, time: Column) -> Column:
     """`date` + `time` -> timestamp without zone; null if either part is null.
 
-    Text in another form than `2024-03-20 01:02:03` is an error under Spark's
-    default ANSI mode.
+    Text in another form than `2024-03-20 01:02:03` is an error, whatever
+    `spark.sql.ansi.enabled` says.
     """
     text = F.concat(date, F.lit(" "), time)
     # A cast takes half the time of a pattern, but also takes other forms. Text
@@ -26,7 +26,10 @@ def parse_datetime(date: Column, time: Column) -> Column:
         & F.substring(time, 8, 1).between("0", "9")
     )
     exact = F.to_timestamp_ntz(text, F.lit("yyyy-MM-dd HH:mm:ss"))
-    return F.when(outline, text.cast("timestamp_ntz")).otherwise(exact)
+    parsed = F.when(outline, text.cast("timestamp_ntz")).otherwise(exact)
+    message = F.concat(F.lit("not a date and time: "), text)
+    wrong = F.when(text.isNotNull(), F.raise_error(message).cast("timestamp_ntz"))
+    return F.coalesce(parsed, wrong)
 
 
 def bucket_start(moment: Column, bucket: str = "minute") -> Column:

@@ -103,12 +103,12 @@ def _like(pattern: str) -> str:
 
 
 def is_blocked(
-    url: Column, patterns: Iterable[str] = DEFAULT_BLOCKED_URLS, match: str = "whole"
+    url: Column, patterns: Iterable[str] = DEFAULT_BLOCKED_URLS, match: str = "part"
 ) -> Column:
     """Does any wildcard pattern fit the URL? False for a null URL.
 
-    ``match="whole"`` compares with the whole URL, ``match="part"`` finds the
-    pattern anywhere in it. Each pattern becomes a LIKE, which Catalyst turns
+    ``match="part"`` finds the pattern anywhere in the URL, ``match="whole"``
+    compares with the whole URL. Each pattern becomes a LIKE, which Catalyst turns
     into a prefix, suffix or substring test where it can, so this is one map
     step with neither join nor regex.
     """

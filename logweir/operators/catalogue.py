@@ -13,7 +13,7 @@ from logweir.functions.links import date_from_link
 def link_catalogue(links: DataFrame, suffix: str = ".zip") -> DataFrame:
     """(`log_date`, `link`) of the links that end in ``suffix``.
 
-    The last link of a day, by `pos`, wins.
+    The last link of a day, by `pos`, wins; of equal ones the greater text.
     """
     dated = links.where(F.col("link").endswith(suffix)).withColumn(
         "log_date", date_from_link(F.col("link"))
@@ -21,7 +21,7 @@ def link_catalogue(links: DataFrame, suffix: str = ".zip") -> DataFrame:
     return (
         dated.where(F.col("log_date").isNotNull())
         .groupBy("log_date")
-        .agg(F.max_by("link", "pos").alias("link"))
+        .agg(F.max(F.struct("pos", "link"))["link"].alias("link"))
     )
 
 

@@ -6,7 +6,7 @@ import csv
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.operators.columns import conform, require_columns
@@ -18,6 +18,9 @@ from logweir.schemas import COUNTRY_MAPPING
 NOT_FOUND = "not found"
 
 
+_RULES = "priority int, pattern string, standard_name string"
+
+
 class CountryRule(NamedTuple):
     """Names that match the pattern, in any case, get the standard name.
 
@@ -29,8 +32,15 @@ class CountryRule(NamedTuple):
     standard_name: str
 
 
-def read_rules(path: str) -> list[CountryRule]:
-    """Rules from a CSV file with the header `priority,pattern,standard_name`."""
+def read_rules(path: str, spark: SparkSession | None = None) -> list[CountryRule]:
+    """Rules from a CSV file with the header `priority,pattern,standard_name`.
+
+    With a session the file may be anywhere Spark reads from.
+    """
+    if spark is not None:
+        options = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+        rows = spark.read.options(**options).schema(_RULES).csv(path).collect()
+        return [CountryRule(*row) for row in rows]
     with open(path, newline="", encoding="utf-8") as file:
         return [
             CountryRule(int(row["priority"]), row["pattern"], row["standard_name"])

@@ -178,6 +178,9 @@ def run(
     compression: str = COMPRESSION,
     stage_compression: str = STAGE_COMPRESSION,
     days_per_job: int | None = None,
+    bucket: str = "minute",
+    strict: bool = False,
+    retry: bool = False,
     report: Callable[[str, dict[str, int]], None] | None = None,
 ) -> DataFrame:
     """Process the days from ``start`` to ``end`` and return their output rows.
@@ -187,7 +190,8 @@ def run(
     stage always runs, so that an edit of the mapping takes effect. A stage
     works on all its days at once, or on ``days_per_job`` at a time: a run that
     breaks off then goes on where it was, and the tables that are broadcast
-    stay small. ``report`` is called with the name of each stage and its counts
+    stay small. ``bucket`` and ``strict`` go to :func:`clean_log`, ``retry`` to
+    :func:`standardise_country`. ``report`` is called with the name of each stage and its counts
     after every job.
     """
     layout = Layout(root)
@@ -211,7 +215,7 @@ def run(
 
     for part in pending(layout.no_bots):
         converted = read_days(spark, layout.converted, part, _CONVERTED)
-        store("no_bots", layout.no_bots, clean_log(converted, r, p, v), part)
+        store("no_bots", layout.no_bots, clean_log(converted, r, p, v, bucket, strict), part)
 
     for part in pending(layout.ip_enriched):
         enriched, _ = enrich_ip(
@@ -231,6 +235,7 @@ def run(
             conform(mapping, COUNTRY_MAPPING),
             rules,
             unmatched=unmatched,
+            retry=retry,
             save=lambda table: write_next(table, layout.country_mapping),
         )
         store("output", layout.output, output, part)

@@ -7,16 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from logweir.operators.addresses import repeated_starts
 from logweir.sources.logs import read_ip_ranges
 from logweir.sources.tables import write_table
+from logweir.sources.workspace import written
 
 
 def load_ip_ranges(spark: SparkSession, csv_path: str, target: str) -> DataFrame:
     """Convert the CSV file to Parquet once; later runs start from there.
 
-    Starts that occur twice are an error: they would multiply log rows.
+    Starts that occur twice are an error: they would multiply log rows. The
+    table that is there already stays as it is then.
     """
-    write_table(read_ip_ranges(spark, csv_path), target, mode="overwrite")
-    ranges = spark.read.parquet(target)
+    ranges = written(read_ip_ranges(spark, csv_path), "ip-ranges")
     repeated = repeated_starts(ranges).select("ip_from").take(5)
     if repeated:
         raise ValueError(f"range starts occur more than once: {[r.ip_from for r in repeated]}")
-    return ranges
+    write_table(ranges, target, mode="overwrite")
+    return spark.read.parquet(target)

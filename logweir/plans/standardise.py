@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from logweir.operators.columns import require_columns
 from logweir.operators.countries import (
@@ -30,6 +31,7 @@ def standardise_country(
     unmatched: str = NOT_FOUND,
     save: Save | None = None,
     limit: int = BROADCAST_BYTES,
+    retry: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Returns (table with standard names, mapping to use next time).
 
@@ -37,8 +39,17 @@ def standardise_country(
     stays. New names are converted by the rules and come first in the new
     mapping, which ``save`` writes and reads back. The table is read twice, the
     first time for its country names only.
+
+    Without rules there is nothing to convert by: names the mapping lacks stay,
+    and the mapping does not grow. With rules, names that an earlier run could
+    not convert (`not found`) are tried again if ``retry`` is set.
     """
     mapping = require_columns(mapping, COUNTRY_MAPPING.names, "country mapping")
+    rules = list(rules)
+    if not rules:
+        return apply_mapping(df, mapping, country_col, limit), mapping
+    if retry:
+        mapping = mapping.where(~F.col("cleaned_country_name").eqNullSafe(F.lit(NOT_FOUND)))
     new = written(unmapped_names(df, mapping, country_col), "new-names")
     if not new.isEmpty():
         keep = save or (lambda table: written(table, "country-mapping"))

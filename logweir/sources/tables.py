@@ -51,8 +51,24 @@ def present_days(spark: SparkSession, path: str) -> DataFrame:
 def read_days(
     spark: SparkSession, path: str, days: Iterable[dt.date], schema: T.StructType | None = None
 ) -> DataFrame:
-    """Rows of some days; the other partitions are not read."""
-    return read_table(spark, path, schema).where(F.col(DAY).isin(list(days)))
+    """Rows of some days; the other partitions are not read.
+
+    Days may have columns of their own: the table has those of all its wanted
+    days, null where a day lacks them. A column with two types is an error.
+    """
+    days = list(days)
+    there = set(names_in(spark, path))
+    folders = [f"{path}/{DAY}={d.isoformat()}" for d in days if f"{DAY}={d.isoformat()}" in there]
+    if not folders:
+        return read_table(spark, path, schema).where(F.col(DAY).isin(days))
+    merged = spark.read.option("basePath", path).option("mergeSchema", "true")
+    try:
+        return merged.parquet(*folders).where(F.col(DAY).isin(days))
+    except AnalysisException as error:
+        # Days without rows have no files; the other days know the columns.
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return read_table(spark, path, schema).where(F.col(DAY).isin(days))
 
 
 def write_days(

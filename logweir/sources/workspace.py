@@ -8,7 +8,6 @@ result is used, and lets Spark see the true size before it plans the join.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in `spark.checkpoint.dir`.
 
-    Only a local session without the setting gets a temporary folder.
+    A session without the setting, as in tests, gets a folder in its warehouse,
+    which all executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -25,9 +25,8 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="logweir-"))
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        context.setCheckpointDir(f"{warehouse.rstrip('/')}/_work")
         folder = context.getCheckpointDir()
     return folder
 

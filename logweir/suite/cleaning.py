@@ -85,6 +85,12 @@ def bot_ips_days(spark: SparkSession, folder: str) -> DataFrame:
     return find_bots(_base_days(spark, folder), *thresholds).select("log_date", "ip", "requests")
 
 
+def bot_ips_minute(spark: SparkSession, folder: str) -> DataFrame:
+    base = rule_base(successful_requests(many_days(spark, folder)), "minute")
+    thresholds = (MANY_DAYS[key] for key in "rpv")
+    return find_bots(base, *thresholds).select("log_date", "ip", "requests")
+
+
 def profile_days(spark: SparkSession, folder: str) -> DataFrame:
     return traffic_profile(_base_days(spark, folder))
 
@@ -126,6 +132,7 @@ QUERIES = {
     "q_bot_ips": bot_ips,
     "q_bot_ips_one_pass": bot_ips_one_pass,
     "q_bot_ips_days": bot_ips_days,
+    "q_bots_minute": bot_ips_minute,
     "q_traffic_profile": profile_days,
     "q_clean_log": clean,
     "q_clean_log_days": clean_days,
@@ -208,6 +215,13 @@ SQL = {
     "q_bot_ips_days": with_sql(
         ACCESS_LOG, REQUESTS, _PROFILE_DAYS, _BOTS_DAYS, select="SELECT * FROM bots"
     ),
+    "q_bots_minute": with_sql(
+        ACCESS_LOG,
+        REQUESTS,
+        _PROFILE_DAYS.replace("substr(time, 1, 2) AS hour", "substr(time, 1, 5) AS minute"),
+        _BOTS_DAYS,
+        select="SELECT * FROM bots",
+    ),
     "q_traffic_profile": with_sql(
         ACCESS_LOG, REQUESTS, _PROFILE_DAYS, select="SELECT * FROM profile"
     ),

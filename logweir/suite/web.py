@@ -27,7 +27,7 @@ def url_normalise(spark: SparkSession, folder: str) -> DataFrame:
 
 def url_blocklist(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
-    return pages.where(~is_blocked(F.col("url"), _BLOCKED))
+    return pages.where(~is_blocked(F.col("url"), _BLOCKED, match="whole"))
 
 
 # Ends that make files of the pages' addresses; some are on the default list.
@@ -40,7 +40,19 @@ def url_blocklist_default(spark: SparkSession, folder: str) -> DataFrame:
     end = F.element_at(F.array(*map(F.lit, _ENDS)), number)
     url = F.concat(F.regexp_replace("url", "[?#].*$", ""), end)
     files = table(spark, folder, "pages").select("page_id", url.alias("url"))
-    return files.select("page_id", "url", is_blocked(F.col("url")).alias("blocked"))
+    return files.select("page_id", "url", is_blocked(F.col("url"), match="whole").alias("blocked"))
+
+
+def url_blocklist_part(spark: SparkSession, folder: str) -> DataFrame:
+    """The default list, looked for anywhere in addresses that pass through some of its sites."""
+    number = (F.col("page_id") % len(_VIA) + 1).cast("int")
+    url = F.concat(F.element_at(F.array(*map(F.lit, _VIA)), number), F.col("url"))
+    pages = table(spark, folder, "pages").select("page_id", url.alias("url"))
+    return pages.select("page_id", "url", is_blocked(F.col("url")).alias("blocked"))
+
+
+# What stands before a page's address; two of them are on the default list.
+_VIA = ("", "https://www.youtube.com/redirect?q=", "https://www.facebook.com/l.php?u=", "https://a.example/?u=")
 
 
 def network_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -65,6 +77,7 @@ QUERIES = {
     "q_url_normalise": url_normalise,
     "q_url_blocklist": url_blocklist,
     "q_url_blocklist_default": url_blocklist_default,
+    "q_url_blocklist_part": url_blocklist_part,
     "q_transfer_mb": transfer_mb,
 }
 
@@ -78,6 +91,7 @@ def _like(pattern: str) -> str:
     return f"url LIKE '{text}' ESCAPE '!'"
 
 
+_DEFAULT_PART = " OR ".join(_like(f"*{pattern}*") for pattern in DEFAULT_BLOCKED_URLS)
 _DEFAULT = " OR ".join(_like(pattern) for pattern in DEFAULT_BLOCKED_URLS)
 
 SQL = {
@@ -95,6 +109,12 @@ SQL = {
           FROM pages)""",
         select=f"SELECT page_id, url, {_DEFAULT} AS blocked FROM found",
     ),
+    "q_url_blocklist_part": with_sql(
+        f"""found AS (SELECT page_id, concat(
+          [{', '.join(repr(via) for via in _VIA)}][page_id % {len(_VIA)} + 1], url) AS url
+          FROM pages)""",
+        select=f"SELECT page_id, url, {_DEFAULT_PART} AS blocked FROM found",
+    ),
     "q_transfer_mb": """
         SELECT coalesce(sum(CAST(json_extract_string(props, '$.k') AS double)), 0.0)
           / 1024 / 1024 AS total_mb
