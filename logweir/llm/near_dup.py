@@ -12,9 +12,14 @@ texts with an equal band share a bucket. Small buckets give all their pairs.
 In a larger one every text is compared with a hub only. Texts that reach the
 hub are one class with it. The others, with those texts near enough to the edge
 to reach them (distance is a metric, so no other can), go on: first to buckets
-of two and of three equal bands, then, hub after hub, until none is left. So no
+of an equal window, then, hub after hub, until none is left. For these buckets
+the windows of a text stand in order, rare ones first; two texts of the wanted
+similarity have a window in common among the first fifth of each, so only those
+make buckets, and texts that merely share a common passage rarely meet. So no
 larger bucket is ever expanded into all pairs and no link between classes is
-lost. Texts that earlier rounds put in one class are not compared again.
+lost. Texts that earlier rounds put in one class are not compared again, nor
+those whose numbers of windows alone rule out the similarity. Buckets with the
+same texts in them count once.
 Pairs count if the Jaccard similarity of their sets of windows is at least the
 threshold. Classes are the connected components of these links.
 
@@ -30,16 +35,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from logweir.llm.common import WORD, chunks, hash_words, mix, spans, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
-# Texts in a bucket whose pairs are all compared: in buckets of one equal band, of two, of more.
+# Texts in a bucket whose pairs are all compared: in buckets of an equal band, of an equal window, later.
 _ALL_PAIRS = (12, 64, 256)
-# Further bands that larger buckets are cut by before hubs follow each other in place.
-_CUTS = 2
 
 
 def shingles(texts: list[str | None], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
@@ -89,8 +93,8 @@ def prob_minhash(owner: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int,
     return sig.reshape(n, slots)
 
 
-def band_hashes(texts: list[str | None]) -> tuple[list[bytes | None], list[np.ndarray | None]]:
-    """Digest of the word sequence and hashes of the bands of each text; None without words."""
+def band_hashes(texts: list[str | None]) -> tuple[list[bytes | None], np.ndarray, list[np.ndarray | None]]:
+    """Digest of the word sequence, number of different windows and hashes of the bands of each text; None without words."""
     owner, key, count, words = shingles(texts)
     sig = prob_minhash(owner, key, 1.0 + np.log(np.maximum(count, 1)), len(texts), BANDS * ROWS)
     parts = sig.reshape(len(texts), BANDS, ROWS)
@@ -98,19 +102,20 @@ def band_hashes(texts: list[str | None]) -> tuple[list[bytes | None], list[np.nd
     for r in range(ROWS):
         bands = mix(bands * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, r])
     digests = [hashlib.md5(" ".join(w).encode("utf-8", "surrogatepass")).digest() if w else None for w in words]
-    return digests, [b if w else None for b, w in zip(bands.view(np.int64), words, strict=True)]
+    sizes = np.bincount(owner, minlength=len(texts))
+    return digests, sizes, [b if w else None for b, w in zip(bands.view(np.int64), words, strict=True)]
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, bands of every row."""
+    """doc_id, digest, size, bands of every row."""
 
     def run(batches):
         for part in chunks(batches):
-            digests, bands = band_hashes(part["text"].tolist())
-            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "digest": digests, "bands": bands})
+            digests, sizes, bands = band_hashes(part["text"].tolist())
+            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "digest": digests, "size": sizes, "bands": bands})
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInPandas(run, "doc_id long, digest binary, bands array<long>")
+    return rows.mapInPandas(run, "doc_id long, digest binary, size int, bands array<long>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -132,19 +137,42 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", (common / (F.size("in_a") + F.size("in_b") - common)).alias("sim"))
 
 
+_MEMBER = ("doc_id", "key", "size", "open", "root")
+
+
 def _pair(x: str, y: str) -> list[F.Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def rare_windows(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """``members`` (doc_id, size, open, root) with a row and a key for each window among its first.
+
+    The order of windows, rare ones first, is one for all members. Of a text of
+    ``size`` windows those up to the place size - ceil(threshold * size) + 1
+    count; one that no other member has makes no bucket.
+    """
+    sets = _sets(texts.join(members.select("doc_id"), "doc_id", "left_semi"))
+    held = written(sets.select("doc_id", F.explode("windows").alias("key")), "held")
+    seen = held.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # Windows of one text only come first in every order: their number is what the join leaves out.
+    shared = written(held.join(seen, "key"), "shared")
+    alone = members.join(shared.groupBy("doc_id").agg(F.count(F.lit(1)).alias("others")), "doc_id")
+    first = F.col("size") - F.ceil(threshold * F.col("size") - 1e-9) + 1 - (F.col("size") - F.col("others"))
+    alone = alone.withColumn("first", first).where("first > 0").drop("others")
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "key"))
+    ranked = shared.join(alone.select("doc_id"), "doc_id", "left_semi").withColumn("place", place)
+    return ranked.join(alone, "doc_id").where("place <= first").select(*_MEMBER)
+
+
 def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """a, b, sim for links that connect the same texts as all pairs of at least ``threshold`` do.
 
-    ``reps`` has doc_id and bands, one row for each different text.
+    ``reps`` has doc_id, size and bands, one row for each different text.
     """
     far = 1.0 - threshold
-    # path: the last band that the key is made of; open: not yet in a class with what it was compared with.
-    members = reps.select("doc_id", F.posexplode("bands").alias("path", "h")).select(
-        "doc_id", F.xxhash64("path", "h").alias("key"), "path", F.lit(1).alias("open"), F.col("doc_id").alias("root")
+    # open: not yet in a class with what it was compared with.
+    members = reps.select("doc_id", "size", F.posexplode("bands").alias("path", "h")).select(
+        "doc_id", F.xxhash64("path", "h").alias("key"), "size", F.lit(1).alias("open"), F.col("doc_id").alias("root")
     )
     done: DataFrame | None = None
     level = 0
@@ -154,22 +182,26 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
             F.min(F.struct((1 - F.col("open")).alias("o"), "doc_id")).alias("hub"),
             F.min("root").alias("low"),
             F.max("root").alias("high"),
+            *(F.sum(F.xxhash64("doc_id", F.lit(k)).cast("decimal(38,0)")).alias(f"who{k}") for k in (1, 2)),
         )
         hubs = hubs.where((F.col("n") > 1) & (F.col("hub.o") == 0) & (F.col("low") < F.col("high")))
-        buckets = written(members.join(hubs.select("key", "n", F.col("hub.doc_id").alias("hub")), "key"), "buckets")
+        hubs = hubs.groupBy("n", "who1", "who2", F.col("hub.doc_id").alias("hub")).agg(F.min("key").alias("key"))
+        buckets = written(members.join(hubs.select("key", "n", "hub"), "key"), "buckets")
         few = _ALL_PAIRS[min(level, len(_ALL_PAIRS) - 1)]
         small = buckets.where(F.col("n") <= few)
         large = buckets.where(F.col("n") > few)
-        one, two = (small.select("key", F.col("doc_id").alias(c), F.col("root").alias(f"{c}_root")) for c in "xy")
-        pairs = one.join(two, "key").where("x < y and x_root <> y_root").select(*_pair("x", "y"))
+        one, two = (small.select("key", *(F.col(c).alias(f"{x}_{c}") for c in ("doc_id", "root", "size"))) for x in "xy")
+        near = F.least("x_size", "y_size") >= threshold * F.greatest("x_size", "y_size") - 1e-9
+        pairs = one.join(two, "key").where("x_doc_id < y_doc_id and x_root <> y_root").where(near)
+        pairs = pairs.select(*_pair("x_doc_id", "y_doc_id"))
         pairs = pairs.union(large.where(F.col("doc_id") != F.col("hub")).select(*_pair("doc_id", "hub"))).distinct()
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
         fresh = written(verified(written(pairs, "pairs"), texts), "verified")
         done = fresh if done is None else written(done.union(fresh), "links")
         # Larger buckets: who did not reach the hub, and who may reach those.
-        tested = large.where(F.col("doc_id") != F.col("hub")).select("*", *_pair("doc_id", "hub"))
-        tested = tested.join(done, ["a", "b"]).select("key", "path", "doc_id", "sim")
+        tested = large.where(F.col("doc_id") != F.col("hub")).select(*_MEMBER, *_pair("doc_id", "hub"))
+        tested = tested.drop("open", "root").join(done, ["a", "b"]).drop("a", "b")
         edge = tested.where(F.col("sim") < threshold).groupBy("key").agg(F.max("sim").alias("nearest"))
         edge = written(edge, "edge")
         if edge.isEmpty():
@@ -179,19 +211,14 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
         rest = tested.join(edge, "key").where(
             (F.col("sim") < threshold) | (1 - F.col("sim") >= 1 - F.col("nearest") - far - 1e-9)
         )
-        rest = rest.select("doc_id", "key", "path", (F.col("sim") < threshold).cast("int").alias("open"))
+        rest = rest.select("doc_id", "key", "size", (F.col("sim") < threshold).cast("int").alias("open"))
         rest = rest.join(of_class, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
         mixed = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
         rest = written(rest.join(mixed.select("key"), "key", "left_semi"), "rest")
-        if level < _CUTS:
-            further = F.posexplode("bands").alias("next", "h")
-            rest = (
-                rest.join(reps, "doc_id")
-                .select("doc_id", "key", "path", "open", "root", further)
-                .where(F.col("next") > F.col("path"))
-                .select("doc_id", F.xxhash64("key", "next", "h").alias("key"), F.col("next").alias("path"), "open", "root")
-            )
-        members = written(rest, "members")
+        if level == 0:
+            once = rest.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in ("size", "open", "root")))
+            rest = rare_windows(written(once, "once"), texts, threshold)
+        members = written(rest.select(*_MEMBER), "members")
         level += 1
 
 
@@ -236,7 +263,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = written(texts, "texts")
     reps = (
         sigs.join(texts.select("digest", F.col("text_id").alias("doc_id")), ["digest", "doc_id"])
-        .select("doc_id", "bands")
+        .select("doc_id", "size", "bands")
         .dropDuplicates(["doc_id"])
     )
     whole = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
