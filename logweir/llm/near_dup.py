@@ -9,10 +9,11 @@ its next arrival comes after the latest first arrival of the text.
 
 Equal word sequences are one text from the start. Slots are grouped in bands;
 texts with an equal band share a bucket. Small buckets give all their pairs.
-In a larger one every text is compared with a hub only. Texts that reach the
-hub are one class with it. The others, with those texts near enough to the edge
-to reach them (distance is a metric, so no other can), go on: first to buckets
-of an equal window, then, hub after hub, until none is left. For these buckets
+In a larger one every text is compared with a hub only, later with some hubs
+more. Texts that reach a hub are one class with it. The others, with those texts
+near enough to the edge to reach them (distance is a metric, so no other can),
+go on: first to buckets of an equal window, then with other hubs, until none is
+left. For these buckets
 the windows of a text stand in order, rare ones first; two texts of the wanted
 similarity have a window in common among the first fifth of each, so only those
 make buckets, and texts that merely share a common passage rarely meet. So no
@@ -44,6 +45,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
 # Texts in a bucket whose pairs are all compared: in buckets of an equal band, of an equal window, later.
 _ALL_PAIRS = (12, 64, 256)
+# Hubs of a larger bucket, in the same order; the last holds for all later rounds.
+_HUBS = (1, 16, 64, 256)
 
 
 def shingles(texts: list[str | None], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
@@ -137,7 +140,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", (common / (F.size("in_a") + F.size("in_b") - common)).alias("sim"))
 
 
-_MEMBER = ("doc_id", "key", "size", "open", "root")
+_MEMBER = ("doc_id", "key", "size", "root")
 
 
 def _pair(x: str, y: str) -> list[F.Column]:
@@ -145,7 +148,7 @@ def _pair(x: str, y: str) -> list[F.Column]:
 
 
 def rare_windows(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """``members`` (doc_id, size, open, root) with a row and a key for each window among its first.
+    """``members`` (doc_id, size, root) with a row and a key for each window among its first.
 
     The order of windows, rare ones first, is one for all members. Of a text of
     ``size`` windows those up to the place size - ceil(threshold * size) + 1
@@ -170,53 +173,59 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
     ``reps`` has doc_id, size and bands, one row for each different text.
     """
     far = 1.0 - threshold
-    # open: not yet in a class with what it was compared with.
     members = reps.select("doc_id", "size", F.posexplode("bands").alias("path", "h")).select(
-        "doc_id", F.xxhash64("path", "h").alias("key"), "size", F.lit(1).alias("open"), F.col("doc_id").alias("root")
+        "doc_id", F.xxhash64("path", "h").alias("key"), "size", F.col("doc_id").alias("root")
     )
     done: DataFrame | None = None
+    roots: DataFrame | None = None
     level = 0
     while True:
-        hubs = members.groupBy("key").agg(
+        few, many = (c[min(level, len(c) - 1)] for c in (_ALL_PAIRS, _HUBS))
+        found = members.groupBy("key").agg(
             F.count(F.lit(1)).alias("n"),
-            F.min(F.struct((1 - F.col("open")).alias("o"), "doc_id")).alias("hub"),
             F.min("root").alias("low"),
             F.max("root").alias("high"),
             *(F.sum(F.xxhash64("doc_id", F.lit(k)).cast("decimal(38,0)")).alias(f"who{k}") for k in (1, 2)),
         )
-        hubs = hubs.where((F.col("n") > 1) & (F.col("hub.o") == 0) & (F.col("low") < F.col("high")))
-        hubs = hubs.groupBy("n", "who1", "who2", F.col("hub.doc_id").alias("hub")).agg(F.min("key").alias("key"))
-        buckets = written(members.join(hubs.select("key", "n", "hub"), "key"), "buckets")
-        few = _ALL_PAIRS[min(level, len(_ALL_PAIRS) - 1)]
+        found = found.where((F.col("n") > 1) & (F.col("low") < F.col("high")))
+        found = found.groupBy("n", "who1", "who2").agg(F.min("key").alias("key"))
+        buckets = written(members.join(found.select("key", "n"), "key"), "buckets")
         small = buckets.where(F.col("n") <= few)
         large = buckets.where(F.col("n") > few)
+        slot = F.pmod(F.xxhash64("doc_id"), F.lit(many))
+        hubs = written(large.groupBy("key", slot.alias("slot")).agg(F.min("doc_id").alias("hub")).select("key", "hub"), "hubs")
         one, two = (small.select("key", *(F.col(c).alias(f"{x}_{c}") for c in ("doc_id", "root", "size"))) for x in "xy")
         near = F.least("x_size", "y_size") >= threshold * F.greatest("x_size", "y_size") - 1e-9
         pairs = one.join(two, "key").where("x_doc_id < y_doc_id and x_root <> y_root").where(near)
         pairs = pairs.select(*_pair("x_doc_id", "y_doc_id"))
-        pairs = pairs.union(large.where(F.col("doc_id") != F.col("hub")).select(*_pair("doc_id", "hub"))).distinct()
+        met = large.join(hubs, "key").where(F.col("doc_id") != F.col("hub"))
+        pairs = pairs.union(met.select(*_pair("doc_id", "hub"))).distinct()
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
         fresh = written(verified(written(pairs, "pairs"), texts), "verified")
         done = fresh if done is None else written(done.union(fresh), "links")
-        # Larger buckets: who did not reach the hub, and who may reach those.
-        tested = large.where(F.col("doc_id") != F.col("hub")).select(*_MEMBER, *_pair("doc_id", "hub"))
-        tested = tested.drop("open", "root").join(done, ["a", "b"]).drop("a", "b")
-        edge = tested.where(F.col("sim") < threshold).groupBy("key").agg(F.max("sim").alias("nearest"))
+        # Larger buckets: how near the hub is the nearest text that does not reach it.
+        tested = met.select("doc_id", "key", "size", "hub", *_pair("doc_id", "hub"))
+        tested = tested.join(done, ["a", "b"]).drop("a", "b")
+        edge = tested.where(F.col("sim") < threshold).groupBy("key", "hub").agg(F.max("sim").alias("nearest"))
         edge = written(edge, "edge")
         if edge.isEmpty():
             return done.where(F.col("sim") >= threshold)
         # Texts that are in one class already need no further link between them.
-        of_class = components(done.where(F.col("sim") >= threshold)).toDF("doc_id", "root")
-        rest = tested.join(edge, "key").where(
-            (F.col("sim") < threshold) | (1 - F.col("sim") >= 1 - F.col("nearest") - far - 1e-9)
+        if roots is None or not fresh.where(F.col("sim") >= threshold).isEmpty():
+            roots = components(done.where(F.col("sim") >= threshold)).toDF("doc_id", "root")
+        # Hubs are through; so is a text in one class with a hub that only texts too far from it do not reach.
+        through = (F.col("sim") >= threshold) & F.coalesce(
+            1 - F.col("sim") < 1 - F.col("nearest") - far - 1e-9, F.lit(True)
         )
-        rest = rest.select("doc_id", "key", "size", (F.col("sim") < threshold).cast("int").alias("open"))
-        rest = rest.join(of_class, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+        rest = tested.join(edge, ["key", "hub"], "left").groupBy("doc_id", "key")
+        rest = rest.agg(F.max("size").alias("size"), F.max(through).alias("through")).where("not through")
+        rest = rest.join(hubs.withColumnRenamed("hub", "doc_id"), ["doc_id", "key"], "left_anti")
+        rest = rest.join(roots, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
         mixed = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
         rest = written(rest.join(mixed.select("key"), "key", "left_semi"), "rest")
         if level == 0:
-            once = rest.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in ("size", "open", "root")))
+            once = rest.groupBy("doc_id").agg(F.max("size").alias("size"), F.max("root").alias("root"))
             rest = rare_windows(written(once, "once"), texts, threshold)
         members = written(rest.select(*_MEMBER), "members")
         level += 1
