@@ -8,15 +8,17 @@ with probability equal to their probability Jaccard. A window stops as soon as
 its next arrival comes after the latest first arrival of the text.
 
 Equal word sequences are one text from the start. Slots are grouped in bands;
-texts with an equal band share a bucket. Small buckets give all their pairs.
-In a larger one every text is compared with a hub only, later with some hubs
-more. Texts that reach a hub are one class with it. The others, with those texts
-near enough to the edge to reach them (distance is a metric, so no other can),
-go on: first to buckets of an equal window, then with other hubs, until none is
-left. For these buckets
+texts with an equal band share a bucket. A bucket in which few texts are outside
+its largest class gives all pairs of these with texts of other classes. In
+another one every text is compared with a hub only, later with some hubs more;
+a hub is the text that has most company in its buckets, mostly the one in the
+middle. Texts that reach a hub are one class with it. All but the hub go on:
+first to buckets of an equal window, then with other hubs, none of them of the
+bucket's largest class, until one class is left in each. For these buckets
 the windows of a text stand in order, rare ones first; two texts of the wanted
-similarity have a window in common among the first fifth of each, so only those
-make buckets, and texts that merely share a common passage rarely meet. So no
+similarity have a window in common among the first fifth of each, and at the
+first such window both have enough windows left to reach that similarity. So only
+those make buckets, and texts that merely share a common passage rarely meet. No
 larger bucket is ever expanded into all pairs and no link between classes is
 lost. Texts that earlier rounds put in one class are not compared again, nor
 those whose numbers of windows alone rule out the similarity. Buckets with the
@@ -43,10 +45,10 @@ from logweir.llm.common import WORD, chunks, hash_words, mix, spans, written
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
-# Texts in a bucket whose pairs are all compared: in buckets of an equal band, of an equal window, later.
-_ALL_PAIRS = (12, 64, 256)
-# Hubs of a larger bucket, in the same order; the last holds for all later rounds.
-_HUBS = (1, 16, 64, 256)
+# Texts outside a bucket's largest class whose pairs are all compared: in buckets of an equal band, of an equal window.
+_ALL_PAIRS = (12, 256)
+# Hubs of a larger bucket, in the same order and in all later rounds.
+_HUBS = (1, 64, 256)
 
 
 def shingles(texts: list[str | None], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
@@ -152,7 +154,10 @@ def rare_windows(members: DataFrame, texts: DataFrame, threshold: float) -> Data
 
     The order of windows, rare ones first, is one for all members. Of a text of
     ``size`` windows those up to the place size - ceil(threshold * size) + 1
-    count; one that no other member has makes no bucket.
+    count; one that no other member has makes no bucket. Nor does a window count
+    if a text that has it as the first one in common with another would have too
+    few left: of r windows from that place on, at most r are common, and a common
+    number of at least threshold / (1 + threshold) times both sizes is needed.
     """
     sets = _sets(texts.join(members.select("doc_id"), "doc_id", "left_semi"))
     held = written(sets.select("doc_id", F.explode("windows").alias("key")), "held")
@@ -164,7 +169,11 @@ def rare_windows(members: DataFrame, texts: DataFrame, threshold: float) -> Data
     alone = alone.withColumn("first", first).where("first > 0").drop("others")
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "key"))
     ranked = shared.join(alone.select("doc_id"), "doc_id", "left_semi").withColumn("place", place)
-    return ranked.join(alone, "doc_id").where("place <= first").select(*_MEMBER)
+    ranked = written(ranked.join(alone, "doc_id").where("place <= first").select(*_MEMBER, "place"), "ranked")
+    # The size of the other text that the windows left allow; the smallest in the bucket has to be within it.
+    allowed = (F.col("size") - F.col("place") + 1) * (1 + threshold) / threshold - F.col("size")
+    least = ranked.groupBy("key").agg(F.min("size").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return ranked.join(least, "key").where(allowed >= F.col("least") - 1e-6).select(*_MEMBER)
 
 
 def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -172,7 +181,6 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
 
     ``reps`` has doc_id, size and bands, one row for each different text.
     """
-    far = 1.0 - threshold
     members = reps.select("doc_id", "size", F.posexplode("bands").alias("path", "h")).select(
         "doc_id", F.xxhash64("path", "h").alias("key"), "size", F.col("doc_id").alias("root")
     )
@@ -181,46 +189,49 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
     level = 0
     while True:
         few, many = (c[min(level, len(c) - 1)] for c in (_ALL_PAIRS, _HUBS))
-        found = members.groupBy("key").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("root").alias("low"),
-            F.max("root").alias("high"),
-            *(F.sum(F.xxhash64("doc_id", F.lit(k)).cast("decimal(38,0)")).alias(f"who{k}") for k in (1, 2)),
+        sums = (F.sum(F.xxhash64("doc_id", F.lit(k)).cast("decimal(38,0)")).alias(f"who{k}") for k in (1, 2))
+        classes = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("of_root"), *sums)
+        found = classes.groupBy("key").agg(
+            F.sum("of_root").alias("n"),
+            F.count(F.lit(1)).alias("classes"),
+            F.max(F.struct("of_root", "root")).alias("most"),
+            *(F.sum(who).alias(who) for who in ("who1", "who2")),
         )
-        found = found.where((F.col("n") > 1) & (F.col("low") < F.col("high")))
-        found = found.groupBy("n", "who1", "who2").agg(F.min("key").alias("key"))
-        buckets = written(members.join(found.select("key", "n"), "key"), "buckets")
-        small = buckets.where(F.col("n") <= few)
-        large = buckets.where(F.col("n") > few)
+        found = found.where("classes > 1").groupBy("n", "who1", "who2")
+        found = found.agg(F.min("key").alias("key"), F.first("most").alias("most"))
+        buckets = written(members.join(found.select("key", "n", "most"), "key"), "buckets")
+        is_small = F.col("n") - F.col("most.of_root") <= few
+        small = buckets.where(is_small).withColumn("other", F.col("root") != F.col("most.root"))
+        large = buckets.where(~is_small)
+        company = large.groupBy("doc_id").agg(F.sum("n").alias("company"))
         slot = F.pmod(F.xxhash64("doc_id"), F.lit(many))
-        hubs = written(large.groupBy("key", slot.alias("slot")).agg(F.min("doc_id").alias("hub")).select("key", "hub"), "hubs")
-        one, two = (small.select("key", *(F.col(c).alias(f"{x}_{c}") for c in ("doc_id", "root", "size"))) for x in "xy")
+        central = F.max(F.struct("company", (-F.col("doc_id")).alias("back")))
+        # The largest class needs no hub: it is through when all others are.
+        able = large if level == 0 else large.where(F.col("root") != F.col("most.root"))
+        hubs = able.join(company, "doc_id").groupBy("key", slot.alias("slot")).agg((-central["back"]).alias("hub"))
+        roots_of_hubs = large.select("key", F.col("doc_id").alias("hub"), F.col("root").alias("hub_root"))
+        hubs = written(hubs.join(roots_of_hubs, ["key", "hub"]).select("key", "hub", "hub_root"), "hubs")
+        one, two = (
+            small.select("key", *(F.col(c).alias(f"{x}_{c}") for c in ("doc_id", "root", "size", "other"))) for x in "xy"
+        )
         near = F.least("x_size", "y_size") >= threshold * F.greatest("x_size", "y_size") - 1e-9
-        pairs = one.join(two, "key").where("x_doc_id < y_doc_id and x_root <> y_root").where(near)
-        pairs = pairs.select(*_pair("x_doc_id", "y_doc_id"))
-        met = large.join(hubs, "key").where(F.col("doc_id") != F.col("hub"))
+        pairs = one.where("x_other").join(two, "key").where("x_root <> y_root and (not y_other or x_doc_id < y_doc_id)")
+        pairs = pairs.where(near).select(*_pair("x_doc_id", "y_doc_id"))
+        met = large.join(hubs, "key").where("root <> hub_root")
         pairs = pairs.union(met.select(*_pair("doc_id", "hub"))).distinct()
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
         fresh = written(verified(written(pairs, "pairs"), texts), "verified")
         done = fresh if done is None else written(done.union(fresh), "links")
-        # Larger buckets: how near the hub is the nearest text that does not reach it.
-        tested = met.select("doc_id", "key", "size", "hub", *_pair("doc_id", "hub"))
-        tested = tested.join(done, ["a", "b"]).drop("a", "b")
-        edge = tested.where(F.col("sim") < threshold).groupBy("key", "hub").agg(F.max("sim").alias("nearest"))
-        edge = written(edge, "edge")
-        if edge.isEmpty():
-            return done.where(F.col("sim") >= threshold)
+        links = done.where(F.col("sim") >= threshold)
+        if hubs.isEmpty():
+            return links
         # Texts that are in one class already need no further link between them.
         if roots is None or not fresh.where(F.col("sim") >= threshold).isEmpty():
-            roots = components(done.where(F.col("sim") >= threshold)).toDF("doc_id", "root")
-        # Hubs are through; so is a text in one class with a hub that only texts too far from it do not reach.
-        through = (F.col("sim") >= threshold) & F.coalesce(
-            1 - F.col("sim") < 1 - F.col("nearest") - far - 1e-9, F.lit(True)
-        )
-        rest = tested.join(edge, ["key", "hub"], "left").groupBy("doc_id", "key")
-        rest = rest.agg(F.max("size").alias("size"), F.max(through).alias("through")).where("not through")
-        rest = rest.join(hubs.withColumnRenamed("hub", "doc_id"), ["doc_id", "key"], "left_anti")
+            roots = components(links).toDF("doc_id", "root")
+        # Hubs are through, as they met all of other classes.
+        rest = large.select("doc_id", "key", "size")
+        rest = rest.join(hubs.select(F.col("hub").alias("doc_id"), "key"), ["doc_id", "key"], "left_anti")
         rest = rest.join(roots, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
         mixed = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
         rest = written(rest.join(mixed.select("key"), "key", "left_semi"), "rest")
