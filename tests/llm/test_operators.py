@@ -396,6 +396,23 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, all_pairs):
     assert got == slow_classes(rows)
 
 
+def test_near_duplicates_with_few_hubs_a_round(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "_ALL_PAIRS", (2, 3))
+    monkeypatch.setattr(near_dup, "_HUBS", (1, 2, 16))
+    rng = random.Random(10)
+    base = [f"w{i}" for i in range(100)]
+    texts = []
+    for i in range(60):  # one to four changed words: some reach each other, some only the least changed ones
+        words = list(base)
+        for at in rng.sample(range(100), 1 + i % 4):
+            words[at] = f"x{i}-{at}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(docs).collect()}
+    assert got == slow_classes(rows)
+
+
 def test_probminhash_estimates():
     rng = np.random.default_rng(0)
     keys = rng.integers(0, 2**63, 300).astype(np.uint64)
