@@ -7,7 +7,9 @@ string of bits: sides of hyperplanes, which are fitted on a bounded sample
 vectors, made orthogonal, through the median). In every tree the strings are
 sorted, so the vectors that share a prefix with a query are one range, found by
 two binary searches. A query starts at the longest prefixes and goes up in all
-trees at the same time until the ranges hold enough candidates; how many
+trees at the same time until the ranges hold enough candidates, which is a share
+of the table and CANDIDATES at least, so that recall does not fall as the table
+grows; how many
 vectors share a prefix is known from a table of counts whose depth follows the
 number of vectors up to LEVELS (2^LEVELS numbers for each tree at most). All
 candidates are compared exactly.
@@ -39,8 +41,8 @@ from logweir.llm.common import written
 TREES, DEPTH = 32, 24
 LEVELS = 15
 SAMPLE = 2_000
-# Candidates of all trees together that a query looks at, at least.
-CANDIDATES = 40_000
+# Candidates of all trees together that a query looks at, at least: a number, and a share of the table.
+CANDIDATES, SHARE = 40_000, 0.8
 # Entries and queries of a group that one task compares.
 PART_ENTRIES, PART_QUERIES = 8_192, 2_048
 _SLACK = 1e-9
@@ -118,6 +120,11 @@ def _coded(rows: DataFrame, planes: Planes, query: bool) -> DataFrame:
     return rows.select("id", "v").mapInPandas(run, "id long, v array<double>, codes array<long>")
 
 
+def enough(total: int) -> int:
+    """Candidates of all trees together that a query needs in a table of ``total`` vectors."""
+    return max(CANDIDATES, int(np.ceil(SHARE * total)))
+
+
 def _levels(queries: DataFrame, starts: np.ndarray, wanted: int, depth: int, levels: int) -> DataFrame:
     """Queries with the level at which all trees together have enough candidates.
 
@@ -193,9 +200,12 @@ def nearest(
     vector_column: str = "embedding",
     trees: int = TREES,
     depth: int = DEPTH,
-    wanted: int = CANDIDATES,
+    wanted: int | None = None,
 ) -> DataFrame:
-    """query_id, rank, vec_id, score: the ``k`` best found for rows with ``queries`` (a condition on ``id``)."""
+    """query_id, rank, vec_id, score: the ``k`` best found for rows with ``queries`` (a condition on ``id``).
+
+    ``wanted`` candidates of all trees together end the ascent; without it ``enough`` for the table do.
+    """
     empty = "query_id long, rank int, vec_id long, score double"
     spark = vectors.sparkSession
     rows = usable(vectors, id_column, vector_column)
@@ -210,6 +220,7 @@ def nearest(
     asked = written(_coded(rows.where(queries), planes, True), "queries")
     each = F.posexplode("codes").alias("tree", "code")
     total = index.count()
+    wanted = enough(total) if wanted is None else wanted
     levels = int(np.clip(np.ceil(np.log2(max(2.0, trees * total / wanted))) + 2, 2, min(LEVELS, depth)))
     # At most trees x 2^levels rows of three numbers.
     filled = index.select(each).groupBy("tree", F.shiftright("code", depth - levels).alias("code")).count().toPandas()

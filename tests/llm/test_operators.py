@@ -514,3 +514,13 @@ def test_search_recall(spark, monkeypatch):
         s[q] = -np.inf
         hits += len(ids & set(np.argsort(-s)[:10].tolist()))
     assert len(found) == 150 and hits / 1500 >= 0.9
+
+
+@pytest.mark.parametrize("total", [51_282, 400_000, 3_000_000])
+def test_search_goes_as_high_in_larger_tables(spark, total):
+    """Recall depends on the share of the table that a query sees: with even splits the level stays the same."""
+    trees, depth, levels = 32, 24, 12
+    starts = (np.arange((1 << levels) + 1) * total // (1 << levels))[None, :].repeat(trees, axis=0)
+    asked = spark.createDataFrame([(1, [1.0], [5 << 12] * trees)], "id long, v array<double>, codes array<long>")
+    wanted = prefix_forest.enough(total)
+    assert prefix_forest._levels(asked, starts, wanted, depth, levels).first()["level"] == 5
