@@ -1,10 +1,12 @@
 """Near-duplicate texts by ProbMinHash, banding and verification.
 
 Words are lower-cased runs of non-blanks; a text is the set of its windows of
-five words (a shorter text is one window), a window weighing 1 + ln(count).
+five words (a shorter text is one window). All windows weigh the same, however
+often they occur, so that bands follow the measure that decides in the end.
 Every window is a Poisson process of arrivals at random slots, at a rate equal
 to its weight; a slot keeps its first arrival, so two texts agree in a slot
-with probability equal to their probability Jaccard. A window stops as soon as
+with probability equal to their probability Jaccard, with equal weights the
+Jaccard similarity of the sets. A window stops as soon as
 its next arrival comes after the latest first arrival of the text.
 
 Equal word sequences are one text from the start. Slots are grouped in bands;
@@ -100,8 +102,9 @@ def prob_minhash(owner: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int,
 
 def band_hashes(texts: list[str | None]) -> tuple[list[bytes | None], np.ndarray, list[np.ndarray | None]]:
     """Digest of the word sequence, number of different windows and hashes of the bands of each text; None without words."""
-    owner, key, count, words = shingles(texts)
-    sig = prob_minhash(owner, key, 1.0 + np.log(np.maximum(count, 1)), len(texts), BANDS * ROWS)
+    owner, key, _, words = shingles(texts)
+    # Verification is by sets: with weights that grow with the count, repeated lines would part near copies here.
+    sig = prob_minhash(owner, key, np.ones(len(key)), len(texts), BANDS * ROWS)
     parts = sig.reshape(len(texts), BANDS, ROWS)
     bands = np.zeros((len(texts), BANDS), np.uint64)
     for r in range(ROWS):

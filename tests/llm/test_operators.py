@@ -413,6 +413,20 @@ def test_near_duplicates_with_few_hubs_a_round(spark, monkeypatch):
     assert got == slow_classes(rows)
 
 
+def test_near_duplicates_with_repeated_lines(spark):
+    rng = random.Random(12)
+    texts = []
+    for i in range(40):  # each and its near copy with one more line, many times
+        text = " ".join(f"a{i}-{k}" for k in range(104))
+        line = " ".join(f"b{i}-{k}" for k in range(16)) + "\n"
+        texts += [text, f"{text} {line * rng.choice([50, 1000])}"]
+    rows = list(enumerate(texts))
+    want = slow_classes(rows)
+    assert sum(i != c for i, c in want.items()) == 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(docs).collect()} == want
+
+
 def test_probminhash_estimates():
     rng = np.random.default_rng(0)
     keys = rng.integers(0, 2**63, 300).astype(np.uint64)
