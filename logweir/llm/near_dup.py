@@ -28,6 +28,10 @@ same texts in them count once.
 Pairs count if the Jaccard similarity of their sets of windows is at least the
 threshold. Classes are the connected components of these links.
 
+Every different word sequence has a number of its own, and one row stands for it
+in signatures, windows and verification, whatever ids it has and however often.
+Ids come back at the end.
+
 Texts that are null or have no word are alone, as is a row without an id that
 has no equal text with one. Rows that share an id share a class.
 """
@@ -115,15 +119,15 @@ def band_hashes(texts: list[str | None]) -> tuple[list[bytes | None], np.ndarray
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, size, bands of every row."""
+    """doc_id, digest, size, bands, text of every row."""
 
     def run(batches):
         for part in chunks(batches):
             digests, sizes, bands = band_hashes(part["text"].tolist())
-            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "digest": digests, "size": sizes, "bands": bands})
+            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "digest": digests, "size": sizes, "bands": bands, "text": part["text"]})
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInPandas(run, "doc_id long, digest binary, size int, bands array<long>")
+    return rows.mapInPandas(run, "doc_id long, digest binary, size int, bands array<long>, text string")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -273,27 +277,40 @@ def components(links: DataFrame) -> DataFrame:
         before = after
 
 
+def of_equal_ids(sigs: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b: numbers of different texts that share an id."""
+    rows = sigs.where("doc_id is not null and digest is not null").select("doc_id", "digest")
+    several = rows.groupBy("doc_id").agg(F.min(F.xxhash64("digest")).alias("low"), F.max(F.xxhash64("digest")).alias("high"))
+    rows = rows.join(several.where("low < high").select("doc_id"), "doc_id", "left_semi").distinct()
+    own = written(rows.join(texts.select("digest", "number"), "digest").select("doc_id", "number"), "equal-ids")
+    first = own.groupBy("doc_id").agg(F.min("number").alias("a"))
+    return own.join(first, "doc_id").where("a <> number").select("a", F.col("number").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (smallest id of the class), text_id (smallest id with equal words), copies, kept.
 
     One row for each row of ``docs``. ``copies`` counts rows with equal words;
     ``kept`` marks the rows whose id is that of their class.
     """
-    sigs = written(signatures(docs), "signatures")
+    # Rows get their numbers as they are written, so these do not change.
+    sigs = written(signatures(docs).withColumn("row", F.monotonically_increasing_id()), "signatures")
     texts = sigs.where(F.col("digest").isNotNull()).groupBy("digest").agg(
-        F.min("doc_id").alias("text_id"), F.count(F.lit(1)).alias("copies")
+        F.min("doc_id").alias("text_id"), F.count(F.lit(1)).alias("copies"), F.min("row").alias("number")
     )
     texts = written(texts, "texts")
-    reps = (
-        sigs.join(texts.select("digest", F.col("text_id").alias("doc_id")), ["digest", "doc_id"])
-        .select("doc_id", "size", "bands")
-        .dropDuplicates(["doc_id"])
-    )
-    whole = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
+    numbers = texts.where("text_id is not null").select(F.col("number").alias("row"))
+    reps = sigs.select("row", "size", "bands").join(numbers, "row", "left_semi").withColumnRenamed("row", "doc_id")
+    whole = sigs.select(F.col("row").alias("doc_id"), "text")
     links = similar_pairs(written(reps, "reps"), whole, threshold)
-    roots = components(links)
-    classes = texts.join(roots.withColumnRenamed("node", "text_id"), "text_id", "left").select(
-        "digest", "text_id", "copies", F.coalesce("root", "text_id").alias("class_id")
+    roots = components(links.select("a", "b").union(of_equal_ids(sigs, texts)))
+    named = texts.join(roots.withColumnRenamed("node", "number"), "number", "left")
+    named = named.withColumn("root", F.coalesce("root", "number"))
+    # Few texts are in a class with others: only those meet for its smallest id.
+    nodes = roots.union(roots.select("root", "root").distinct())  # a root is no node of its own there
+    least = nodes.join(texts.select(F.col("number").alias("node"), "text_id"), "node").groupBy("root")
+    classes = named.join(least.agg(F.min("text_id").alias("least")), "root", "left").select(
+        "digest", "text_id", "copies", F.coalesce("least", "text_id").alias("class_id")
     )
     out = sigs.select("doc_id", "digest").join(classes, "digest", "left")
     own = {"class_id": F.col("doc_id"), "text_id": F.col("doc_id"), "copies": F.lit(1).cast("long")}

@@ -427,6 +427,29 @@ def test_near_duplicates_with_repeated_lines(spark):
     assert {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(docs).collect()} == want
 
 
+def test_near_duplicates_with_repeated_rows(spark, monkeypatch):
+    """Rows that repeat in larger buckets, and different texts under one id."""
+    monkeypatch.setattr(near_dup, "_ALL_PAIRS", (2, 3))
+    rng = random.Random(13)
+    base = [f"w{i}" for i in range(100)]
+    texts = []
+    for i in range(40):
+        words = list(base)
+        for at in rng.sample(range(100), 1 + i % 4):
+            words[at] = f"x{i}-{at}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    want = slow_classes(rows)
+    # Under id 100 are two texts; each has a near copy.
+    one, two = ([f"{c}{i}" for i in range(100)] for c in "yz")
+    more = [(100, " ".join(one)), (100, " ".join(two)), (101, " ".join([*one, "new"])), (102, " ".join([*two, "new"]))]
+    want |= dict.fromkeys((100, 101, 102), 100)
+    docs = spark.createDataFrame(rows * 3 + more, "doc_id long, text string")
+    out = near_dup.near_duplicates(docs).collect()
+    assert len(out) == 124 and {r["doc_id"]: r["class_id"] for r in out} == want
+    assert all(r["copies"] == 3 for r in out if r["doc_id"] < 100)
+
+
 def test_probminhash_estimates():
     rng = np.random.default_rng(0)
     keys = rng.integers(0, 2**63, 300).astype(np.uint64)
