@@ -63,6 +63,11 @@ _AROUND = {
     "address": -0.8, "article": 2.0, "main": 1.2, "p": 0.5, "blockquote": 0.3, "pre": 0.5, "h1": 0.4, "h2": 0.2, "h3": 0.2,
 }
 _WORD_COST = 3.5
+# In one name with these, a word tells of the layout and not of the text in it: "with-sidebar", "nav-open".
+_LAYOUT = frozenset("with without no has have layout open closed collapsed enabled disabled".split())
+_WRAPPER = frozenset("wrap wrapper container".split())
+# Elements that say for sure that nothing inside is content.
+_SURE = frozenset("nav footer aside menu header dialog address".split())
 _NEXT, _SAME_PARENT = 0.6, 0.4
 
 _TOKEN = re.compile(
@@ -84,6 +89,13 @@ class Block:
     linked: int  # characters inside links
 
 
+def _telling(name: str) -> list[str]:
+    """Words of a class or id that tell of the text inside: none in the name of a layout."""
+    words = [w.lower() for w in _NAME_PART.findall(name)]
+    around = any(w in _WRAPPER for w in words) and any(_WORDS.get(w, 0.0) > 0 for w in words)
+    return [] if around or any(w in _LAYOUT for w in words) else words
+
+
 def _own(tag: str, attributes: str) -> tuple[float, bool]:
     """What an element says about the text in it, and whether it hides it."""
     balance, hidden = _AROUND.get(tag, 0.0), False
@@ -95,9 +107,10 @@ def _own(tag: str, attributes: str) -> tuple[float, bool]:
             elif name == "style":
                 hidden |= re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
             else:
-                said = {_WORDS.get(w.lower(), 0.0) for w in _NAME_PART.findall(value)}
+                words = [w for one in value.split() for w in _telling(one)]
+                said = {_WORDS.get(w, 0.0) for w in words}
                 low, high = min(said, default=0.0), max(said, default=0.0)
-                if high > 0 and not any(_WORDS.get(w.lower(), 0.0) < 0 for w in _NAME_PART.findall(value) if w.lower() != "header"):
+                if high > 0 and not any(_WORDS.get(w, 0.0) < 0 for w in words if w != "header"):
                     low = 0.0  # the header of an article holds its title
                 balance += _WORD_COST * (low if low < 0 else high)
     return balance, hidden
@@ -106,8 +119,8 @@ def _own(tag: str, attributes: str) -> tuple[float, bool]:
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order. Unclosed and stray tags are handled as browsers do, in the main."""
     out: list[Block] = []
-    # tag, balance of it and all around it, silent, number
-    stack: list[tuple[str, float, bool, int]] = [("", 0.0, False, 0)]
+    # tag, balance of it and all around it, silent, number, what evidence for content counts inside
+    stack: list[tuple[str, float, bool, int, str]] = [("", 0.0, False, 0, "all")]
     pieces: list[str] = []
     linked, links, number = 0, 0, 0
 
@@ -183,9 +196,20 @@ def blocks(page: str) -> list[Block]:
                 balance = max(balance, 0.0)
             number += 1
             outer = stack[-1][1]
-            # Boilerplate inside content is boilerplate, and nothing inside it is content again.
-            inner = min(outer, 0.0) + balance if balance < 0 else outer + balance if outer >= 0 else outer
-            stack.append((tag, inner, stack[-1][2] or hidden or tag in _SILENT, number))
+            counts = stack[-1][4]
+            if balance < 0:
+                # Boilerplate inside content is boilerplate.
+                inner = min(outer, 0.0) + balance
+                counts = "none" if tag in _SURE or counts == "none" else "article"
+            elif outer >= 0 or counts == "all":
+                inner = outer + balance
+            elif tag in ("main", "article") and counts == "article":
+                # Names and forms around may be the layout of the page: a page has one main part; an article weighs against one of them.
+                inner = balance + (0.0 if tag == "main" else max(outer, -_WORD_COST))
+                counts = "all"
+            else:
+                inner = outer
+            stack.append((tag, inner, stack[-1][2] or hidden or tag in _SILENT, number, counts))
             links += tag == "a"
             if tag in _RAW:
                 close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)

@@ -328,6 +328,20 @@ def test_main_text_of_pages(spark):
     assert [r["text"] for r in out if r["page_id"] in (1, 2)] == ["", ""]
 
 
+@pytest.mark.parametrize("wrapper", ['div class="content-sidebar-wrap"', 'div class="with-sidebar"', 'div class="no-sidebar"', 'div class="nav-open"', "div class=sidebar", "form id=aspnetForm"])
+def test_article_in_a_wrapper(wrapper):
+    text = "\n".join(f"Paragraph {i} of the article tells of rivers and stones, of light and of long walks." for i in range(5))
+    body = "".join(f"<p>{line}</p>" for line in text.split("\n"))
+    end = wrapper.split()[0]
+    around = '<aside><p>Related stories that run on and on.</p></aside><div class="sidebar"><p>Read this as well, it is short.</p></div>'
+    comment = '<div class=comments><div class="comment"><div class="comment-content"><p>I think this is a great text, thank you.</p></div></div></div>'
+    assert main_text(f"<body><{wrapper}><main><article>{body}{comment}</article></main>{around}</{end}><footer><article><p>{text}</p></article></footer>") == text
+    if "sidebar " not in f"{wrapper} " or "-" in wrapper:
+        return
+    long = " ".join([text.replace("\n", " ")] * 2)
+    assert main_text(f"<div class=sidebar><article><p>{long}</p></article></div>") == long
+
+
 def test_cut_is_minimal():
     rng = random.Random(6)
     for _ in range(200):
