@@ -1,6 +1,6 @@
 """Personal data replaced by surrogates of the same kind and form.
 
-Found are e-mail addresses, telephone numbers, IPv4 and MAC addresses, payment
+Found are e-mail addresses, telephone numbers, IPv4, IPv6 and MAC addresses, payment
 cards, IBANs, social security numbers, secrets, and names of people (a known
 given name before a surname, or a form of address before a surname). Every
 entity has a canonical form (digits of a number, lower case of an address, the
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Callable, Iterator
 
@@ -62,7 +63,37 @@ TITLES = {
     "": "Dr Prof Doctor Professor".split(),
 }
 
-_GENDER = {name: (script, gender) for (script, gender), names in GIVEN.items() for name in names}
+# More given names that are found; surrogates are not drawn from these.
+MORE_GIVEN = {
+    ("latin", "f"): "Abigail Agnes Aisha Alejandra Alexandra Alicia Alison Amanda Amy Ana Andrea Angela Anita Anja Anne Annika "
+    "Antonia Astrid Audrey Aurélie Beatrice Beatriz Birgit Brenda Brigitte Carla Carol Caterina Catherine Cecilia Céline "
+    "Chantal Chiara Christina Christine Claudia Cristina Cynthia Deborah Denise Diana Diane Donna Dorothy Eleanor Élodie "
+    "Emilia Erika Esther Eugenia Fatima Federica Fiona Florence Francesca Franziska Françoise Gabriela Giulia Gloria Greta "
+    "Heather Heike Heidi Helena Helga Inès Ingrid Irene Isabella Isabelle Ivana Jacqueline Janet Jasmin Joan Joanna Johanna "
+    "Josephine Juana Judith Juliette Karin Katharina Katherine Kathleen Katja Kelly Kerstin Kimberly Kirsten Lea Lena Leonie "
+    "Lorena Lucy Luisa Magdalena Manon Manuela Marina Marta Martina Mathilde Melanie Melissa Mercedes Mia Miriam Monica "
+    "Monique Nadine Natalia Natalie Nathalie Nicole Nina Nora Pamela Pauline Petra Pilar Priya Rachel Rebecca Regina Renate "
+    "Rosa Ruth Samantha Sharon Silvia Simone Sonia Stefanie Stephanie Susanne Sylvie Tamara Tanja Teresa Theresa Tina "
+    "Valentina Valérie Vanessa Vera Veronica Victoria Virginia Yolanda Yvonne Zoe".split(),
+    ("latin", "m"): "Aaron Adrian Ahmed Alan Albert Alberto Alejandro Alessandro Alfred Ali Álvaro Andreas Andrés Anthony "
+    "Antoine Arthur Axel Bernd Bernard Bernhard Brandon Brian Bruce Bruno Bryan Carl Christian Claude Colin Craig Damien "
+    "Dennis Dieter Dirk Dmitri Dominic Donald Douglas Eduardo Edwin Emilio Emmanuel Enrique Eric Erik Ernesto Ethan Étienne "
+    "Fabian Felipe Felix Fernando Florian François Frédéric Friedrich Gabriel Gary Georg Gerald Gerhard Gilles Giovanni "
+    "Giuseppe Gonzalo Gregory Guillaume Guillermo Günther Gustavo Harald Harold Heinrich Heinz Helmut Herbert Holger Hugo "
+    "Ian Ignacio Igor Ivan Jacob Jacques Jakob Jan Jason Jean Jeffrey Jeremy Jérôme Joachim Johann Johannes Jonas Jonathan "
+    "José Joshua Jörg Julien Jürgen Justin Keith Kenneth Kevin Konrad Kurt Larry Laurent Leonardo Lorenzo Lothar Luca "
+    "Lucas Lukas Manfred Manuel Marcel Marcelo Marco Mario Mathieu Matthias Maurice Max Maximilian Mohammed Muhammad "
+    "Nathan Nicholas Niklas Noah Norbert Olivier Omar Oscar Otto Pablo Pascal Patrick Pedro Philip Philipp Philippe Pierre "
+    "Rafael Rainer Ralf Ramón Raphael Raymond Reinhard René Ricardo Roberto Roger Roland Ronald Rudolf Ryan Salvador Samuel "
+    "Scott Sebastian Sébastien Sergio Simon Stefano Stephan Stephen Steven Sven Theodor Thierry Thorsten Timothy Tobias "
+    "Tomás Ulrich Uwe Vicente Victor Vincent Walter Werner Wilhelm Xavier Yves Zachary".split(),
+    ("cyrillic", "f"): "Александра Алина Анастасия Валентина Вера Виктория Галина Дарья Евгения Ксения Людмила Марина Надежда Нина Полина".split(),
+    ("cyrillic", "m"): "Антон Артём Борис Виктор Виталий Григорий Денис Евгений Егор Игорь Кирилл Константин Максим Олег Роман".split(),
+    ("greek", "f"): "Αικατερίνη Βασιλική Γεωργία Δήμητρα Ειρήνη Ευαγγελία Χριστίνα".split(),
+    ("greek", "m"): "Αλέξανδρος Ανδρέας Βασίλης Γεώργιος Ιωάννης Κωνσταντίνος Χρήστος".split(),
+}
+
+_GENDER = {name: kind for lists in (MORE_GIVEN, GIVEN) for kind, names in lists.items() for name in names}
 _TITLE = {t: g for g, ts in TITLES.items() for t in ts}
 _SYLLABLES = {
     "latin": ("b d f g k l m n p r s t v".split(), "a e i o u".split()),
@@ -79,11 +110,15 @@ _PATTERN = re.compile(
             ("secret", r"(?<!\w)(?i:token|api[_-]?key|secret|password|passwd|bearer)\b[ \t]*[:=][ \t]*[\"']?[\w+/.~-]*\w[\w+/.~=-]{7,}"),
             ("hexkey", r"(?<!\w)[0-9a-fA-F]{32,}(?!\w)"),
             ("mac", r"(?<![\w:-])[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}(?![\w:-])"),
+            ("ipv6", r"(?<![\w.])(?<![0-9A-Fa-f]:)(?=[0-9A-Fa-f]{0,4}:[0-9A-Fa-f]{0,4}:)[0-9A-Fa-f:]{0,38}(?:[0-9A-Fa-f]|::)(?!\w|\.\d)"),
             ("iban", r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
             ("ip", rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)"),
             ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
             ("phone", r"\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)"
-             r"|(?<!\w)\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])"),
+             r"|(?<!\w)\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])"
+             r"|(?<![\w.,+-])(?<!\d )(?:1[ -])?[2-9]\d{2} \d{3} \d{4}(?! ?\d|[\w-])"
+             # National with a leading 0: nine digits at least, so no date with spaces.
+             r"|(?<![\w.,:/+-])(?<!\d )(?=(?:[ -]?\d){9,12}(?! ?\d))0\d{1,4}(?:[ -]\d{2,8}){1,5}(?! ?\d|[\w-])"),
             ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"),
         )
     )
@@ -132,6 +167,14 @@ def _numbers(text: str) -> Iterator[Part]:
             at = start + inner.start(1)
             secret = inner.group(1)
             yield at, at + len(secret), kind, secret.lower() if re.fullmatch(r"[0-9a-fA-F]+", secret) else secret
+        elif kind == "ipv6":
+            try:
+                canon = ipaddress.IPv6Address(value).exploded
+            except ValueError:
+                continue
+            # Of "a::b" and the like in program text nothing is left: an address has a digit and two groups at least.
+            if re.search(r"\d", value) and len([g for g in value.split(":") if g]) > 1:
+                yield start, m.end(), kind, canon
         elif kind in ("email", "mac", "hexkey"):
             yield start, m.end(), "secret" if kind == "hexkey" else kind, value.lower()
         else:
@@ -232,6 +275,16 @@ def surrogate(kind: str, canon: str, attempt: int = 0, key: bytes = KEY) -> str:
             low, high = {1: (0, 9), 2: (10, 99), 3: (100, 255)}[len(part)] if attempt < 10 else (0, 255)
             octets.append(str(low + draw(high - low + 1)))
         return ".".join(octets)
+    if what == "ipv6":
+        # Zeros at the front of a group stay, so the notation keeps its form; after many draws anything will do.
+        groups = []
+        for group in canon.split(":"):
+            rest = group.lstrip("0") if attempt < 10 else group
+            new = "".join(_like(c, draw, True) for c in rest)
+            if rest and attempt < 10:
+                new = "123456789abcdef"[draw(15)] + new[1:]
+            groups.append("0" * (4 - len(rest)) + new)
+        return ":".join(groups)
     if what == "iban":
         body = "".join(_like(c, draw) for c in canon[4:])
         return f"{canon[:2]}{98 - _iban_rest(canon[:2] + '00' + body):02d}{body}"
@@ -252,6 +305,11 @@ def fit_form(surface: str, kind: str, value: str) -> str:
         return value.upper() if surface.isupper() else value
     if kind == "mac":
         return value.upper() if surface.upper() == surface else value
+    if kind == "ipv6":
+        if len(surface) < 39:
+            short = ipaddress.IPv6Address(value).compressed
+            value = short if "::" in surface else ":".join(g.lstrip("0") or "0" for g in value.split(":"))
+        return value.upper() if surface.upper() == surface else value
     if kind in ("phone", "ssn", "card", "iban"):
         chars = iter(value)
         return "".join(next(chars) if c.isalnum() else c for c in surface)

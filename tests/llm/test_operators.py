@@ -82,6 +82,25 @@ def _values(new, parts, old):
     return at
 
 
+def test_more_kinds_of_personal_data():
+    private = ["Kevin", "Smith", "Brian", "Cole", "555 010 7788", "06 12 34 56 78", "030 1234567", "2001:db8::8a2e:370:7334", "2001:0DB8:0000:0000:0000:8A2E:0370:7334", "fe80::1"]
+    text = (
+        "Kevin Smith and Brian Cole, call 555 010 7788, 06 12 34 56 78 or 030 1234567; from 2001:db8::8a2e:370:7334, "
+        "that is 2001:0DB8:0000:0000:0000:8A2E:0370:7334, and addr:fe80::1."
+    )
+    parts = pii.find(text)
+    assert [text[a:b] for a, b, *_ in parts] == private
+    out = pii.rewrite(text, parts, {})
+    again = pii.find(out)
+    assert not any(re.search(rf"(?<![\w:]){re.escape(p)}(?![\w:])", out) for p in private)
+    assert {k for *_, k, _ in parts if not k.startswith(("given", "surname"))} == {"phone", "ipv6"}
+    six = [c for *_, k, c in again if k == "ipv6"]
+    assert len(six) == 3 and six[0] == six[1]
+    assert re.search(r"call [\d]{3} \d{3} \d{4}, \d\d \d\d \d\d \d\d \d\d or \d{3} \d{7};", out)
+    # Dates, times, tables of numbers and program text stay.
+    assert not pii.find("at 12:30:45 on 01 02 2024, 01-02-2024; 1000 2000 3000 555 010 7788 9000; a::b std::x ::1 02 03")
+
+
 @pytest.mark.parametrize("in_memory", [10**6, 0])
 def test_surrogates_are_distinct(spark, in_memory):
     given = pii.GIVEN["latin", "f"]
