@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logweir.llm import winnowing
 from logweir.llm.common import table, written
 from logweir.llm.kneser_ney import classify
 from logweir.llm.language_id import held_out, identify, learn_language_model
@@ -67,6 +68,10 @@ def ann(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
 
 
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.digest(winnowing.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
+
+
 QUERIES = {
     "op1_surrogates": surrogates,
     "op2_quality_rules": quality_rules,
@@ -78,7 +83,10 @@ QUERIES = {
     "op8_near_dup": near_dup,
     "op9_kneser_ney": kneser_ney,
     "op10_ann": ann,
+    "op12_decontamination": decontamination,
 }
 
-# Trees, forests, flows, tokenizers and signatures: nothing here that SQL can say.
-SQL: dict[str, str] = {}
+# Trees, forests, flows, tokenizers, signatures and runs are nothing that SQL can say.
+SQL: dict[str, str] = {
+    "op12_decontamination": winnowing.SQL,
+}
