@@ -106,7 +106,7 @@ def run_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` words from each word on; too near to the end it means nothing."""
     out = np.zeros(len(hashes), np.uint64)
     for j, factor in enumerate(_powers(size)):
-        out[: len(hashes) - j] += hashes[j:] * factor
+        out[: max(len(hashes) - j, 0)] += hashes[j:] * factor
     return mix(out + np.uint64(size))
 
 

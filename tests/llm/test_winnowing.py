@@ -115,6 +115,9 @@ def test_empty_tables(spark):
     assert decontaminate(none, spark.createDataFrame(items, ITEMS)).count() == 0
     assert rows(digest(decontaminate(spark.createDataFrame(docs[:5], DOCS), nothing))) == brute(docs[:5], [])
     assert decontaminate(none, nothing).count() == 0
+    # Fewer words in all than a window has.
+    few = [(1, "one two", "s", "i", 1)]
+    assert rows(digest(decontaminate(spark.createDataFrame(few, DOCS), spark.createDataFrame(items, ITEMS)))) == brute(few, items)
 
 
 def test_query_equals_sql(spark):
