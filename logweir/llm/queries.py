@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import winnowing
+from logweir.llm import periodic_runs, winnowing
 from logweir.llm.common import table, written
 from logweir.llm.kneser_ney import classify
 from logweir.llm.language_id import held_out, identify, learn_language_model
@@ -72,6 +72,11 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return winnowing.digest(winnowing.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
 
 
+def runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return periodic_runs.digest(periodic_runs.periodic_runs(docs, change=periodic_runs.repeat_end))
+
+
 QUERIES = {
     "op1_surrogates": surrogates,
     "op2_quality_rules": quality_rules,
@@ -84,6 +89,7 @@ QUERIES = {
     "op9_kneser_ney": kneser_ney,
     "op10_ann": ann,
     "op12_decontamination": decontamination,
+    "op13_periodic_runs": runs,
 }
 
 # Trees, forests, flows, tokenizers, signatures and runs are nothing that SQL can say.
