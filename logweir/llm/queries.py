@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import periodic_runs, winnowing
+from logweir.llm import part_codes, periodic_runs, winnowing
 from logweir.llm.common import table, written
 from logweir.llm.kneser_ney import classify
 from logweir.llm.language_id import held_out, identify, learn_language_model
@@ -68,6 +68,10 @@ def ann(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
 
 
+def vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return part_codes.digest(*part_codes.part_codes(table(spark, folder, "embeddings")))
+
+
 def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return winnowing.digest(winnowing.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
 
@@ -88,11 +92,13 @@ QUERIES = {
     "op8_near_dup": near_dup,
     "op9_kneser_ney": kneser_ney,
     "op10_ann": ann,
+    "op11_part_codes": vector_codes,
     "op12_decontamination": decontamination,
     "op13_periodic_runs": runs,
 }
 
 # Trees, forests, flows, tokenizers, signatures and runs are nothing that SQL can say.
 SQL: dict[str, str] = {
+    "op11_part_codes": part_codes.SQL,
     "op12_decontamination": winnowing.SQL,
 }
