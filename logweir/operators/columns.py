@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -42,3 +43,28 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def drop_columns(df: DataFrame, *names: str) -> DataFrame:
     """Drop columns; a name the table lacks is passed over."""
     return df.drop(*names)
+
+
+def merged_schema(schemas: Iterable[T.StructType]) -> T.StructType:
+    """Columns of all schemas, each where it comes first.
+
+    A column of two types is an error, and so are names that differ in case
+    only: later steps could not tell them apart.
+    """
+    fields: dict[str, T.StructField] = {}
+    for schema in schemas:
+        for field in schema:
+            known = fields.setdefault(field.name.lower(), field)
+            if known.name != field.name:
+                raise ValueError(f"columns {known.name} and {field.name} differ in case only")
+            if known.dataType != field.dataType:
+                kinds = f"{known.dataType.simpleString()} and {field.dataType.simpleString()}"
+                raise ValueError(f"column {field.name} has two types: {kinds}")
+    return T.StructType(list(fields.values()))
+
+
+def union_of(frames: Iterable[DataFrame]) -> DataFrame:
+    """Rows of all tables by column name, null where a table lacks a column."""
+    frames = list(frames)
+    merged_schema(frame.schema for frame in frames)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from logweir.operators.catalogue import day_range, latest_link, link_catalogue, pending_days
-from logweir.operators.columns import conform
+from logweir.operators.columns import conform, union_of
 from logweir.operators.countries import NOT_FOUND, CountryRule
 from logweir.operators.resolving import Resolver
 from logweir.operators.rules import P, R, V
@@ -138,10 +138,7 @@ def _raw_logs(
         paths = [links[day] for day in sorted(links)]
         read = read_zip_logs if suffix == ".zip" else read_csv_logs
         parts.append(read(spark, paths, types=types))
-    logs = parts[0]
-    for part in parts[1:]:
-        logs = logs.unionByName(part, allowMissingColumns=True)
-    return logs
+    return union_of(parts)
 
 
 def _latest_day(spark: SparkSession, folder: str) -> dt.date:

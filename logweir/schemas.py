@@ -79,6 +79,8 @@ def log_schema(
     any other column passes through as text unless ``types`` says otherwise.
     """
     names = list(header)
+    if len(set(names)) < len(names):
+        raise ValueError(f"log header names a column twice: {names}")
     missing = [name for name in _LOG_TYPES if name not in names]
     if missing:
         raise ValueError(f"log header lacks the columns {missing}")

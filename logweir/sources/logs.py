@@ -1,7 +1,15 @@
-"""Raw log files: CSV, and CSV in ZIP archives. One file holds one day."""
+"""Raw log files: CSV, and CSV in ZIP archives. One file holds one day.
+
+Files of one load may have headers of their own. Tasks read the headers, files
+with equal ones are read together, and the table has the columns of all of
+them, null where a file lacks one.
+"""
 
 from __future__ import annotations
 
+import csv
+import gzip
+import io
 import re
 import zipfile
 from collections.abc import Callable, Iterable, Iterator, Mapping
@@ -17,8 +25,11 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from logweir.functions.links import date_from_link
+from logweir.operators.columns import merged_schema, union_of
 from logweir.schemas import IP_RANGES, log_schema
 
+Opener = Callable[[str], IO[bytes]]
+
 _PATH = "_log_path"
 _BLOCK_BYTES = 8 * 1024 * 1024
 
@@ -33,8 +44,41 @@ def raw_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.option("header", True).csv(path).columns
+def _listed(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The files that paths stand for, in the order of the paths."""
+    if not isinstance(paths, str):
+        return list(paths)
+    files = spark.read.format("binaryFile").load(paths).select("path").collect()
+    return sorted(row["path"] for row in files)
+
+
+def headers(
+    spark: SparkSession, paths: list[str], header_of: Callable[[str], list[str]]
+) -> dict[tuple[str, ...], list[str]]:
+    """Files by header, in their order. Headers are read side by side, in tasks."""
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [header_of(path) for path in batch.column("path").to_pylist()]
+            names = pa.array(found, pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column("at"), names], names=["at", "names"])
+
+    listed = spark.createDataFrame(list(enumerate(paths)), "at int, path string")
+    tasks = min(len(paths), 4 * spark.sparkContext.defaultParallelism)
+    rows = listed.repartition(tasks, "at").mapInArrow(read, "at int, names array<string>").collect()
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(rows, key=lambda r: r["at"]):
+        groups.setdefault(tuple(row["names"]), []).append(paths[row["at"]])
+    return groups
+
+
+def csv_header(path: str, opener: Opener) -> list[str]:
+    """Names in the first line of a CSV file, which may be packed with gzip."""
+    with opener(path) as file:
+        packed = path.endswith(".gz")
+        with gzip.open(file) if packed else io.BufferedReader(file) as plain:
+            text = io.TextIOWrapper(plain, encoding="utf-8", newline="")
+            return next(csv.reader(text), [])
 
 
 def read_csv_logs(
@@ -42,17 +86,23 @@ def read_csv_logs(
     paths: str | list[str],
     schema: T.StructType | None = None,
     types: Mapping[str, T.DataType] | None = None,
+    opener: Opener | None = None,
 ) -> DataFrame:
     """CSV logs with a header line, plus `log_date` from the file name.
 
-    Without ``schema`` the header of the first file gives the columns
-    (``types`` as in :func:`logweir.schemas.log_schema`). A value of the wrong
-    type or another header fails the load. Large files are read by many tasks,
-    so quoted values must not hold line breaks.
+    Without ``schema`` each file has the columns of its own header (``types``
+    as in :func:`logweir.schemas.log_schema`); with it, another header fails
+    the load, as a value of the wrong type always does. Large files are read by
+    many tasks, so quoted values must not hold line breaks.
     """
-    if schema is None:
-        first = paths if isinstance(paths, str) else paths[0]
-        schema = log_schema(csv_header(spark, first), types)
+    if schema is not None:
+        return _read_csv(spark, paths, schema)
+    open_ = opener or open_path
+    groups = headers(spark, _listed(spark, paths), lambda path: csv_header(path, open_))
+    return union_of([_read_csv(spark, some, log_schema(names, types)) for names, some in groups.items()])
+
+
+def _read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
     rows = (
         spark.read.schema(schema)
         .option("header", True)
@@ -85,11 +135,13 @@ def _csv_member(archive: zipfile.ZipFile, path: str) -> str:
     raise ValueError(f"no CSV file in {path}")
 
 
-Opener = Callable[[str], IO[bytes]]
-
+def _batches_of(
+    path: str, schema: pa.Schema, opener: Opener, partly: bool
+) -> Iterator[pa.RecordBatch]:
+    """Decode the first CSV member block by block; it is never held whole.
 
-def _batches_of(path: str, schema: pa.Schema, opener: Opener) -> Iterator[pa.RecordBatch]:
-    """Decode the first CSV member block by block; it is never held whole."""
+    ``partly``: columns of the schema that the member lacks are null.
+    """
     with opener(path) as file, zipfile.ZipFile(file) as archive:
         with archive.open(_csv_member(archive, path)) as member:
             reader = arrow_csv.open_csv(
@@ -104,11 +156,17 @@ def _batches_of(path: str, schema: pa.Schema, opener: Opener) -> Iterator[pa.Rec
                     quoted_strings_can_be_null=False,
                 ),
             )
-            if sorted(reader.schema.names) != sorted(schema.names):
-                raise ValueError(f"another header than expected in {path}: {reader.schema.names}")
+            names = reader.schema.names
+            fits = set(names) <= set(schema.names) and len(set(names)) == len(names)
+            if not fits or (len(names) < len(schema.names) and not partly):
+                raise ValueError(f"another header than expected in {path}: {names}")
             for batch in reader:
+                columns = [
+                    batch.column(f.name) if f.name in names else pa.nulls(batch.num_rows, f.type)
+                    for f in schema
+                ]
                 paths = pa.array([path] * batch.num_rows, pa.string())
-                yield batch.select(schema.names).append_column(_PATH, paths)
+                yield pa.RecordBatch.from_arrays([*columns, paths], names=[*schema.names, _PATH])
 
 
 def zip_header(path: str, opener: Opener = open_path) -> list[str]:
@@ -127,27 +185,30 @@ def read_zip_logs(
 ) -> DataFrame:
     """Logs in ZIP archives: the first member that ends in `.csv` of each.
 
+    Without ``schema`` the columns are those of all archives, and an archive
+    that lacks one has nulls; with it, another header fails the load.
+
     An archive can only be unpacked from front to back, so each is the work of
     one task, which streams it in blocks; archives are unpacked side by side.
-    Spark lists the files and the tasks open them, with ``opener``, so no
-    archive has to fit into memory. Write the result before working on it
+    Tasks open the files, with ``opener``, so no archive has to fit into memory. Write the result before working on it
     further.
     """
-    listed = spark.read.format("binaryFile").load(paths).select("path")
-    files = listed.count() if isinstance(paths, str) else len(paths)
+    files = _listed(spark, paths)
+    partly = schema is None
     if schema is None:
-        first = listed.first()["path"] if isinstance(paths, str) else paths[0]
-        schema = log_schema(zip_header(first, opener), types)
+        groups = headers(spark, files, lambda path: zip_header(path, opener))
+        schema = merged_schema([log_schema(names, types) for names in groups])
     arrow_schema = to_arrow_schema(schema)
 
     def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                yield from _batches_of(path, arrow_schema, opener)
+                yield from _batches_of(path, arrow_schema, opener, partly)
 
     output = T.StructType([*schema.fields, T.StructField(_PATH, T.StringType())])
     # Small files would share a task: only the paths move, to one task each.
-    spread = listed.repartitionByRange(max(files, 1), "path")
+    listed = spark.createDataFrame([(path,) for path in files], "path string")
+    spread = listed.repartitionByRange(max(len(files), 1), "path")
     rows = spread.mapInArrow(unpack, output)
     return rows.withColumn("log_date", date_from_link(F.col(_PATH))).drop(_PATH)
 

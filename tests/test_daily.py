@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from logweir import CountryRule, Layout, from_table, load_ip_ranges, run
 from logweir.__main__ import main
+from logweir.operators.columns import union_of
 from logweir.operators.counters import counted
 from logweir.schemas import COUNTRY_MAPPING, LOCATIONS, RAW_LOG, log_schema
 from logweir.sources.logs import raw_files, read_csv_logs, read_zip_logs
@@ -303,3 +304,80 @@ def test_command_line(spark, site, tmp_path):
     main([*arguments, "--rules", str(rules)])
     output = spark.read.parquet(site.output)
     assert {row.country_name for row in output.collect()} == {"USA", None}
+
+
+NARROW = "ip,date,time,cik,accession,code,idx,crawler"
+WIDE = NARROW + ",size,referrer"
+
+
+def write_log(folder, day, header, kind, value="7"):
+    """One request in a file of its own header."""
+    values = dict(zip(NARROW.split(","), [f"10.0.{day.day}.abc", day, "10:00:00", 1.0, "a", 200.0, 0.0, 0.0]))
+    text = f"{header}\n" + ",".join(str(values.get(name, value)) for name in header.split(",")) + "\n"
+    folder.mkdir(parents=True, exist_ok=True)
+    path = folder / f"log{day:%Y%m%d}.{kind}"
+    if kind == "zip":
+        with zipfile.ZipFile(path, "w") as archive:
+            archive.writestr("log.csv", text)
+    elif kind == "csv.gz":
+        path.write_bytes(gzip.compress(text.encode()))
+    else:
+        path.write_text(text)
+    return str(path)
+
+
+def notes(df):
+    return sorted((row.log_date.day, row["size"], row.referrer) for row in df.collect())
+
+
+# The names of the columns in another order as well.
+HEADERS = [NARROW, WIDE, "referrer,size," + NARROW, NARROW.replace("code,idx", "code,size,idx")]
+BY_HEADER = [(18, None, None), (19, "7", "7"), (20, "7", "7"), (21, "7", None)]
+
+
+@pytest.mark.parametrize("kind", ["csv", "csv.gz", "zip"])
+@pytest.mark.parametrize("turned", [False, True])
+def test_files_with_headers_of_their_own(spark, tmp_path, kind, turned):
+    days = [dt.date(2024, 3, d) for d in range(18, 22)]
+    paths = [write_log(tmp_path, day, header, kind) for day, header in zip(days, HEADERS)]
+    read = read_zip_logs if kind == "zip" else read_csv_logs
+    rows = read(spark, paths[::-1] if turned else paths)
+    assert notes(rows) == BY_HEADER
+    assert set(rows.columns) == {*WIDE.split(","), "log_date"}
+    assert notes(read(spark, str(tmp_path))) == BY_HEADER
+
+
+@pytest.mark.parametrize("turned, runs", [(False, 1), (False, 2), (True, 2)])
+def test_days_with_headers_of_their_own(spark, tmp_path, turned, runs):
+    days = [dt.date(2024, 3, d) for d in range(18, 22)]
+    kinds = ["csv", "zip", "csv.gz", "csv"]
+    for day, header, kind in zip(days, HEADERS, kinds):
+        write_log(tmp_path / "downloads", day, header, kind)
+    parts = [days] if runs == 1 else [days[:2], days[2:]]
+    for part in parts[::-1] if turned else parts:
+        run(spark, str(tmp_path), part[0], part[-1])
+    assert notes(run(spark, str(tmp_path), days[0], days[-1])) == BY_HEADER
+
+
+def test_column_of_two_types_is_an_error(spark, tmp_path):
+    for day in (ONE, TWO):
+        write_log(tmp_path / "downloads", day, WIDE, "csv")
+    run(spark, str(tmp_path), ONE, types={"size": T.DoubleType()})
+    run(spark, str(tmp_path), TWO)
+    with pytest.raises(Exception, match="(?i)merge"):
+        run(spark, str(tmp_path), ONE, TWO)
+    frames = [spark.range(1).selectExpr(f"cast(1 as {kind}) as n") for kind in ("string", "double")]
+    with pytest.raises(ValueError, match="n has two types: string and double"):
+        union_of(frames)
+    with pytest.raises(ValueError, match="differ in case only"):
+        union_of([frames[0], frames[0].withColumnRenamed("n", "N")])
+
+
+@pytest.mark.parametrize("kind", ["csv", "zip"])
+def test_bad_headers_are_named(spark, tmp_path, kind):
+    read = read_zip_logs if kind == "zip" else read_csv_logs
+    good = write_log(tmp_path, ONE, WIDE, kind)
+    for header, message in ((WIDE + ",size", "twice"), (NARROW.replace(",idx", ""), "idx")):
+        bad = write_log(tmp_path, TWO, header, kind)
+        with pytest.raises(ValueError, match=message):
+            read(spark, [good, bad])
