@@ -25,10 +25,10 @@ from logweir.sources.tables import (
     COMPRESSION,
     DAY_SCHEMA,
     STAGE_COMPRESSION,
-    present_days,
     read_days,
     read_latest,
     read_table,
+    whole_days,
     write_days,
     write_next,
 )
@@ -98,7 +98,7 @@ class Layout:
 
 def _pending(spark: SparkSession, path: str, days: list[dt.date], force: bool) -> list[dt.date]:
     wanted = spark.createDataFrame([(day,) for day in days], DAY_SCHEMA)
-    rows = pending_days(wanted, present_days(spark, path), force).collect()
+    rows = pending_days(wanted, whole_days(spark, path, days), force).collect()
     return sorted(row["log_date"] for row in rows)
 
 

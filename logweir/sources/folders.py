@@ -28,3 +28,38 @@ def make_empty(spark: SparkSession, path: str) -> None:
     files, location = _file_system(spark, path)
     files.delete(location, True)
     files.mkdirs(location)
+
+
+def sizes_in(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names and bytes of the files in a folder; none if it is absent."""
+    files, location = _file_system(spark, path)
+    if not files.exists(location):
+        return {}
+    return {s.getPath().getName(): s.getLen() for s in files.listStatus(location) if s.isFile()}
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, location = _file_system(spark, path)
+    files.delete(location, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str, aside: str) -> None:
+    """Write a small file ``aside`` and rename it; an error if it is there already."""
+    files, location = _file_system(spark, path)
+    first = spark._jvm.org.apache.hadoop.fs.Path(aside)
+    files.mkdirs(location.getParent())
+    out = files.create(first, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if files.exists(location) or not files.rename(first, location):
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as a whole."""
+    files, location = _file_system(spark, path)
+    stream = files.open(location)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

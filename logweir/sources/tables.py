@@ -1,4 +1,4 @@
-"""Stage tables with one partition per day, and versioned lookup tables."""
+"""Stage tables with one partition per day and a commit log, and versioned lookup tables."""
 
 from __future__ import annotations
 
@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logweir.operators.counters import counted
-from logweir.sources.folders import exists, make_empty, names_in
+from logweir.sources.commits import Commit, commit, committed, wanted_files
+from logweir.sources.folders import exists, names_in, remove, sizes_in
 
 DAY = "log_date"
 COMPRESSION = "gzip"
@@ -38,66 +38,92 @@ def write_table(df: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def present_days(spark: SparkSession, path: str) -> DataFrame:
-    """Days that a stage table has, by its folders; a day may be empty."""
-    head = f"{DAY}="
-    days = [
-        (dt.date.fromisoformat(name.removeprefix(head)),)
-        for name in names_in(spark, path)
-        if name.startswith(head)
+    """Days that a stage table has, by its commit log; a day may be empty."""
+    return spark.createDataFrame([(day,) for day in sorted(committed(spark, path))], DAY_SCHEMA)
+
+
+def whole_days(spark: SparkSession, path: str, days: Iterable[dt.date]) -> DataFrame:
+    """Of these days those that are committed and whose files are all there, with their sizes."""
+    done = committed(spark, path)
+    whole = [
+        (day,)
+        for day in days
+        if day in done and done[day].files.items() <= sizes_in(spark, _folder(path, day)).items()
     ]
-    return spark.createDataFrame(days, DAY_SCHEMA)
+    return spark.createDataFrame(whole, DAY_SCHEMA)
+
+
+def _folder(path: str, day: dt.date) -> str:
+    return f"{path}/{DAY}={day.isoformat()}"
 
 
 def read_days(
     spark: SparkSession, path: str, days: Iterable[dt.date], schema: T.StructType | None = None
 ) -> DataFrame:
-    """Rows of some days; the other partitions are not read.
+    """Rows of some days; only files that their commits name are read.
 
     Days may have columns of their own: the table has those of all its wanted
     days, null where a day lacks them. A column with two types is an error.
     """
     days = list(days)
-    there = set(names_in(spark, path))
-    folders = [f"{path}/{DAY}={d.isoformat()}" for d in days if f"{DAY}={d.isoformat()}" in there]
-    if not folders:
-        return read_table(spark, path, schema).where(F.col(DAY).isin(days))
-    merged = spark.read.option("basePath", path).option("mergeSchema", "true")
-    try:
-        return merged.parquet(*folders).where(F.col(DAY).isin(days))
-    except AnalysisException as error:
+    done = committed(spark, path)
+    files = wanted_files(done, days, f"{path}/{DAY}=%s")
+    if not files:
         # Days without rows have no files; the other days know the columns.
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return read_table(spark, path, schema).where(F.col(DAY).isin(days))
+        others = [day for day in sorted(done) if done[day].files][-1:]
+        if not others and schema is not None:
+            return spark.createDataFrame([], schema)
+        files = wanted_files(done, others, f"{path}/{DAY}=%s")
+        if not files:
+            raise FileNotFoundError(f"no day in {path} has any rows")
+    merged = spark.read.option("basePath", path).option("mergeSchema", "true")
+    return merged.parquet(*files).where(F.col(DAY).isin(days))
 
 
 def write_days(
     df: DataFrame, path: str, days: Iterable[dt.date], compression: str = COMPRESSION
 ) -> dict[str, int]:
-    """Replace the partitions of ``days``; other days stay as they are.
+    """Replace the rows of ``days``; other days stay as they are.
 
-    A day without rows gets an empty folder, so that it counts as done and
-    nothing of an earlier run is left in it.
+    New files are written beside the old ones, then a commit names them, then
+    all other files of the days are removed: the old ones, and what a run left
+    that broke off before its commit. A day without rows is committed without
+    files.
 
-    Returns the number of rows written, for the log of the run.
+    Returns the number of days and rows, for the log of the run.
     """
     spark = df.sparkSession
-    folders = {day: f"{path}/{DAY}={day.isoformat()}" for day in days}
-    before = {day: names_in(spark, folder) for day, folder in folders.items()}
-    df, count = counted(df)
+    days = list(days)
+    before = {day: set(names_in(spark, _folder(path, day))) for day in days}
     (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        df.where(F.col(DAY).isin(days))
+        .write.mode("append")
         .option("compression", compression)
         .partitionBy(DAY)
         .parquet(path)
     )
-    # Every job names its files anew: a folder with the same files as before
-    # got no rows.
-    for day, folder in folders.items():
-        if names_in(spark, folder) == before[day]:
-            make_empty(spark, folder)
-    return {"days": len(folders), "rows": count()}
+    new: dict[dt.date, dict[str, int]] = {}
+    for day in days:
+        sizes = sizes_in(spark, _folder(path, day))
+        new[day] = {
+            name: size
+            for name, size in sizes.items()
+            if name not in before[day] and not name.startswith(("_", "."))
+        }
+    counts = _rows_by_day(spark, path, [f"{_folder(path, day)}/{name}" for day in days for name in new[day]])
+    commit(spark, path, {day: Commit(counts.get(day, 0), new[day]) for day in days})
+    for day in days:
+        for name in before[day]:
+            remove(spark, f"{_folder(path, day)}/{name}")
+    return {"days": len(days), "rows": sum(counts.values())}
+
+
+def _rows_by_day(spark: SparkSession, path: str, files: list[str]) -> dict[dt.date, int]:
+    """Rows of files by their day, from the ends of the files."""
+    if not files:
+        return {}
+    rows = spark.read.option("basePath", path).parquet(*files).groupBy(DAY).count().collect()
+    return {row[DAY]: row["count"] for row in rows}
 
 
 def _version_numbers(spark: SparkSession, folder: str) -> list[int]:

@@ -15,6 +15,8 @@ from logweir import CountryRule, Layout, from_table, load_ip_ranges, run
 from logweir.__main__ import main
 from logweir.operators.columns import union_of
 from logweir.operators.counters import counted
+from logweir.sources import commits, folders, tables
+from logweir.sources.commits import committed
 from logweir.schemas import COUNTRY_MAPPING, LOCATIONS, RAW_LOG, log_schema
 from logweir.sources.logs import raw_files, read_csv_logs, read_zip_logs
 from logweir.sources.tables import (
@@ -22,6 +24,7 @@ from logweir.sources.tables import (
     present_days,
     read_days,
     read_latest,
+    whole_days,
     write_days,
     write_next,
 )
@@ -153,6 +156,68 @@ def test_days_are_replaced_one_by_one(spark, tmp_path):
     assert read_days(spark, path, [TWO]).isEmpty()
 
 
+def test_files_without_a_commit_do_not_count(spark, tmp_path, monkeypatch):
+    path = tmp_path / "t"
+    write_days(day_table(spark, (1, ONE), (2, TWO)), str(path), [ONE, TWO])
+    one = path / f"log_date={ONE}"
+    (good,) = one.glob("*.parquet")
+    # An empty folder, and a folder somebody copied.
+    (path / f"log_date={THREE}").mkdir()
+    (path / "log_date=2024-03-22").mkdir()
+    (path / "log_date=2024-03-22" / good.name).write_bytes(good.read_bytes())
+    days = [ONE, TWO, THREE, dt.date(2024, 3, 22)]
+    assert {row.log_date for row in whole_days(spark, str(path), days).collect()} == {ONE, TWO}
+    assert read_days(spark, str(path), days).count() == 2
+
+    # A run that ends between the files and the record.
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "commit", broken)
+        with pytest.raises(RuntimeError):
+            write_days(day_table(spark, (7, ONE), (7, THREE)), str(path), [ONE, THREE])
+    assert len(list(one.glob("*.parquet"))) == 2
+    assert sorted(r.n for r in read_days(spark, str(path), days).collect()) == [1, 2]
+    assert THREE not in committed(spark, str(path))
+    write_days(day_table(spark, (8, ONE), (9, THREE)), str(path), [ONE, THREE])
+    assert sorted(r.n for r in read_days(spark, str(path), days).collect()) == [2, 8, 9]
+    assert len(list(one.glob("*.parquet"))) == 1
+    assert committed(spark, str(path))[THREE].rows == 1
+
+    # A file that is cut short or gone.
+    (now,) = one.glob("*.parquet")
+    now.write_bytes(now.read_bytes()[:-9])
+    assert {row.log_date for row in whole_days(spark, str(path), days).collect()} == {TWO, THREE}
+
+
+def test_log_of_many_commits(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(commits, "_SUMMARY", 3)
+    expected = {}
+    for i in range(11):
+        day = ONE + dt.timedelta(i % 5)
+        expected[day] = commits.Commit(i, {f"f{i}": i})
+        commits.commit(spark, str(tmp_path), {day: expected[day]})
+        assert commits.committed(spark, str(tmp_path)) == expected
+    names = sorted(p.name for p in (tmp_path / "_commits").iterdir() if not p.name.startswith("."))
+    assert [n for n in names if "all" in n] == ["000000000004.all.json", "000000000008.all.json"]
+    with pytest.raises(FileExistsError):
+        folders.write_text(spark, str(tmp_path / "_commits" / names[0]), "x", str(tmp_path / "aside"))
+
+
+def test_half_copied_day_is_done_again(spark, site, tmp_path):
+    run(spark, site.root, ONE, TWO, rules=RULES)
+    for stage in ("converted", "no_bots", "ip_enriched"):
+        folder = tmp_path / stage / f"log_date={ONE}"
+        for file in [*folder.glob("*.parquet")]:
+            file.unlink()
+    stages = {}
+    output = run(spark, site.root, ONE, TWO, rules=RULES, report=stages.__setitem__)
+    assert stages["converted"] == {"days": 1, "rows": 32}
+    assert stages["no_bots"] == stages["ip_enriched"] == {"days": 1, "rows": 2}
+    assert len(summary(output)) == 3
+
+
 def test_only_days_without_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     empty = day_table(spark)
