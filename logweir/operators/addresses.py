@@ -46,9 +46,21 @@ def repeated_starts(locations: DataFrame) -> DataFrame:
 
 
 def match_exact(addresses: DataFrame, locations: DataFrame, how: str = "left") -> DataFrame:
-    """Locations whose range *starts* at the address; the range end is not looked at."""
+    """Location whose range *starts* at the address; the range end is not looked at.
+
+    ``addresses`` must be distinct. Of several ranges with one start, such as a
+    network and an address in it that was looked up, the narrowest holds.
+    """
     keyed = locations.withColumnRenamed("ip_from", "_start")
-    return addresses.join(keyed, addresses["cleaned_ip_int"] == keyed["_start"], how).drop("_start")
+    joined = addresses.join(keyed, addresses["cleaned_ip_int"] == keyed["_start"], how)
+    width = (F.col("ip_to") - F.col("_start")).alias("width")
+    return _narrowest(joined, addresses.columns, F.struct(width, *PLACE))
+
+
+def _narrowest(found: DataFrame, columns: list[str], place: Column) -> DataFrame:
+    """One row for each address: the least place, which begins with the width of its range."""
+    best = found.groupBy(*columns).agg(F.min(place).alias("place"))
+    return best.select(*columns, *(F.col(f"place.{name}").alias(name) for name in PLACE))
 
 
 def _key(block: Column, level: int) -> Column:
@@ -110,17 +122,8 @@ def match_range(addresses: DataFrame, locations: DataFrame, how: str = "left") -
     own = F.array(
         *(_key(F.shiftright(F.col("cleaned_ip_int"), level), level) for level in _LEVELS)
     )
-    found = (
-        addresses.select("*", F.explode(own).alias("block"))
-        .join(blocks, "block", "left")
-        .groupBy(*addresses.columns)
-        .agg(F.min("place").alias("place"))
-    )
-    if how == "inner":
-        found = found.where(F.col("place").isNotNull())
-    return found.select(
-        *addresses.columns, *(F.col(f"place.{name}").alias(name) for name in PLACE)
-    )
+    found = addresses.select("*", F.explode(own).alias("block")).join(blocks, "block", how)
+    return _narrowest(found, addresses.columns, F.col("place"))
 
 
 def locate(
@@ -155,10 +158,12 @@ def worth_keeping(locations: DataFrame) -> DataFrame:
 
 
 def updated_locations(locations: DataFrame, found: DataFrame) -> DataFrame:
-    """The location table after a round of lookups.
+    """The location table under the answers of lookups.
 
-    Rows that lookups have replaced, and any other row without a country that
-    was never tried, make room for the answers.
+    An answer takes the place of a row for the same range. Any other row
+    without a country that was never tried makes room as well: a lookup by
+    address has come instead.
     """
     kept = worth_keeping(location_table(locations))
-    return kept.unionByName(conform(found, LOCATIONS))
+    found = conform(found, LOCATIONS)
+    return kept.join(found.select("ip_from", "ip_to"), ["ip_from", "ip_to"], "left_anti").unionByName(found)

@@ -19,7 +19,7 @@ from logweir.plans.clean import clean_log
 from logweir.plans.enrich import enrich_ip
 from logweir.plans.standardise import standardise_country
 from logweir.schemas import COUNTRY_MAPPING, LOCATIONS, RAW_LOG
-from logweir.sources.folders import exists
+from logweir.sources.learned import append_answers, compact, read_learned
 from logweir.sources.logs import raw_files, read_csv_logs, read_zip_logs
 from logweir.sources.tables import (
     COMPRESSION,
@@ -28,6 +28,7 @@ from logweir.sources.tables import (
     read_days,
     read_latest,
     read_table,
+    version_numbers,
     whole_days,
     write_days,
     write_next,
@@ -89,8 +90,14 @@ class Layout:
 
     @property
     def locations(self) -> str:
+        """What lookups have found, on top of the ranges."""
         return self._below("locations")
 
+    @property
+    def journal(self) -> str:
+        """Answers of lookups that are not in a table yet."""
+        return self._below("lookups")
+
     @property
     def country_mapping(self) -> str:
         return self._below("country_mapping")
@@ -150,13 +157,18 @@ def _latest_day(spark: SparkSession, folder: str) -> dt.date:
     return max(known)
 
 
-def _locations(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The learned table if there is one, else the plain IP ranges."""
-    if exists(spark, layout.locations):
-        return read_latest(spark, layout.locations, LOCATIONS)
+def _ranges(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The IP ranges: the latest load, or a plain table that was put there."""
+    if version_numbers(spark, layout.ip_ranges):
+        return read_latest(spark, layout.ip_ranges)
     return read_table(spark, layout.ip_ranges, LOCATIONS)
 
 
+def location_table_of(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The IP ranges under everything that lookups have found."""
+    return read_learned(spark, layout.locations, _ranges(spark, layout))
+
+
 def run(
     spark: SparkSession,
     root: str,
@@ -217,13 +229,15 @@ def run(
     for part in pending(layout.ip_enriched):
         enriched, _ = enrich_ip(
             read_days(spark, layout.no_bots, part, _CLEAN),
-            _locations(spark, layout),
+            location_table_of(spark, layout),
             resolver,
             match,
             at,
-            save=lambda table: write_next(table, layout.locations),
+            save=lambda answers: append_answers(answers, layout.locations),
+            journal=layout.journal,
         )
         store("ip_enriched", layout.ip_enriched, enriched, part)
+        compact(spark, layout.locations, _ranges(spark, layout))
 
     for part in _slices(days, days_per_job):
         mapping = read_latest(spark, layout.country_mapping, COUNTRY_MAPPING)

@@ -6,6 +6,7 @@ import logging
 import math
 import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,11 +22,12 @@ from logweir.operators.addresses import (
 from logweir.operators.lookup import BROADCAST_BYTES, lookup_join
 from logweir.operators.resolving import Resolver, point_locations
 from logweir.operators.rules import DAY
+from logweir.sources.journal import clear, read_journal
 from logweir.sources.workspace import written
 
 Save = Callable[[DataFrame], DataFrame]
 
-# Lookups between two versions of the location table.
+# Lookups whose answers are stored together.
 ROUND_SIZE = 1_000_000
 
 _logger = logging.getLogger(__name__)
@@ -59,25 +61,39 @@ def learn_locations(
     at: Column | None = None,
     save: Save | None = None,
     round_size: int = ROUND_SIZE,
+    journal: str | None = None,
 ) -> DataFrame:
     """The location table after looking up the addresses it does not know.
 
     Each address is asked for once. A million lookups may take hours, so they
-    go in rounds, by hash, and ``save`` stores the table after each: a job that
-    breaks off has lost one round. Without missing addresses the table stays
-    as it is.
+    go in rounds, by hash, and ``save`` stores the answers of each, and only
+    them. Within a round, answers go to the ``journal`` as they come, if the
+    resolver can keep one (:func:`calling`): a task that runs again, or a
+    run after one that broke off, goes on from there. Without missing addresses
+    the table stays as it is.
     """
+    spark = addresses.sparkSession
     missing = written(needs_lookup(locate(addresses, locations, match)), "missing")
+    keep = save or (lambda answers: written(answers, "answers"))
+    start = time.monotonic()
+    found = []
+    if journal and (known := read_journal(spark, journal)) is not None:
+        # A run before this one got these and ended before they were stored.
+        known = written(known.join(missing, "cleaned_ip_int", "left_semi"), "journal")
+        found.append(keep(point_locations(known, at)))
+        missing = written(missing.join(known, "cleaned_ip_int", "left_anti"), "missing")
+        clear(spark, journal)
     count = missing.count()
     rounds = math.ceil(count / round_size)
-    keep = save or (lambda table: written(table, "locations"))
-    start = time.monotonic()
+    if journal and hasattr(resolver, "with_journal"):
+        resolver = resolver.with_journal(journal)
     for number in range(rounds):
         own = F.pmod(F.xxhash64("cleaned_ip_int"), F.lit(rounds)) == number
-        answers = point_locations(resolver(missing.where(own)), at)
-        locations = location_table(keep(updated_locations(locations, answers)))
+        found.append(keep(point_locations(resolver(missing.where(own)), at)))
+        if journal:
+            clear(spark, journal)
     _logger.info("looked up %d addresses in %.1f s", count, time.monotonic() - start)
-    return locations
+    return updated_locations(locations, reduce(DataFrame.unionByName, found)) if found else locations
 
 
 def enrich_ip(
@@ -88,17 +104,21 @@ def enrich_ip(
     at: Column | None = None,
     save: Save | None = None,
     limit: int = BROADCAST_BYTES,
+    journal: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Returns (log with locations, location table to use next time).
 
     ``match`` is `exact` (address = start of the range) or `range`. With a
     ``resolver``, addresses without a known country are looked up and the
-    answers, hits and misses, go into the table; ``save`` writes that table
-    and reads it back, by default to the shared work folder. The log is read
-    twice, so it should be a written table.
+    answers, hits and misses, go into the table; ``save`` writes the answers
+    and reads them back, by default in the shared work folder. ``journal`` is
+    as in :func:`learn_locations`. The log is read twice, so it should be a
+    written table.
     """
     locations = location_table(locations)
     addresses = written(distinct_addresses(log), "addresses")
     if resolver is not None:
-        locations = learn_locations(addresses, locations, resolver, match, at, save)
+        locations = learn_locations(
+            addresses, locations, resolver, match, at, save, journal=journal
+        )
     return attach_locations(log, addresses, locations, match, limit), locations

@@ -116,15 +116,20 @@ def _read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType)
     return rows.withColumn("log_date", date_from_link(F.col("_metadata.file_path")))
 
 
-def open_path(path: str) -> IO[bytes]:
-    """Open a local, HDFS, S3 or GCS file from within a task, by its Hadoop path."""
+def located(path: str) -> tuple[arrow_fs.FileSystem, str]:
+    """File system and path within it, of a Hadoop path to a local, HDFS, S3 or GCS file."""
     parts = urlsplit(re.sub(r"^(\w+):/(?!/)", r"\1:///", path))
     if parts.scheme in ("", "file"):
-        return open(re.sub(r"^file:/+", "/", path), "rb")
+        return arrow_fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
     scheme = "s3" if parts.scheme in ("s3a", "s3n") else parts.scheme
-    system, name = arrow_fs.FileSystem.from_uri(
-        f"{scheme}://{parts.netloc}{quote(unquote(parts.path))}"
-    )
+    return arrow_fs.FileSystem.from_uri(f"{scheme}://{parts.netloc}{quote(unquote(parts.path))}")
+
+
+def open_path(path: str) -> IO[bytes]:
+    """Open a file from within a task, by its Hadoop path."""
+    system, name = located(path)
+    if isinstance(system, arrow_fs.LocalFileSystem):
+        return open(name, "rb")
     return system.open_input_file(name)
 
 

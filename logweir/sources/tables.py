@@ -126,7 +126,7 @@ def _rows_by_day(spark: SparkSession, path: str, files: list[str]) -> dict[dt.da
     return {row[DAY]: row["count"] for row in rows}
 
 
-def _version_numbers(spark: SparkSession, folder: str) -> list[int]:
+def version_numbers(spark: SparkSession, folder: str) -> list[int]:
     """Numbers of the versions that were written to the end."""
     versions = [name for name in names_in(spark, folder) if name.startswith("v=")]
     numbers = [int(name[2:]) for name in versions if name[2:].isdigit()]
@@ -137,7 +137,7 @@ def read_latest(
     spark: SparkSession, folder: str, schema: T.StructType | None = None
 ) -> DataFrame:
     """Latest complete version of a lookup table, empty if there is none yet."""
-    numbers = _version_numbers(spark, folder)
+    numbers = version_numbers(spark, folder)
     if not numbers:
         if schema is None:
             raise FileNotFoundError(f"no version of a table in {folder}")
@@ -152,7 +152,7 @@ def write_next(df: DataFrame, folder: str) -> DataFrame:
     the new one is complete it stays the latest.
     """
     spark = df.sparkSession
-    numbers = _version_numbers(spark, folder)
+    numbers = version_numbers(spark, folder)
     target = f"{folder}/v={(numbers[-1] if numbers else 0) + 1}"
     write_table(df, target, mode="overwrite")
     return spark.read.schema(df.schema).parquet(target)

@@ -17,6 +17,8 @@ from logweir.operators.columns import union_of
 from logweir.operators.counters import counted
 from logweir.sources import commits, folders, tables
 from logweir.sources.commits import committed
+from logweir.sources.learned import read_answers
+from logweir.plans.daily import location_table_of
 from logweir.schemas import COUNTRY_MAPPING, LOCATIONS, RAW_LOG, log_schema
 from logweir.sources.logs import raw_files, read_csv_logs, read_zip_logs
 from logweir.sources.tables import (
@@ -303,7 +305,8 @@ def test_whole_job(spark, site):
     added = ["datetime", "cleaned_ip", "cleaned_ip_int", *LOCATIONS.names[1:], "log_date"]
     assert output.columns == header + added
     assert output.where("note LIKE 'two\nlines%'").count() == 1
-    assert read_latest(spark, site.locations).count() == 2
+    assert location_table_of(spark, site).count() == 2
+    assert read_answers(spark, site.locations).count() == 1
     assert read_latest(spark, site.country_mapping).count() == 2
 
 

@@ -125,28 +125,45 @@ def test_text_without_a_number_is_not_asked_for(spark):
     assert [row.cleaned_ip for row in missing.collect()] == [B]
 
 
-def test_repeated_starts_multiply_rows(spark):
+def test_repeated_starts_give_one_row(spark):
     twice = cache(spark).unionByName(cache(spark))
     log = log_of(spark, [A, B])
     attached = attach_locations(log, distinct_addresses(log), twice)
-    assert sorted(row.event_id for row in attached.collect()) == [0, 0, 1]
+    assert sorted(row.event_id for row in attached.collect()) == [0, 1]
     assert repeated_starts(twice).count() == 4 and repeated_starts(cache(spark)).isEmpty()
 
 
-def test_lookups_in_rounds_are_saved_one_by_one(spark):
+@pytest.mark.parametrize("match", ["exact", "range"])
+def test_one_row_for_an_address_after_lookups(spark, match):
+    # A network with a country starts at the address; a narrower one, without, lies around it.
+    end = number(A) + 255
+    table = spark.createDataFrame(
+        [location(A, "US", end=end), (number(A) - 1, number(A) + 1, *location(A)[2:])], LOCATIONS
+    )
+    log = log_of(spark, [A, A])
+    _, learned = enrich_ip(log, table, from_table(answers(spark, {A: HIT})), match="range")
+    # The network stays for the other addresses in it.
+    assert {(row.ip_from, row.ip_to, row.country_code) for row in learned.collect()} == {
+        (number(A), end, "US"), (number(A), number(A), "DE")
+    }
+    enriched, _ = enrich_ip(log, learned, match=match)
+    assert [(row.event_id, row.country_code) for row in enriched.orderBy("event_id").collect()] == [(0, "DE"), (1, "DE")]
+
+
+def test_rounds_store_their_answers_only(spark):
     addresses = distinct_addresses(log_of(spark, [f"10.2.{n}.0" for n in range(40)] + [A, E]))
-    asked, sizes = [], []
+    asked, saved = [], []
 
     def resolver(missing):
         asked.extend(row.cleaned_ip for row in missing.collect())
         return missing.select("cleaned_ip_int", F.lit(HIT).alias("payload"))
 
-    def save(table):
-        sizes.append(table.count())
-        return table
+    def save(answers):
+        saved.append(answers.count())
+        return answers
 
     table = learn_locations(addresses, cache(spark), resolver, save=save, round_size=10)
-    assert len(sizes) == 5 and sizes == sorted(sizes)
+    assert len(saved) == 5 and sum(saved) == 41
     assert len(asked) == len(set(asked)) == 41
     assert table.count() == 43 and as_dict(table)[E] == ("DE", True)
 
