@@ -96,14 +96,16 @@ def apply_mapping(
     mapping: DataFrame,
     country_col: str = "country_name",
     limit: int = BROADCAST_BYTES,
+    size: int | None = None,
 ) -> DataFrame:
     """Replace country names by their standard names where there is one.
 
-    Measures the mapping, which should be a written table.
+    Measures the mapping, which should be a written table, unless its ``size``
+    is known.
     """
     mapping = require_columns(mapping, COUNTRY_MAPPING.names, "country mapping")
     names = mapping.select("raw_country_name", "cleaned_country_name")
     regroup = DAY if DAY in df.columns else None
-    joined = lookup_join(df, names, country_col, "raw_country_name", limit, regroup)
+    joined = lookup_join(df, names, country_col, "raw_country_name", limit, regroup, size)
     preferred = F.coalesce(F.col("cleaned_country_name"), F.col(country_col))
     return joined.withColumn(country_col, preferred).drop("cleaned_country_name")

@@ -46,10 +46,11 @@ def lookup_join(
     table_key: str,
     limit: int = BROADCAST_BYTES,
     regroup: str | None = None,
+    size: int | None = None,
 ) -> DataFrame:
     """Left join on one key; the key of ``table`` does not appear in the result.
 
-    ``table`` is measured first. Within ``limit`` it is broadcast and ``facts``
+    ``table`` is measured first unless its ``size`` is known. Within ``limit`` it is broadcast and ``facts``
     is not moved. Beyond, both sides are shuffled: adaptive execution splits
     partitions of hot keys, and rows with a null key, which can match nothing
     but would all meet in one partition, are spread out. ``regroup`` names the
@@ -57,7 +58,7 @@ def lookup_join(
     task holds rows of every day, so they are brought together again.
     """
     table = table.withColumnRenamed(table_key, "_table_key")
-    if fits_in_memory(table, limit):
+    if size <= limit if size is not None else fits_in_memory(table, limit):
         joined = facts.join(F.broadcast(table), F.col(fact_key) == F.col("_table_key"), "left")
         return joined.drop("_table_key")
     joined = facts.withColumn("_key", spread_nulls(facts, fact_key)).join(

@@ -99,38 +99,44 @@ def find_bots(base: DataFrame, r: int = R, p: int = P, v: int = V) -> DataFrame:
     return traffic_profile(base).where(broken).select(DAY, "ip", "requests")
 
 
-def _busiest_that_fit(bots: DataFrame, limit: int) -> tuple[int | None, bool]:
+def bytes_by_level(bots: DataFrame) -> dict[int, int]:
+    """Size of the bots by power of two of their requests. Starts a job."""
+    level = F.length(F.bin(F.col("requests"))) - 1
+    sizes = bots.groupBy(level.alias("level")).agg(F.sum(row_bytes(bots).cast("bigint")).alias("bytes"))
+    return {row["level"]: row["bytes"] for row in sizes.collect()}
+
+
+def _busiest_that_fit(levels: dict[int, int], limit: int) -> tuple[int | None, bool]:
     """Least power of two such that the bots with at least so many requests fit.
 
-    Returns (threshold, do all fit). Reads one row per power of two.
+    Returns (threshold, do all fit).
     """
-    level = F.length(F.bin(F.col("requests"))) - 1
-    sizes = (
-        bots.groupBy(level.alias("level"))
-        .agg(F.sum(row_bytes(bots).cast("bigint")).alias("bytes"))
-        .orderBy(F.desc("level"))
-        .collect()
-    )
     total, threshold = 0, None
-    for row in sizes:
-        total += row["bytes"]
+    for level in sorted(levels, reverse=True):
+        total += levels[level]
         if total > limit:
             return threshold, False
-        threshold = 2 ** row["level"]
+        threshold = 2**level
     return threshold, True
 
 
-def drop_bots(log: DataFrame, bots: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def drop_bots(
+    log: DataFrame,
+    bots: DataFrame,
+    limit: int = BROADCAST_BYTES,
+    levels: dict[int, int] | None = None,
+) -> DataFrame:
     """Drop all rows of the marked (day, address) pairs; null addresses stay.
 
-    ``bots`` is measured, so it should be a written table. While it fits in
-    ``limit`` bytes it is broadcast and the log is not moved. Otherwise the
-    busiest bots that fit are broadcast: they hold most of the rows and every
-    hot key, which are gone before the rest of the log is shuffled to meet the
-    many small bots. Then the rows of a day are brought together again.
+    ``bots`` is measured, so it should be a written table, unless ``levels``
+    (:func:`bytes_by_level`) are known. While it fits in ``limit`` bytes it is
+    broadcast and the log is not moved. Otherwise the busiest bots that fit are
+    broadcast: they hold most of the rows and every hot key, which are gone
+    before the rest of the log is shuffled to meet the many small bots. Then
+    the rows of a day are brought together again.
     """
     keys, columns = [DAY, "ip"], log.columns
-    threshold, all_fit = _busiest_that_fit(bots, limit)
+    threshold, all_fit = _busiest_that_fit(bytes_by_level(bots) if levels is None else levels, limit)
     if all_fit:
         return log.join(F.broadcast(bots.select(keys)), keys, "left_anti").select(columns)
     if threshold is not None:

@@ -20,7 +20,7 @@ from logweir.operators.rules import (
     successful_requests,
     with_datetime,
 )
-from logweir.sources.workspace import written
+from logweir.sources.workspace import measured
 
 _ANY_DAY = dt.date(1970, 1, 1)
 
@@ -44,6 +44,7 @@ def clean_log(
     if whole:
         log = log.withColumn(DAY, F.lit(_ANY_DAY))
     requests = successful_requests(log)
-    bots = written(find_bots(rule_base(requests, bucket), r, p, v), "bots")
-    kept = with_clean_ip(with_datetime(drop_bots(requests, bots, limit)), strict)
+    bots = measured(find_bots(rule_base(requests, bucket), r, p, v), "bots", "requests")
+    people = drop_bots(requests, bots.table, limit, bots.levels)
+    kept = with_clean_ip(with_datetime(people), strict)
     return kept.drop(DAY) if whole else kept

@@ -23,7 +23,7 @@ from logweir.operators.lookup import BROADCAST_BYTES, lookup_join
 from logweir.operators.resolving import Resolver, point_locations
 from logweir.operators.rules import DAY
 from logweir.sources.journal import clear, read_journal
-from logweir.sources.workspace import written
+from logweir.sources.workspace import measured, written
 
 Save = Callable[[DataFrame], DataFrame]
 
@@ -47,10 +47,10 @@ def attach_locations(
     """
     occurring = addresses.where(F.col("cleaned_ip_int").isNotNull())
     located = locate(occurring, locations, match, "inner")
-    places = written(located.select("cleaned_ip_int", *PLACE), "places")
-    places = places.withColumnRenamed("cleaned_ip_int", "_address")
+    found = measured(located.select("cleaned_ip_int", *PLACE), "places")
+    places = found.table.withColumnRenamed("cleaned_ip_int", "_address")
     regroup = DAY if DAY in log.columns else None
-    return lookup_join(log, places, "cleaned_ip_int", "_address", limit, regroup)
+    return lookup_join(log, places, "cleaned_ip_int", "_address", limit, regroup, found.bytes)
 
 
 def learn_locations(
@@ -73,7 +73,8 @@ def learn_locations(
     the table stays as it is.
     """
     spark = addresses.sparkSession
-    missing = written(needs_lookup(locate(addresses, locations, match)), "missing")
+    looked = measured(needs_lookup(locate(addresses, locations, match)), "missing")
+    missing, count = looked.table, looked.rows
     keep = save or (lambda answers: written(answers, "answers"))
     start = time.monotonic()
     found = []
@@ -81,9 +82,9 @@ def learn_locations(
         # A run before this one got these and ended before they were stored.
         known = written(known.join(missing, "cleaned_ip_int", "left_semi"), "journal")
         found.append(keep(point_locations(known, at)))
-        missing = written(missing.join(known, "cleaned_ip_int", "left_anti"), "missing")
+        looked = measured(missing.join(known, "cleaned_ip_int", "left_anti"), "missing")
+        missing, count = looked.table, looked.rows
         clear(spark, journal)
-    count = missing.count()
     rounds = math.ceil(count / round_size)
     if journal and hasattr(resolver, "with_journal"):
         resolver = resolver.with_journal(journal)

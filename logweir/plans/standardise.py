@@ -18,7 +18,7 @@ from logweir.operators.countries import (
 )
 from logweir.operators.lookup import BROADCAST_BYTES
 from logweir.schemas import COUNTRY_MAPPING
-from logweir.sources.workspace import written
+from logweir.sources.workspace import measured
 
 Save = Callable[[DataFrame], DataFrame]
 
@@ -50,8 +50,13 @@ def standardise_country(
         return apply_mapping(df, mapping, country_col, limit), mapping
     if retry:
         mapping = mapping.where(~F.col("cleaned_country_name").eqNullSafe(F.lit(NOT_FOUND)))
-    new = written(unmapped_names(df, mapping, country_col), "new-names")
-    if not new.isEmpty():
-        keep = save or (lambda table: written(table, "country-mapping"))
-        mapping = keep(extended_mapping(mapping, new_mappings(new, rules, unmatched)))
-    return apply_mapping(df, mapping, country_col, limit), mapping
+    new = measured(unmapped_names(df, mapping, country_col), "new-names")
+    size = None
+    if new.rows:
+        table = extended_mapping(mapping, new_mappings(new.table, rules, unmatched))
+        if save:
+            mapping = save(table)
+        else:
+            kept = measured(table, "country-mapping")
+            mapping, size = kept.table, kept.bytes
+    return apply_mapping(df, mapping, country_col, limit, size), mapping

@@ -27,7 +27,9 @@ def days_by_country(spark: SparkSession, folder: str) -> DataFrame:
     # Two later steps read the clean log, so it is written, as in the daily job.
     clean = written(clean_log(access_log(spark, folder), **ONE_FILE), "clean")
     resolver = from_table(answers_table(spark, folder))
-    located, _ = enrich_ip(clean, locations_exact(spark, folder), resolver)
+    # The location table is a stored one there, too, and read more than once.
+    locations = written(locations_exact(spark, folder), "locations")
+    located, _ = enrich_ip(clean, locations, resolver)
     standard, _ = standardise_country(located, country_mapping(spark, folder), COUNTRY_RULES)
     return standard.groupBy("date", "country_name").agg(
         F.count(F.lit(1)).alias("requests"),

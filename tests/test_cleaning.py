@@ -200,10 +200,10 @@ def test_null_addresses_are_spread_when_the_log_is_shuffled(spark):
 
 def test_part_of_the_bots_can_be_broadcast(spark):
     bots = written(find_bots(rule_base(_random_log(spark)), **THRESHOLDS), "bots")
-    threshold, all_fit = rules._busiest_that_fit(bots, 900)
+    threshold, all_fit = rules._busiest_that_fit(rules.bytes_by_level(bots), 900)
     assert threshold is not None and not all_fit
-    assert rules._busiest_that_fit(bots, 0) == (None, False)
-    assert rules._busiest_that_fit(bots, 10**9)[1]
+    assert rules._busiest_that_fit(rules.bytes_by_level(bots), 0) == (None, False)
+    assert rules._busiest_that_fit(rules.bytes_by_level(bots), 10**9)[1]
 
 
 def test_no_python_in_the_plan_and_filters_reach_the_scan(spark, tmp_path):

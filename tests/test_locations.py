@@ -5,6 +5,7 @@ from __future__ import annotations
 import ipaddress
 import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,9 +30,12 @@ from logweir.operators.addresses import (
     updated_locations,
 )
 from logweir.operators.columns import add_missing_column, conform, drop_columns, require_columns
-from logweir.operators.lookup import fits_in_memory, lookup_join
+from logweir.operators.lookup import fits_in_memory, lookup_join, row_bytes
+from logweir.operators.ranges import range_conflicts
 from logweir.operators.resolving import point_locations
 from logweir.schemas import IP_RANGES, LOCATIONS
+from logweir.sources.tables import read_latest
+from logweir.sources.workspace import measured
 
 
 def number(text):
@@ -404,9 +408,18 @@ def test_load_ip_ranges(spark, tmp_path):
     table = load_ip_ranges(spark, str(source), str(tmp_path / "ranges"))
     assert table.schema == IP_RANGES
     assert table.where("ip_from = 16777216").first().zip_code == "90001"
-    source.write_text(source.read_text() * 2)
-    with pytest.raises(ValueError, match="more than once"):
-        load_ip_ranges(spark, str(source), str(tmp_path / "again"))
+    good = source.read_text()
+    faulty = {
+        "more than once: 2 times, the first at 0": good * 2,
+        "before they start": good.replace("16777471", "16777000"),
+        "IPv4": good.replace("16777471", "99999999999"),
+    }
+    for message, text in faulty.items():
+        source.write_text(text)
+        with pytest.raises(ValueError, match=message):
+            load_ip_ranges(spark, str(source), str(tmp_path / "ranges"))
+    # The good table is still there.
+    assert read_latest(spark, str(tmp_path / "ranges")).count() == 2
 
 
 def test_column_steps(spark):
@@ -417,3 +430,58 @@ def test_column_steps(spark):
     assert require_columns(one, ["id"]) is one
     with pytest.raises(ValueError, match="missing required columns"):
         require_columns(one, ["id", "name"])
+
+
+def test_measured_while_writing(spark):
+    rows = spark.createDataFrame([("a" * n, n) for n in (0, 1, 2, 3, 8, 900)], "name string, n long")
+    found = measured(rows, "t", "n")
+    assert found.rows == found.table.count() == 6
+    assert found.bytes == rows.agg(F.sum(row_bytes(rows))).first()[0]
+    by_level = {}
+    for row in rows.select("n", row_bytes(rows).alias("b")).where("n > 0").collect():
+        by_level[row.n.bit_length() - 1] = by_level.get(row.n.bit_length() - 1, 0) + row.b
+    assert found.levels == by_level
+    assert measured(rows, "t").levels == {}
+
+
+@pytest.mark.parametrize("condition", ["n > 1000", "false"])
+def test_measured_without_rows(spark, condition):
+    rows = spark.createDataFrame([("a", 1)], "name string, n long").where(condition)
+    found = measured(rows, "t", "n")
+    assert (found.rows, found.bytes, found.levels) == (0, 0, {})
+    assert found.table.isEmpty() and found.table.schema == rows.schema
+
+
+def _plain_conflicts(ranges):
+    out = Counter()
+    starts = {}
+    for a, b in ranges:
+        if a is None or b is None or not (0 <= a < 2**32 and 0 <= b < 2**32):
+            out[a, b, "outside"] += 1
+        elif b < a:
+            out[a, b, "reversed"] += 1
+        else:
+            starts.setdefault(a, []).append(b)
+    rows = [(a, b, kind, n, None) for (a, b, kind), n in out.items()]
+    reach = -1
+    for a in sorted(starts):
+        end, n = max(starts[a]), len(starts[a])
+        if n > 1:
+            rows.append((a, end, "repeated", n, None))
+        if reach >= a:
+            rows.append((a, end, "overlapping", n, reach))
+        reach = max(reach, end)
+    return sorted(rows, key=str)
+
+
+def test_range_conflicts(spark):
+    rng = random.Random(5)
+    # Ranges across the edges of the sweep's blocks, and one over all of them.
+    for wide in (False, True):
+        ranges = [(a := rng.randrange(40) * 2**18 + rng.randrange(3), a + rng.choice([-1, 0, 5, 2**18, 2**21])) for _ in range(80)]
+        ranges += [(None, 5), (5, None), (-1, 4), (4, 2**32), (2**32 - 1, 2**32 - 1)] + [(7, 7)] * 20
+        if wide:
+            ranges += [(0, 2**32 - 1)]
+        table = spark.createDataFrame(ranges, "ip_from long, ip_to long")
+        assert sorted(map(tuple, range_conflicts(table).collect()), key=str) == _plain_conflicts(ranges)
+    assert range_conflicts(table.limit(0)).isEmpty()
