@@ -52,6 +52,13 @@ def _listed(spark: SparkSession, paths: str | list[str]) -> list[str]:
     return sorted(row["path"] for row in files)
 
 
+def _sizes(spark: SparkSession, files: list[str]) -> dict[str, tuple[int, str]]:
+    """What files are sorted by: the larger first, then by path."""
+    listed = spark.read.format("binaryFile").load(files).select("path", "length").collect()
+    lengths = {unquote(urlsplit(row["path"]).path): row["length"] for row in listed}
+    return {path: (-lengths.get(unquote(urlsplit(path).path), 0), path) for path in files}
+
+
 def headers(
     spark: SparkSession, paths: list[str], header_of: Callable[[str], list[str]]
 ) -> dict[tuple[str, ...], list[str]]:
@@ -111,6 +118,8 @@ def _read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType)
         # Only a missing value is null, `""` is an empty text. Any other mark
         # than the default, which stands for both, makes Spark tell them apart.
         .option("nullValue", "\0")
+        # A quote within quotes is doubled, a backslash stands for itself.
+        .option("escape", '"')
         .csv(paths)
     )
     return rows.withColumn("log_date", date_from_link(F.col("_metadata.file_path")))
@@ -211,9 +220,11 @@ def read_zip_logs(
                 yield from _batches_of(path, arrow_schema, opener, partly)
 
     output = T.StructType([*schema.fields, T.StructField(_PATH, T.StringType())])
-    # Small files would share a task: only the paths move, to one task each.
-    listed = spark.createDataFrame([(path,) for path in files], "path string")
-    spread = listed.repartitionByRange(max(len(files), 1), "path")
+    # Small files would share a task: only the paths move, to one task each. The
+    # largest come first, so that none of them is left alone at the end.
+    sizes = _sizes(spark, files)
+    listed = spark.createDataFrame(list(enumerate(sorted(files, key=sizes.__getitem__))), "at int, path string")
+    spread = listed.repartitionByRange(max(len(files), 1), "at")
     rows = spread.mapInArrow(unpack, output)
     return rows.withColumn("log_date", date_from_link(F.col(_PATH))).drop(_PATH)
 

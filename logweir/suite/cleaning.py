@@ -148,7 +148,7 @@ BOTS = f"""bots AS (
   UNION
   SELECT ip FROM requests GROUP BY ip HAVING count(*) > {_V})"""
 
-_PROFILE_DAYS = """per_hour AS (
+PROFILE_DAYS = """per_hour AS (
   SELECT CAST(date AS date) AS log_date, ip, substr(time, 1, 2) AS hour,
     count(*) AS n, count(DISTINCT cik) AS entities
   FROM requests GROUP BY ALL),
@@ -157,12 +157,12 @@ profile AS (
     CAST(max(entities) AS bigint) AS max_entities, CAST(sum(n) AS bigint) AS requests
   FROM per_hour GROUP BY ALL)"""
 
-_BOTS_DAYS = f"""bots AS (
+BOTS_DAYS = f"""bots AS (
   SELECT log_date, ip, requests FROM profile
   WHERE max_requests > {MANY_DAYS['r']} OR max_entities > {MANY_DAYS['p']}
      OR requests > {MANY_DAYS['v']})"""
 
-_DATETIME = "CAST(concat(date, ' ', time) AS timestamp) AS datetime"
+DATETIME = "CAST(concat(date, ' ', time) AS timestamp) AS datetime"
 
 _QUAD = r"""quads AS (
   SELECT doc_id, unnest(regexp_extract_all(text,
@@ -180,7 +180,7 @@ SQL = {
     "q_base_filter": with_sql(
         ACCESS_LOG, select="SELECT * FROM access_log WHERE code = 200 AND idx = 0 AND crawler = 0"
     ),
-    "q_datetime": with_sql(ACCESS_LOG, select=f"SELECT event_id, {_DATETIME} FROM access_log"),
+    "q_datetime": with_sql(ACCESS_LOG, select=f"SELECT event_id, {DATETIME} FROM access_log"),
     "q_rule_r": with_sql(
         ACCESS_LOG,
         REQUESTS,
@@ -213,33 +213,33 @@ SQL = {
         "WHERE ip IN (SELECT ip FROM bots) GROUP BY ip",
     ),
     "q_bot_ips_days": with_sql(
-        ACCESS_LOG, REQUESTS, _PROFILE_DAYS, _BOTS_DAYS, select="SELECT * FROM bots"
+        ACCESS_LOG, REQUESTS, PROFILE_DAYS, BOTS_DAYS, select="SELECT * FROM bots"
     ),
     "q_bots_minute": with_sql(
         ACCESS_LOG,
         REQUESTS,
-        _PROFILE_DAYS.replace("substr(time, 1, 2) AS hour", "substr(time, 1, 5) AS minute"),
-        _BOTS_DAYS,
+        PROFILE_DAYS.replace("substr(time, 1, 2) AS hour", "substr(time, 1, 5) AS minute"),
+        BOTS_DAYS,
         select="SELECT * FROM bots",
     ),
     "q_traffic_profile": with_sql(
-        ACCESS_LOG, REQUESTS, _PROFILE_DAYS, select="SELECT * FROM profile"
+        ACCESS_LOG, REQUESTS, PROFILE_DAYS, select="SELECT * FROM profile"
     ),
     "q_clean_log": with_sql(
         ACCESS_LOG,
         REQUESTS,
         BOTS,
         ADDRESSES,
-        select=f"SELECT *, {_DATETIME} FROM addressed a "
+        select=f"SELECT *, {DATETIME} FROM addressed a "
         "WHERE NOT EXISTS (SELECT 1 FROM bots b WHERE b.ip = a.ip)",
     ),
     "q_clean_log_days": with_sql(
         ACCESS_LOG,
         REQUESTS,
-        _PROFILE_DAYS,
-        _BOTS_DAYS,
+        PROFILE_DAYS,
+        BOTS_DAYS,
         ADDRESSES,
-        select=f"SELECT *, CAST(date AS date) AS log_date, {_DATETIME} FROM addressed a "
+        select=f"SELECT *, CAST(date AS date) AS log_date, {DATETIME} FROM addressed a "
         "WHERE NOT EXISTS (SELECT 1 FROM bots b WHERE b.ip = a.ip "
         "AND b.log_date = CAST(a.date AS date))",
     ),

@@ -16,6 +16,7 @@ from logweir.__main__ import main
 from logweir.operators.columns import union_of
 from logweir.operators.counters import counted
 from logweir.sources import commits, folders, tables
+from logweir.sources.archives import write_logs
 from logweir.sources.commits import committed
 from logweir.sources.learned import read_answers
 from logweir.plans.daily import location_table_of
@@ -449,3 +450,41 @@ def test_bad_headers_are_named(spark, tmp_path, kind):
         bad = write_log(tmp_path, TWO, header, kind)
         with pytest.raises(ValueError, match=message):
             read(spark, [good, bad])
+
+
+@pytest.mark.parametrize("kind", ["csv", "csv.gz", "zip"])
+def test_written_logs_are_read_back(spark, tmp_path, kind):
+    texts = ["plain", "", None, 'a "quoted" one', "comma, here", "back\\slash", "ünï"]
+    rows = [
+        ("1.2.3.a", "2024-03-19", "10:00:00", float(i), text, 200.0, 0.0, None, day)
+        for i, text in enumerate(texts) for day in (ONE, TWO)
+    ]
+    log = spark.createDataFrame(rows, T.StructType([*RAW_LOG.fields, *DAY_SCHEMA.fields]))
+    files = write_logs(log.repartition(3), str(tmp_path), kind).orderBy("log_date").collect()
+    paths = [tmp_path / f"log{day:%Y%m%d}.{kind}" for day in (ONE, TWO)]
+    assert [(f.log_date, f.path, f.rows, f.bytes) for f in files] == [
+        (day, str(path), len(texts), path.stat().st_size) for day, path in zip((ONE, TWO), paths)
+    ]
+    # Nothing is left aside, and writing again replaces the files.
+    assert sorted(tmp_path.iterdir()) == paths
+    write_logs(log.where(F.col("log_date") == ONE).limit(1), str(tmp_path), kind)
+    write_logs(log.where(F.col("log_date") == ONE), str(tmp_path), kind)
+    read = read_zip_logs if kind == "zip" else read_csv_logs
+    back = read(spark, [str(path) for path in paths])
+    assert sorted(map(str, back.select(log.columns).collect())) == sorted(map(str, log.collect()))
+
+
+def test_rows_without_a_day_are_not_written(spark, tmp_path):
+    with pytest.raises(Exception, match="no log_date"):
+        write_logs(day_table(spark, (1, None)), str(tmp_path))
+    with pytest.raises(ValueError, match="kind"):
+        write_logs(day_table(spark, (1, ONE)), str(tmp_path), "tar")
+    assert write_logs(day_table(spark), str(tmp_path)).isEmpty()
+
+
+def test_large_archives_come_first(spark, tmp_path):
+    for day, n in ((ONE, 1), (TWO, 400), (THREE, 50)):
+        write_zip(tmp_path, day, [line(f"10.{i}.0.a{i}", day, note=str(i * 7919)) for i in range(n)])
+    rows = read_zip_logs(spark, str(tmp_path))
+    order = rows.select("log_date", F.spark_partition_id().alias("task")).distinct().orderBy("task").collect()
+    assert [row.log_date for row in order] == [TWO, THREE, ONE]
