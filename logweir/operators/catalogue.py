@@ -7,9 +7,27 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logweir.functions.anchors import absolute, base_href, hrefs, markup
 from logweir.functions.links import date_from_link
 
 
+def page_links(pages: DataFrame, *keys: str) -> DataFrame:
+    """(``keys``, `pos`, `link`) of every anchor in the `html` of pages, with full addresses.
+
+    `pos` counts the anchors of a page from 0. Relative links start from the
+    `base` of the page, else from its `url`; comments and scripts hold no links.
+    A page without source or links has no row. The result, of one page, is what
+    :func:`link_catalogue` takes.
+    """
+    # Step by step, so that no step is worked out again for each use of it.
+    source = pages.select(*keys, "url", markup(F.col("html")).alias("_source"))
+    parts = source.select(*keys, "url", hrefs(F.col("_source")).alias("_hrefs"), base_href(F.col("_source")).alias("_own"))
+    own = F.when(F.col("_own").isNotNull(), absolute(F.col("_own"), F.col("url"))).otherwise(F.col("url"))
+    found = parts.select(*keys, own.alias("_base"), F.posexplode("_hrefs").alias("_pos", "_href"))
+    link = absolute(F.col("_href"), F.col("_base"))
+    return found.select(*keys, F.col("_pos").cast("long").alias("pos"), link.alias("link"))
+
+
 def link_catalogue(links: DataFrame, suffix: str = ".zip") -> DataFrame:
     """(`log_date`, `link`) of the links that end in ``suffix``.
 

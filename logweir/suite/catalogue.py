@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.functions import date_from_link, file_name, index_page, swap_suffix
-from logweir.operators.catalogue import day_range, latest_link, link_catalogue, pending_days
+from logweir.operators.catalogue import day_range, latest_link, link_catalogue, page_links, pending_days
 from logweir.suite.views import table, with_sql
 
 _PAGE = "https://host.example/files/logs%d.html"
@@ -65,7 +65,28 @@ def year_page(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Forms of an anchor, by page, in place of `<a href="/` (what SQL says of them is below).
+_FORMS = (
+    '<a href="/',
+    "<A class='k>' HREF = \"./",
+    '<a href="//other.example/',
+    '<a title="a > b" href="?q=1&amp;r=',
+    '<a data-href="no" href="sub/../',
+    '<!-- <a href="no"> --><a href="&#47;&#x64;/',
+)
+_BASE = '<head><base href="/base/dir/">'
+
+
+def links_of_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Links in the source of pages, written in several ways; a quarter has a base address."""
+    form = F.element_at(F.array(*map(F.lit, _FORMS)), (F.col("page_id") % len(_FORMS) + 1).cast("int"))
+    html = F.replace("html", F.lit('<a href="/'), form)
+    based = F.when(F.col("page_id") % 4 == 3, F.replace(html, F.lit("<head>"), F.lit(_BASE))).otherwise(html)
+    return page_links(table(spark, folder, "pages").select("page_id", "url", based.alias("html")), "page_id")
+
+
 QUERIES = {
+    "q_page_links": links_of_pages,
     "q_link_dates": link_dates,
     "q_link_catalogue": catalogue,
     "q_link_latest": latest,
@@ -86,7 +107,27 @@ _CATALOGUE = f"""catalogue AS (
   SELECT {_DATE} AS log_date, arg_max(link, pos) AS link FROM links
   WHERE link LIKE '%.zip' GROUP BY 1)"""
 
+_PARTS = r"""sites AS (
+  SELECT page_id, html, regexp_extract(url, '^https?:') AS scheme, regexp_extract(url, '^https?://[^/?#]*') AS site,
+    CASE WHEN page_id % 4 = 3 THEN '/base/dir/'
+         ELSE regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1) END AS path FROM pages),
+anchors AS (
+  SELECT page_id, scheme, site, path, CASE WHEN path = '' THEN '/' ELSE regexp_extract(path, '^.*/') END AS dir,
+    regexp_extract_all(html, '<a href="/([^"]*)"', 1) AS words FROM sites),
+each AS (
+  SELECT page_id, scheme, site, path, dir, unnest(range(0, len(words))) AS pos,
+    replace(unnest(words), '&amp;', '&') AS w FROM anchors)"""
+
 SQL = {
+    "q_page_links": with_sql(
+        _PARTS,
+        select="""SELECT page_id, pos, CASE page_id % 6
+          WHEN 0 THEN concat(site, '/', w)
+          WHEN 2 THEN concat(scheme, '//other.example/', w)
+          WHEN 3 THEN concat(site, path, '?q=1&r=', w)
+          WHEN 5 THEN concat(site, '/d/', w)
+          ELSE concat(site, dir, w) END AS link FROM each""",
+    ),
     "q_link_dates": with_sql(_LINKS, select=f"SELECT pos, {_DATE} AS log_date FROM links"),
     "q_link_catalogue": with_sql(_LINKS, _CATALOGUE, select="SELECT * FROM catalogue"),
     "q_link_latest": with_sql(

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import json
-from urllib.parse import urlparse, urlunparse
+from urllib.parse import urljoin, urlparse, urlunparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,11 +17,13 @@ from logweir.functions import (
     swap_suffix,
     year_of,
 )
+from logweir.functions.anchors import absolute
 from logweir.operators.catalogue import (
     day_range,
     latest_link,
     link_catalogue,
     link_of_day,
+    page_links,
     pending_days,
 )
 from logweir.operators.traffic import transferred_mb
@@ -159,3 +161,43 @@ def test_transferred_volume(spark):
     log = spark.createDataFrame([(text,) for text in lines], "line string")
     assert transferred_mb(log).first().total_mb == 1.5
     assert transferred_mb(log.where("false")).first().total_mb == 0.0
+
+
+def test_links_in_full(spark):
+    bases = ["https://h.example/a/b/c?x=1#y", "https://h.example", "https://h.example/", "http://h.example:80/a/"]
+    links = ["d", "./d", "../d", "../../../d", "/e/./f/../g", "?q=2", "#z", "//o.example/k", "mailto:a@b", "https://q.example/z/../y",
+             "d/..", "d/.", "..", ".", "d?x=/../y", "g;x=1/../y", "a:b", "/", "é/ü"]
+    rows = spark.createDataFrame([(b, x) for b in bases for x in links], "base string, link string")
+    for row in rows.select("*", absolute(F.col("link"), F.col("base")).alias("full")).collect():
+        assert row.full == urljoin(row.base, row.link), (row.base, row.link)
+
+
+def test_anchors(spark):
+    html = """<A class='x>y' HREF = " /p&amp;q " >x</a><a href=/u&#x2F;v>y</a><!-- <a href="no"> --><a name=z>
+        <a data-href="no" title='href="no"' href='/w&#8364;&lt;&nope;&copy'><script>"<a href='no'>"</script>
+        <abbr href="no"><base target=_top href='../x/'><a href="">self</a><a href=k&#xD800;&#1114112;>"""
+    pages = [(1, "http://s.example/a/b/", html, 0), (2, "http://s.example", None, 0), (3, None, "", 0), (4, None, '<a href="x">', 0), (1, "http://s.example/", '<a href="y">' * 3, 0)]
+    found = page_links(spark.createDataFrame(pages, "page_id int, url string, html string, pos int"), "page_id").collect()
+    assert sorted((r.page_id, r.pos, r.link) for r in found if r.link) == [
+        (1, 0, "http://s.example/p&q"), (1, 0, "http://s.example/y"), (1, 1, "http://s.example/u/v"), (1, 1, "http://s.example/y"),
+        (1, 2, "http://s.example/w€<&nope;&copy"), (1, 2, "http://s.example/y"),
+        (1, 3, "http://s.example/a/x/"), (1, 4, "http://s.example/a/x/k��"),
+    ]
+    assert [(r.page_id, r.link) for r in found if not r.link] == [(4, None)]
+
+
+def test_very_long_source(spark):
+    html = "<a href='/x'>" * 20_000 + "<a " + "b='>' " * 2_000 + "href=/y>" + "<!-- " + "<a href='/n'>" * 50_000
+    pages = spark.createDataFrame([("http://s.example/", html)], "url string, html string")
+    # A comment that is never closed is none.
+    assert page_links(pages).groupBy("link").count().orderBy("link").collect() == [
+        ("http://s.example/n", 50_000), ("http://s.example/x", 20_000), ("http://s.example/y", 1)
+    ]
+
+
+def test_catalogue_of_a_page(spark):
+    html = "".join(f'<a href="log2024031{i}.zip">{i}</a>' for i in (3, 4, 3)) + '<a href="log20240315.txt">'
+    links = page_links(spark.createDataFrame([("https://s.example/dir/logs.html", html)], "url string, html string"))
+    assert sorted(tuple(r) for r in link_catalogue(links).collect()) == [
+        (dt.date(2024, 3, d), f"https://s.example/dir/log202403{d}.zip") for d in (13, 14)
+    ]
