@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.functions import DEFAULT_BLOCKED_URLS, is_blocked, normalize_url
+from logweir.operators.blocklist import mark_blocked
 from logweir.operators.traffic import transferred_mb
 from logweir.suite.views import table, with_sql
 
@@ -55,6 +56,26 @@ def url_blocklist_part(spark: SparkSession, folder: str) -> DataFrame:
 _VIA = ("", "https://www.youtube.com/redirect?q=", "https://www.facebook.com/l.php?u=", "https://a.example/?u=")
 
 
+def url_patterns(spark: SparkSession, folder: str) -> DataFrame:
+    """Block patterns made of the pages' addresses, some short, some without a literal part."""
+    url, n = F.col("url"), F.col("page_id")
+    site = F.regexp_extract(url, r"^https?://([^./]*)", 1)
+    path = F.regexp_extract(url, r"([^/]*)$", 1)
+    pattern = (
+        F.when(n % 5 == 0, F.concat(F.lit("http*://"), site, F.lit(".*/en/*")))
+        .when(n % 5 == 1, F.concat(F.lit("*/"), path))
+        .when(n % 5 == 2, F.concat(F.lit("x_%y*"), site))
+        .when(n % 25 == 3, F.concat((n % 1000).cast("string"), F.lit("?")))
+        .when(n % 5 == 4, F.concat(site, F.lit("*"), path, F.lit("*")))
+    )
+    return table(spark, folder, "pages").select(pattern.alias("pattern"))
+
+
+def url_blocklist_table(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return mark_blocked(pages, url_patterns(spark, folder).where("pattern not in ('*/', '*')"))
+
+
 def network_log(spark: SparkSession, folder: str) -> DataFrame:
     """`events` as lines of a browser's network log."""
     size = F.get_json_object("props", "$.k").cast("bigint")
@@ -74,6 +95,7 @@ def transfer_mb(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "q_url_blocklist_table": url_blocklist_table,
     "q_url_normalise": url_normalise,
     "q_url_blocklist": url_blocklist,
     "q_url_blocklist_default": url_blocklist_default,
@@ -94,7 +116,22 @@ def _like(pattern: str) -> str:
 _DEFAULT_PART = " OR ".join(_like(f"*{pattern}*") for pattern in DEFAULT_BLOCKED_URLS)
 _DEFAULT = " OR ".join(_like(pattern) for pattern in DEFAULT_BLOCKED_URLS)
 
+_PATTERNS = r"""parts AS (
+  SELECT page_id AS n, regexp_extract(url, '^https?://([^./]*)', 1) AS site,
+    regexp_extract(url, '([^/]*)$', 1) AS path FROM pages),
+patterns AS (
+  SELECT CASE WHEN n % 5 = 0 THEN concat('http*://', site, '.*/en/*') WHEN n % 5 = 1 THEN concat('*/', path)
+    WHEN n % 5 = 2 THEN concat('x_%y*', site) WHEN n % 25 = 3 THEN concat(CAST(n % 1000 AS varchar), '?')
+    WHEN n % 5 = 4 THEN concat(site, '*', path, '*') END AS pattern FROM parts),
+likes AS (
+  SELECT DISTINCT concat('%', replace(replace(replace(replace(pattern, '\', '\\'), '%', '\%'), '_', '\_'), '*', '%'), '%') AS p
+  FROM patterns WHERE pattern NOT IN ('*/', '*'))"""
+
 SQL = {
+    "q_url_blocklist_table": with_sql(
+        _PATTERNS,
+        select="SELECT page_id, url, EXISTS (SELECT 1 FROM likes WHERE url LIKE p ESCAPE '\\') AS blocked FROM pages",
+    ),
     "q_url_normalise": with_sql(
         _URLS,
         select=r"SELECT page_id, regexp_replace(url, '^(\w+://[^/?#]*)([?#].*)?$', '\1/\2') AS url "

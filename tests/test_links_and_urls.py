@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import json
+import random
 from urllib.parse import urljoin, urlparse, urlunparse
 
 import pytest
@@ -18,6 +19,7 @@ from logweir.functions import (
     year_of,
 )
 from logweir.functions.anchors import absolute
+from logweir.operators.blocklist import mark_blocked
 from logweir.operators.catalogue import (
     day_range,
     latest_link,
@@ -201,3 +203,33 @@ def test_catalogue_of_a_page(spark):
     assert sorted(tuple(r) for r in link_catalogue(links).collect()) == [
         (dt.date(2024, 3, d), f"https://s.example/dir/log202403{d}.zip") for d in (13, 14)
     ]
+
+
+def _random_urls(seed, n=120):
+    rng = random.Random(seed)
+    words = ["ads", "a", "b", "img", ".png", "/", "?", "%", "_", "\\", "x.y", "track", "é", "\n"]
+    def text(k):
+        return "".join(rng.choice(words) for _ in range(rng.randrange(k)))
+    urls = [(i, f"http://{text(4)}/{text(6)}") for i in range(n)] + [(n, None), (n + 1, ""), (n, None)]
+    patterns = ["*".join(text(3) for _ in range(rng.randrange(1, 4))) for _ in range(25)]
+    return urls, [*patterns, "http://*", "track*png", "x.y"], rng
+
+
+@pytest.mark.parametrize("match, limit", [("part", 0), ("whole", 10**8)])
+def test_block_list_as_a_table_equals_the_plan(spark, match, limit):
+    urls, patterns, rng = _random_urls(limit + len(match))
+    table = spark.createDataFrame(urls, "id int, url string")
+    for some in (patterns, rng.sample(patterns, 3), [""], []):
+        rows = spark.createDataFrame([(p,) for p in [*some, None, *some[:1]]], "pattern string")
+        marked = mark_blocked(table, rows, match=match, limit=limit)
+        expected = table.withColumn("blocked", is_blocked(F.col("url"), some, match=match))
+        assert sorted(map(str, marked.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_long_block_list(spark):
+    patterns = spark.range(100_000).selectExpr("concat('*/banner', id * 7, '/*.js') as pattern")
+    urls = spark.range(2_000).selectExpr("id", "concat('https://s.example/banner', id, '/lib/', id % 3, '.js') as url")
+    marked = mark_blocked(urls, patterns)
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert len(plan) < 20_000 and "NestedLoop" not in plan and "Cartesian" not in plan
+    assert {r.id for r in marked.where("blocked").collect()} == set(range(0, 2_000, 7))
