@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import types
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -36,6 +38,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def process_cache() -> dict:
+    """What a worker process keeps from one task to the next.
+
+    Functions travel to tasks by value, so their own globals do not last.
+    """
+    return sys.modules.setdefault("_logweir_kept", types.ModuleType("_logweir_kept")).__dict__
+
+
 def chunks(
     batches: Iterable[pd.DataFrame], column: str = "text", limit: int = CHUNK_CHARS
 ) -> Iterator[pd.DataFrame]:

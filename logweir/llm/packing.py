@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm.common import chunks, spans, written
+from logweir.llm.common import chunks, process_cache, spans, written
 
 WINDOW = 1024
 CLOSE = 0
@@ -112,13 +112,21 @@ class Encoder:
         return [out[i] for i in range(len(texts))]
 
 
+def kept_encoder(path: str) -> Encoder:
+    """The encoder of a worker process, with the pieces that its earlier tasks have met."""
+    kept = process_cache()
+    if ("encoder", path) not in kept:
+        kept["encoder", path] = Encoder(path)
+    return kept["encoder", path]
+
+
 def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     """part, before (ids of the partition before this row), doc_id, n_tokens, ids (two bytes each)."""
 
     def run(batches):
         from pyspark import TaskContext
 
-        encoder = Encoder(tokenizer)
+        encoder = kept_encoder(tokenizer)
         part, before = TaskContext.get().partitionId(), 0
         wide = encoder.tokenizer.get_vocab_size() > 1 << 16
         for rows in chunks(batches):
