@@ -36,6 +36,9 @@ QUANTILE = 0.99
 # Kinds of n-gram that a task holds while it scores (12 bytes each), and while it counts.
 SHARD_ROWS = 4_000_000
 _HELD = 1_500_000
+# Characters of text that are counted together, and n-grams that are sent together.
+_COUNTED_CHARS = 1_000_000
+_SENT = 100_000
 _FOLDS = 5
 
 
@@ -72,42 +75,51 @@ def _keys(points: np.ndarray, ends: np.ndarray, lang: np.ndarray) -> np.ndarray:
     return mix(key)
 
 
-def _strings(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    wide = np.ascontiguousarray(points[ends[:, None] - np.arange(ORDER - 1, -1, -1)])
-    return wide.view(f"<U{ORDER}").ravel().astype(object)
+def _strings(wide: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(wide).view(f"<U{ORDER}").ravel().astype(object)
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
     """lang, g, c: the n-grams of all texts with their counts in texts marked ``train``."""
 
     def run(batches):
-        held: list[pd.DataFrame] = []
+        # A task holds n-grams as numbers: key, language, characters, count. Strings are made on the way out.
+        langs: dict[str, int] = {}
+        held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
-        def total() -> pd.DataFrame:
-            return pd.concat(held).groupby("key", sort=False).agg({"lang": "first", "g": "first", "c": "sum"}).reset_index()
-
-        for part in chunks(batches):
-            langs = part["lang"].to_numpy(object)
-            points, doc, ends = windows(part["text"].tolist(), langs)
+        def total() -> tuple[np.ndarray, ...]:
+            key, lang, wide, c = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            kinds, first, which = np.unique(key, return_index=True, return_inverse=True)
+            return kinds, lang[first], wide[first], np.bincount(which, c, len(kinds)).astype(np.int64)
+
+        def out(counted: tuple[np.ndarray, ...]):
+            names = np.array(list(langs), object)
+            _, lang, wide, c = counted
+            for at in range(0, len(c), _SENT):
+                part = slice(at, at + _SENT)
+                yield pd.DataFrame({"lang": names[lang[part]], "g": _strings(wide[part]), "c": c[part]})
+
+        for part in chunks(batches, limit=_COUNTED_CHARS):
+            own = part["lang"].to_numpy(object)
+            points, doc, ends = windows(part["text"].tolist(), own)
             if not len(ends):
                 continue
-            key = _keys(points, ends, hash_words(langs)[doc])
-            which, kinds = pd.factorize(key)
-            first = np.zeros(len(kinds), np.int64)
-            first[which[::-1]] = np.arange(len(which))[::-1]
-            weight = part["train"].to_numpy(bool)[doc]
-            counts = np.bincount(which, weight, len(kinds)).astype(np.int64)
-            held.append(pd.DataFrame({"key": kinds, "lang": langs[doc[first]], "g": _strings(points, ends[first]), "c": counts}))
+            number = np.array([langs.setdefault(x, len(langs)) for x in own], np.int32)
+            kinds, first, which = np.unique(_keys(points, ends, hash_words(own)[doc]), return_index=True, return_inverse=True)
+            counts = np.bincount(which, part["train"].to_numpy(bool)[doc], len(kinds)).astype(np.int64)
+            wide = points[ends[first][:, None] - np.arange(ORDER - 1, -1, -1)]
+            held.append((kinds, number[doc[first]], wide, counts))
             size += len(kinds)
             if size > _HELD:
-                held = [total()]
-                size = len(held[0])
+                held.append(total())
+                size = len(held[0][0])
                 if size > _HELD // 2:
-                    yield held.pop()[["lang", "g", "c"]]
+                    yield from out(held.pop())
                     size = 0
         if held:
-            yield total()[["lang", "g", "c"]]
+            yield from out(total())
 
     counted = docs.select("text", "lang", "train").mapInPandas(run, "lang string, g string, c long")
     return counted.groupBy("lang", "g").agg(F.sum("c").alias("c"))
