@@ -53,6 +53,19 @@ def _pieces_pattern() -> re.Pattern:
     )
 
 
+class _Pieces(dict):
+    """Numbers of pieces in the order they are met; ``new`` has those whose ids are not known yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self.new.append(piece)
+        self[piece] = number = len(self)
+        return number
+
+
 class Encoder:
     """Ids of texts, with the ids of pieces remembered.
 
@@ -72,7 +85,7 @@ class Encoder:
             chr(i) for i in range(_TABLE_END) if unicodedata.category(chr(i)) not in ("Cn", "Cs") and not 0x1C <= i <= 0x1F
         )
         self.odd = re.compile(f"[^{re.escape(simple)}]")
-        self.known: dict[str, int] = {}
+        self.known = _Pieces()
         self.sizes = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
@@ -91,15 +104,14 @@ class Encoder:
             counts = np.fromiter(map(len, found), np.int64, len(found))
             flat = list(chain.from_iterable(found))
             if len(self.known) > _REMEMBERED:
-                self.known, self.sizes, self.starts, self.flat = {}, self.sizes[:0], self.starts[:0], self.flat[:0]
-            new = list(set(flat).difference(self.known))
-            if new:
-                sizes, ids = self._whole(new)
-                self.known.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new)), strict=True))
+                self.known, self.sizes, self.starts, self.flat = _Pieces(), self.sizes[:0], self.starts[:0], self.flat[:0]
+            at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+            if self.known.new:
+                sizes, ids = self._whole(self.known.new)
+                self.known.new = []
                 self.starts = np.concatenate([self.starts, len(self.flat) + spans(sizes)[1]])
                 self.sizes = np.concatenate([self.sizes, sizes])
                 self.flat = np.concatenate([self.flat, ids])
-            at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
             sizes = self.sizes[at]
             piece, begins = spans(sizes)
             ids = self.flat[self.starts[at][piece] + np.arange(len(piece)) - begins[piece]]
