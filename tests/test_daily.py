@@ -416,7 +416,7 @@ def test_files_with_headers_of_their_own(spark, tmp_path, kind, turned):
     assert notes(read(spark, str(tmp_path))) == BY_HEADER
 
 
-@pytest.mark.parametrize("turned, runs", [(False, 1), (False, 2), (True, 2)])
+@pytest.mark.parametrize("turned, runs", [(False, 1), (True, 2)])
 def test_days_with_headers_of_their_own(spark, tmp_path, turned, runs):
     days = [dt.date(2024, 3, d) for d in range(18, 22)]
     kinds = ["csv", "zip", "csv.gz", "csv"]
