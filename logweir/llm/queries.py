@@ -99,6 +99,17 @@ QUERIES = {
 
 # Trees, forests, flows, tokenizers, signatures and runs are nothing that SQL can say.
 SQL: dict[str, str] = {
+    # Records as they come back from the archives; how they are stored is a matter of tests.
+    "op4_warc": """
+        with payloads as (
+            select page_id, coalesce(html, '') as payload, octet_length(encode(coalesce(html, ''))) as n from pages
+        ), firsts as (
+            select *, case when n >= 100 then min(page_id) over (partition by payload) else page_id end as first from payloads
+        )
+        select page_id, cast(n as bigint) as payload_bytes, sha256(payload) as payload_digest,
+            case when page_id = first then 'response' else 'revisit' end as record_type,
+            case when page_id <> first then first end as refers_to
+        from firsts""",
     "op11_part_codes": part_codes.SQL,
     "op12_decontamination": winnowing.SQL,
 }

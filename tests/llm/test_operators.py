@@ -21,6 +21,8 @@ from logweir.llm.main_text import cut, extract, main_text
 from logweir.llm.mixing import mix, route, source_targets, word_count
 from logweir.llm.packing import Encoder, default_tokenizer, pack
 from logweir.llm.quality_rules import FEATURES, apply_rules, fit_trees, statistics
+from logweir.llm.queries import QUERIES, SQL
+from tests.compare import connect, spark_bag, sql_bag
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, size string"
@@ -594,3 +596,8 @@ def test_search_goes_as_high_in_larger_tables(spark, total):
     asked = spark.createDataFrame([(1, [1.0], [5 << 12] * trees)], "id long, v array<double>, codes array<long>")
     wanted = prefix_forest.enough(total)
     assert prefix_forest._levels(asked, starts, wanted, depth, levels).first()["level"] == 5
+
+
+def test_records_equal_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    assert spark_bag(QUERIES["op4_warc"](spark, folder)) == sql_bag(connect(folder), SQL["op4_warc"])
