@@ -124,19 +124,21 @@ def drop_bots(
     log: DataFrame,
     bots: DataFrame,
     limit: int = BROADCAST_BYTES,
-    levels: dict[int, int] | None = None,
+    size: int | None = None,
 ) -> DataFrame:
     """Drop all rows of the marked (day, address) pairs; null addresses stay.
 
-    ``bots`` is measured, so it should be a written table, unless ``levels``
-    (:func:`bytes_by_level`) are known. While it fits in ``limit`` bytes it is
-    broadcast and the log is not moved. Otherwise the busiest bots that fit are
-    broadcast: they hold most of the rows and every hot key, which are gone
-    before the rest of the log is shuffled to meet the many small bots. Then
-    the rows of a day are brought together again.
+    ``bots`` should be a written table: it is measured, unless its ``size`` is
+    known and within ``limit`` bytes. While it fits it is broadcast and the log
+    is not moved. Otherwise the busiest bots that fit are broadcast: they hold
+    most of the rows and every hot key, which are gone before the rest of the
+    log is shuffled to meet the many small bots. Then the rows of a day are
+    brought together again.
     """
     keys, columns = [DAY, "ip"], log.columns
-    threshold, all_fit = _busiest_that_fit(bytes_by_level(bots) if levels is None else levels, limit)
+    threshold, all_fit = None, size is not None and size <= limit
+    if not all_fit:
+        threshold, all_fit = _busiest_that_fit(bytes_by_level(bots), limit)
     if all_fit:
         return log.join(F.broadcast(bots.select(keys)), keys, "left_anti").select(columns)
     if threshold is not None:

@@ -44,7 +44,7 @@ def clean_log(
     if whole:
         log = log.withColumn(DAY, F.lit(_ANY_DAY))
     requests = successful_requests(log)
-    bots = measured(find_bots(rule_base(requests, bucket), r, p, v), "bots", "requests")
-    people = drop_bots(requests, bots.table, limit, bots.levels)
+    bots = measured(find_bots(rule_base(requests, bucket), r, p, v), "bots")
+    people = drop_bots(requests, bots.table, limit, bots.bytes)
     kept = with_clean_ip(with_datetime(people), strict)
     return kept.drop(DAY) if whole else kept

@@ -9,7 +9,7 @@ result is used, and lets Spark see the true size before it plans the join.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -51,37 +51,26 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Measured:
-    """A written table with its size.
-
-    ``bytes`` is the rough size in memory (:func:`row_bytes`). ``levels`` has
-    the bytes of the rows whose measure lies between two powers of two, by the
-    exponent of the smaller one; measures of 0 and less are not in it.
-    """
+    """A written table with its number of rows and its rough size in memory (:func:`row_bytes`)."""
 
     table: DataFrame
     rows: int
     bytes: int
-    levels: dict[int, int] = field(default_factory=dict)
 
 
-def measured(df: DataFrame, label: str, measure: str | None = None) -> Measured:
+def measured(df: DataFrame, label: str) -> Measured:
     """Write the table as :func:`written` does and measure it on the way.
 
     The figures come with the write, so no other job reads the table for them.
     Tasks that run again after the loss of an executor may count rows twice: the
     figures are upper bounds, which is what decisions about broadcasts need.
     """
-    size = row_bytes(df).cast("bigint")
-    figures = [F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")]
-    if measure:
-        level = F.when(F.col(measure) > 0, F.length(F.bin(F.col(measure))) - 1)
-        figures += [F.sum(F.when(level == k, size)).alias(f"l{k}") for k in range(64)]
+    size = F.sum(row_bytes(df).cast("bigint")).alias("bytes")
     observation = Observation()
-    table = written(df.observe(observation, *figures), label)
+    table = written(df.observe(observation, F.count(F.lit(1)).alias("rows"), size), label)
     try:
         got = observation.get
     except Py4JJavaError:
         # The optimiser found out that there are no rows, and nothing ran.
         got = {}
-    levels = {k: got[f"l{k}"] for k in range(64) if got.get(f"l{k}")}
-    return Measured(table, got.get("rows") or 0, got.get("bytes") or 0, levels)
+    return Measured(table, got.get("rows") or 0, got.get("bytes") or 0)
