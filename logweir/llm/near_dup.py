@@ -15,16 +15,14 @@ its largest class gives all pairs of these with texts of other classes. In
 another one every text is compared with a hub only, later with some hubs more;
 a hub is the text that has most company in its buckets, mostly the one in the
 middle. Texts that reach a hub are one class with it. All but the hub go on:
-first to buckets of an equal window, then with other hubs, none of them of the
-bucket's largest class, until one class is left in each. For these buckets
-the windows of a text stand in order, rare ones first; two texts of the wanted
-similarity have a window in common among the first fifth of each, and at the
-first such window both have enough windows left to reach that similarity. So only
-those make buckets, and texts that merely share a common passage rarely meet. No
-larger bucket is ever expanded into all pairs and no link between classes is
-lost. Texts that earlier rounds put in one class are not compared again, nor
-those whose numbers of windows alone rule out the similarity. Buckets with the
-same texts in them count once.
+first to buckets of finer bands, more and longer ones, in which texts that
+merely share a common passage rarely meet, then with other hubs, none of them of
+the bucket's largest class, until one class is left in each. No larger bucket is
+ever expanded into all pairs. Texts that earlier rounds put in one class are not
+compared again, nor those whose numbers of windows alone rule out the
+similarity. Buckets with the same texts in them count once. A link at the
+threshold is missed by bands with a probability of 3 in a million, in a large
+bucket by finer bands of 11 in a million; links of closer texts far less often.
 Pairs count if the Jaccard similarity of their sets of windows is at least the
 threshold. Classes are the connected components of these links.
 
@@ -44,17 +42,21 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from logweir.llm.common import WORD, chunks, hash_words, mix, spans, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
-# Texts outside a bucket's largest class whose pairs are all compared: in buckets of an equal band, of an equal window.
-_ALL_PAIRS = (12, 256)
-# Hubs of a larger bucket, in the same order and in all later rounds.
-_HUBS = (1, 64, 256)
+# Bands and rows for the texts of large buckets: of pairs at the threshold one in 90,000 has no such band in common,
+# of pairs with similarity 0.4 one in 370 has one.
+FINER = 160, 12
+# Texts outside a bucket's largest class whose pairs are all compared.
+_ALL_PAIRS = 12
+# Hubs of a larger bucket: in the first round, in all later ones.
+_HUBS = (1, 16)
+# Texts whose finer signatures are made in one run of steps.
+_AT_ONCE = 512
 
 
 def shingles(texts: list[str | None], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
@@ -104,14 +106,14 @@ def prob_minhash(owner: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int,
     return sig.reshape(n, slots)
 
 
-def band_hashes(texts: list[str | None]) -> tuple[list[bytes | None], np.ndarray, list[np.ndarray | None]]:
+def band_hashes(texts: list[str | None], n_bands: int = BANDS, rows: int = ROWS) -> tuple[list[bytes | None], np.ndarray, list[np.ndarray | None]]:
     """Digest of the word sequence, number of different windows and hashes of the bands of each text; None without words."""
     owner, key, _, words = shingles(texts)
     # Verification is by sets: with weights that grow with the count, repeated lines would part near copies here.
-    sig = prob_minhash(owner, key, np.ones(len(key)), len(texts), BANDS * ROWS)
-    parts = sig.reshape(len(texts), BANDS, ROWS)
-    bands = np.zeros((len(texts), BANDS), np.uint64)
-    for r in range(ROWS):
+    sig = prob_minhash(owner, key, np.ones(len(key)), len(texts), n_bands * rows)
+    parts = sig.reshape(len(texts), n_bands, rows)
+    bands = np.zeros((len(texts), n_bands), np.uint64)
+    for r in range(rows):
         bands = mix(bands * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, r])
     digests = [hashlib.md5(" ".join(w).encode("utf-8", "surrogatepass")).digest() if w else None for w in words]
     sizes = np.bincount(owner, minlength=len(texts))
@@ -156,31 +158,20 @@ def _pair(x: str, y: str) -> list[F.Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def rare_windows(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """``members`` (doc_id, size, root) with a row and a key for each window among its first.
+def finer_bands(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """``members`` (doc_id, size, root) with a row and a key for each of their finer bands."""
 
-    The order of windows, rare ones first, is one for all members. Of a text of
-    ``size`` windows those up to the place size - ceil(threshold * size) + 1
-    count; one that no other member has makes no bucket. Nor does a window count
-    if a text that has it as the first one in common with another would have too
-    few left: of r windows from that place on, at most r are common, and a common
-    number of at least threshold / (1 + threshold) times both sizes is needed.
-    """
-    sets = _sets(texts.join(members.select("doc_id"), "doc_id", "left_semi"))
-    held = written(sets.select("doc_id", F.explode("windows").alias("key")), "held")
-    seen = held.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    # Windows of one text only come first in every order: their number is what the join leaves out.
-    shared = written(held.join(seen, "key"), "shared")
-    alone = members.join(shared.groupBy("doc_id").agg(F.count(F.lit(1)).alias("others")), "doc_id")
-    first = F.col("size") - F.ceil(threshold * F.col("size") - 1e-9) + 1 - (F.col("size") - F.col("others"))
-    alone = alone.withColumn("first", first).where("first > 0").drop("others")
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "key"))
-    ranked = shared.join(alone.select("doc_id"), "doc_id", "left_semi").withColumn("place", place)
-    ranked = written(ranked.join(alone, "doc_id").where("place <= first").select(*_MEMBER, "place"), "ranked")
-    # The size of the other text that the windows left allow; the smallest in the bucket has to be within it.
-    allowed = (F.col("size") - F.col("place") + 1) * (1 + threshold) / threshold - F.col("size")
-    least = ranked.groupBy("key").agg(F.min("size").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return ranked.join(least, "key").where(allowed >= F.col("least") - 1e-6).select(*_MEMBER)
+    def run(batches):
+        for part in chunks(batches):
+            for lo in range(0, len(part), _AT_ONCE):
+                some = part.iloc[lo : lo + _AT_ONCE]
+                _, _, bands = band_hashes(some["text"].tolist(), *FINER)
+                yield pd.DataFrame({"doc_id": some["doc_id"], "bands": bands})
+
+    rows = texts.join(members.select("doc_id"), "doc_id", "left_semi").mapInPandas(run, "doc_id long, bands array<long>")
+    keys = rows.select("doc_id", F.posexplode("bands").alias("path", "h"))
+    keys = written(keys.select("doc_id", F.xxhash64("path", "h").alias("key")), "finer")
+    return keys.join(members, "doc_id").select(*_MEMBER)
 
 
 def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -195,7 +186,7 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
     roots: DataFrame | None = None
     level = 0
     while True:
-        few, many = (c[min(level, len(c) - 1)] for c in (_ALL_PAIRS, _HUBS))
+        many = _HUBS[min(level, len(_HUBS) - 1)]
         sums = (F.sum(F.xxhash64("doc_id", F.lit(k)).cast("decimal(38,0)")).alias(f"who{k}") for k in (1, 2))
         classes = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("of_root"), *sums)
         found = classes.groupBy("key").agg(
@@ -207,7 +198,7 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
         found = found.where("classes > 1").groupBy("n", "who1", "who2")
         found = found.agg(F.min("key").alias("key"), F.first("most").alias("most"))
         buckets = written(members.join(found.select("key", "n", "most"), "key"), "buckets")
-        is_small = F.col("n") - F.col("most.of_root") <= few
+        is_small = F.col("n") - F.col("most.of_root") <= _ALL_PAIRS
         small = buckets.where(is_small).withColumn("other", F.col("root") != F.col("most.root"))
         large = buckets.where(~is_small)
         company = large.groupBy("doc_id").agg(F.sum("n").alias("company"))
@@ -244,7 +235,7 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
         rest = written(rest.join(mixed.select("key"), "key", "left_semi"), "rest")
         if level == 0:
             once = rest.groupBy("doc_id").agg(F.max("size").alias("size"), F.max("root").alias("root"))
-            rest = rare_windows(written(once, "once"), texts, threshold)
+            rest = finer_bands(written(once, "once"), texts)
         members = written(rest.select(*_MEMBER), "members")
         level += 1
 
