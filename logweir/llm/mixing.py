@@ -11,9 +11,10 @@ many sources there are, not on how many documents.
 The tokens that leave a pattern are then turned into documents: whole rounds
 over all of them, and for the rest a seeded choice. Rows of a pattern are dealt
 to buckets by a keyed hash; buckets are taken in order while they fit, and only
-in the bucket where the budget ends (one of BUCKETS of a pattern) the rows are
-ranked one by one. One more row, the one whose size comes nearest, fills what
-is missing then. Reruns agree.
+in the bucket where the budget ends (one of BUCKETS of a pattern) groups of rows
+of equal id and size are ranked, without their texts. Of the group where it ends
+as many rows are taken as fit, and one more row, the one whose size comes
+nearest, fills what is missing then. Reruns agree.
 
 A null text has no words: size 0, taken 0. Null sources form a source of their
 own, last in order. Repeated rows count as often as they are there. An empty
@@ -170,25 +171,33 @@ def mix(
         ),
         "edges",
     )
-    joined = keyed.join(F.broadcast(edges), ["_pattern", "_bucket"])
     inside = (F.col("room") > 0) & (F.col("room") < F.col("words"))
-    settled = joined.where(~inside).withColumn("_extra", (F.col("room") >= F.col("words")).cast("int"))
-    order = Window.partitionBy("_pattern", "_bucket").orderBy("_hash", "doc_id", "size")
-    ahead = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ended = joined.where(inside).withColumn("_extra", (ahead <= F.col("room")).cast("int"))
-    chosen = settled.unionByName(ended)
-    # What is still missing then is filled by the row left out whose size comes nearest.
-    missing = written(
-        chosen.groupBy("_pattern").agg(F.sum(F.col("size") * F.col("_extra")).alias("got")).join(F.broadcast(plan_df), "_pattern")
-        .select("_pattern", (F.col("rest") - F.col("got")).alias("gap")), "gaps",
-    )
-    spare = chosen.where("_extra = 0 and size > 0").join(F.broadcast(missing), "_pattern")
-    spare = spare.withColumn("off", F.abs(F.col("gap") - F.col("size"))).where("off < gap")
-    fill = written(spare.groupBy("_pattern").agg(F.min(F.struct("off", "_hash", "doc_id", "size")).alias("m")), "fills")
-    fill = fill.select("_pattern", F.col("m._hash").alias("_hash"), F.col("m.size").alias("size"), F.lit(1).alias("_fill"))
-    chosen = chosen.join(F.broadcast(fill), ["_pattern", "_hash", "size"], "left").withColumn(
-        "_extra", F.greatest("_extra", F.coalesce("_fill", F.lit(0)))
+    same = F.struct("_hash", "doc_id", "size")
+    # Where the budget ends equal rows count as one group; whole groups are taken in order, of the next one some rows.
+    groups = keyed.select("_pattern", "_bucket", same.alias("_same")).join(F.broadcast(edges.where(inside)), ["_pattern", "_bucket"])
+    groups = groups.groupBy("_pattern", "room", "_same").agg(F.count(F.lit(1)).alias("n"))
+    words = F.col("_same.size") * F.col("n")
+    before = F.sum(words).over(Window.partitionBy("_pattern").orderBy("_same")) - words
+    next_ = groups.select("_pattern", "_same", "n", (F.col("room") - before).alias("left")).where((F.col("left") >= 0) & (words > F.col("left")))
+    ends = next_.groupBy("_pattern").agg(F.min(F.struct("_same", "n", "left")).alias("m")).select(
+        "_pattern", F.col("m._same").alias("_end"), F.expr("m.left div m._same.size").alias("_some"), F.expr("m.left % m._same.size").alias("gap")
     )
+    ends = written(ends, "ends")  # a row for each pattern at most
+    joined = keyed.join(F.broadcast(edges.select("_pattern", "_bucket", "rounds", "room", "words")), ["_pattern", "_bucket"])
+    joined = joined.join(F.broadcast(ends), "_pattern", "left").withColumn("_same", same)
+    whole = (F.col("room") >= F.col("words")) | (inside & F.coalesce(F.col("_same") < F.col("_end"), F.lit(False)))
+    is_end = inside & F.col("_same").eqNullSafe(F.col("_end"))
+    # What is missing then is filled by one row more, the one left out whose size comes nearest.
+    spare = joined.where(~whole & (F.col("size") > 0)).withColumn("off", F.abs(F.col("gap") - F.col("size"))).where("off < gap")
+    spare = spare.groupBy("_pattern", "_same", "off").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(is_end, F.col("_some")).otherwise(0)).alias("used"))
+    fills = spare.where("n > used").groupBy("_pattern").agg(F.min(F.struct("off", "_same")).alias("m"))
+    fills = written(fills.select("_pattern", F.col("m._same").alias("_fill")), "fills")
+    joined = joined.join(F.broadcast(fills), "_pattern", "left")
+    is_fill = F.col("_fill").isNotNull() & F.col("_same").eqNullSafe(F.col("_fill"))
+    wanted = F.when(is_end, F.col("_some")).otherwise(0) + is_fill.cast("long")
+    settled = joined.where(~(is_end | (is_fill & ~whole))).withColumn("_extra", whole.cast("int")).select(*columns, "rounds", "_extra")
+    parts = joined.where(is_end | (is_fill & ~whole)).withColumn("_wanted", wanted)
+    chosen = settled.unionByName(_some_of(parts.select(*columns, "rounds", "_pattern", "_same", "_wanted")).select(*columns, "rounds", "_extra"))
     copies = (F.col("rounds") + F.col("_extra")).alias("copies")
     mixed = chosen.select(*columns, copies).withColumn("taken", F.col("copies") * F.col("size"))
     goal = spark.createDataFrame(
@@ -197,5 +206,23 @@ def mix(
     return mixed, goal
 
 
+def _some_of(parts: DataFrame) -> DataFrame:
+    """``parts`` with ``_extra``: 1 for exactly ``_wanted`` rows of each group of equal rows (_pattern, _same)."""
+    # Numbered as they are written: the rows of a file are in one task, and only the file where a group's number ends is ranked.
+    rows = written(parts.withColumn("_row", F.monotonically_increasing_id()), "parts")
+    rows = rows.withColumn("_file", F.shiftright("_row", 33))
+    of_file = rows.groupBy("_pattern", "_same", "_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_pattern", "_same").orderBy("_file")) - F.col("_n")
+    of_file = written(of_file.select("_pattern", F.col("_same").alias("_of"), "_file", "_n", before.alias("_before")), "part-files")
+    # Two groups of a pattern at most, with a row for each task that wrote some.
+    here = F.broadcast(of_file.withColumnRenamed("_pattern", "_p").withColumnRenamed("_file", "_f"))
+    rows = rows.join(here, (F.col("_pattern") == F.col("_p")) & (F.col("_file") == F.col("_f")) & F.col("_same").eqNullSafe(F.col("_of")))
+    left = F.col("_wanted") - F.col("_before")
+    cut = (left > 0) & (left < F.col("_n"))
+    clear = rows.where(~cut).withColumn("_extra", (left > 0).cast("int"))
+    number = F.row_number().over(Window.partitionBy("_pattern", "_same", "_file").orderBy("_row"))
+    return clear.unionByName(rows.where(cut).withColumn("_extra", (number <= left).cast("int")))
+
+
 def word_count(text: str = "text") -> F.Column:
     return F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD_PATTERN)).cast("long"), F.lit(0).cast("long"))
