@@ -244,28 +244,27 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def learning_sample(docs: DataFrame, per_lang: int = 200, max_chars: int = 20_000) -> list[tuple[str, str]]:
-    """At most ``per_lang`` texts of a language, those with the smallest hashes of their ids.
+    """At most ``per_lang`` rows of a language, those with the smallest hashes of their ids, then of their texts.
 
-    Texts above ``max_chars`` are not taken for the sample. Only ids and
-    lengths are ranked; texts come for the rows chosen.
+    Of a text above ``max_chars`` a window of that many characters is taken, at
+    a place that its id decides. Only hashes are ranked; texts come for the rows chosen.
     """
-    usable = docs.where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= max_chars) & F.col("doc_id").isNotNull()
-    )
-    order = F.xxhash64(F.col("doc_id").cast("string"))
-    ranked = usable.select("lang", order.alias("h")).withColumn(
-        "n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    )
-    limits = ranked.where(F.col("n") <= per_lang).groupBy("lang").agg(F.max("h").alias("last"))
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+    room = F.greatest(F.length("text") - F.lit(max_chars), F.lit(0)) + 1
+    usable = usable.select("lang", "text", F.xxhash64(F.col("doc_id").cast("string")).alias("h"), F.xxhash64("text").alias("t"), room.alias("room"))
+    ranked = usable.select("lang", "h", "t").withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "t")))
+    chosen = ranked.where(F.col("n") <= per_lang).groupBy("lang", "h", "t").agg(F.count(F.lit(1)).alias("times"))
+    # Rows of equal id and text are one row here, so no more come to the driver than were chosen.
+    piece = F.substr("text", F.pmod("h", "room").cast("int") + 1, F.lit(max_chars))
     rows = (
-        usable.select("lang", "text", order.alias("h"))
-        .join(F.broadcast(limits), "lang")  # a row for each language
-        .where(F.col("h") <= F.col("last"))
-        .select("text", "lang", "h")
+        usable.join(F.broadcast(chosen), ["lang", "h", "t"])  # per_lang rows for each language
+        .select("lang", "h", "t", "times", piece.alias("text"))
+        .groupBy("lang", "h", "t", "times")
+        .agg(F.min("text").alias("text"))
         .collect()
     )
-    rows = sorted(rows, key=lambda r: (r["lang"], r["h"], r["text"]))
-    return [(r["text"], r["lang"]) for r in rows]
+    rows = sorted(rows, key=lambda r: (r["lang"], r["h"], r["t"]))
+    return [(r["text"], r["lang"]) for r in rows for _ in range(r["times"])]
 
 
 def label_texts(texts: list[str | None], model: Crf, memory: dict) -> tuple[list[str], np.ndarray, np.ndarray]:
