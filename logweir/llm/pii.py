@@ -2,7 +2,8 @@
 
 Found are e-mail addresses, telephone numbers, IPv4, IPv6 and MAC addresses, payment
 cards, IBANs, social security numbers, secrets, and names of people (a known
-given name before a surname, or a form of address before a surname). Every
+given name before a surname, or a form of address before a surname, then every
+later mention of one of these names alone). Every
 entity has a canonical form (digits of a number, lower case of an address, the
 single words of a name), and the canonical form alone, with the key, decides
 the surrogate: the same person, number or address gets the same one in every
@@ -106,9 +107,10 @@ _PATTERN = re.compile(
     "|".join(
         f"(?P<{kind}>{pattern})"
         for kind, pattern in (
-            ("email", r"[\w.+%-]*\w@[\w-]+(?:\.[\w-]+)*\.\w{2,}"),
+            ("email", r"(?<![\w.+%-])[\w.+%-]*+(?<=\w)@[\w-]+(?:\.[\w-]+)*\.\w{2,}"),
             ("secret", r"(?<!\w)(?i:token|api[_-]?key|secret|password|passwd|bearer)\b[ \t]*[:=][ \t]*[\"']?[\w+/.~-]*\w[\w+/.~=-]{7,}"),
             ("hexkey", r"(?<!\w)[0-9a-fA-F]{32,}(?!\w)"),
+            ("accesskey", r"(?<!\w)(?:(?:AKIA|ASIA)[0-9A-Z]{16}|[sr]k_(?:live|test)_[0-9A-Za-z]{10,})(?!\w)"),
             ("mac", r"(?<![\w:-])[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}(?![\w:-])"),
             ("ipv6", r"(?<![\w.])(?<![0-9A-Fa-f]:)(?=[0-9A-Fa-f]{0,4}:[0-9A-Fa-f]{0,4}:)[0-9A-Fa-f:]{0,38}(?:[0-9A-Fa-f]|::)(?!\w|\.\d)"),
             ("iban", r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
@@ -123,9 +125,10 @@ _PATTERN = re.compile(
         )
     )
 )
-_CLUE = re.compile(r"[@\d]|(?i:token|secret|passw|bearer|api)")
+_CLUE = re.compile(r"[@\d]|(?i:token|secret|passw|bearer|api)|AKIA|ASIA|k_live_|k_test_")
 _UPPER = "A-ZÀ-ÖØ-ÞΆ-ΫЀ-Я"
-_NAMES = re.compile(rf"(?<!\w)(?:[{_UPPER}][\w’'-]*\.? )+[{_UPPER}][\w’'-]*\w")
+_NAMES = re.compile(rf"(?<!\w)[{_UPPER}][\w’'-]*+\.?+(?: [{_UPPER}][\w’'-]*+\.?+)+")
+_CAPITAL = re.compile(rf"(?<!\w)[{_UPPER}][\w’'-]*+")
 _SECRET_VALUE = re.compile(r"[:=][ \t]*[\"']?(.+)$", re.S)
 
 Part = tuple[int, int, str, str]  # start, end, kind, canonical form
@@ -175,12 +178,29 @@ def _numbers(text: str) -> Iterator[Part]:
             # Of "a::b" and the like in program text nothing is left: an address has a digit and two groups at least.
             if re.search(r"\d", value) and len([g for g in value.split(":") if g]) > 1:
                 yield start, m.end(), kind, canon
+        elif kind == "accesskey":
+            # What says its kind stays.
+            head = 4 if value[0] == "A" else 8
+            yield start + head, m.end(), "secret", value[head:]
         elif kind in ("email", "mac", "hexkey"):
             yield start, m.end(), "secret" if kind == "hexkey" else kind, value.lower()
         else:
             yield start, m.end(), kind, value
 
 
+def _given(word: str) -> tuple[str, str] | None:
+    """Script and gender of a given name, also of one all in capitals or of the first of two joined ones."""
+    if word in _GENDER or not (word.isupper() or "-" in word):
+        return _GENDER.get(word)
+    return _GENDER.get(word.title()) or _GENDER.get(word.split("-")[0].title())
+
+
+def _bare(word: str) -> str:
+    """Without what may follow a name: point, quotes, the s of a genitive."""
+    word = word.rstrip(".’'-")
+    return word[:-2] if word[-2:] in ("’s", "'s") else word
+
+
 def _people(text: str) -> Iterator[Part]:
     for m in _NAMES.finditer(text):
         words, at = [], m.start()
@@ -189,31 +209,50 @@ def _people(text: str) -> Iterator[Part]:
             at += len(w) + 1
         i = 0
         while i < len(words):
-            at, word = words[i]
-            title = _TITLE.get(word.rstrip("."))
-            after = i + 1
-            if title is None:
-                after = i
-            if after < len(words) and words[after][1] in _GENDER and after + 1 < len(words):
-                script, gender = _GENDER[words[after][1]]
+            title = _TITLE.get(words[i][1].rstrip("."))
+            after = i if title is None else i + 1
+            kind = _given(words[after][1]) if after + 1 < len(words) else None
+            if kind:
                 start, given = words[after]
-                yield start, start + len(given), f"given {script} {gender}", given.lower()
                 after += 1
             elif title is None or after >= len(words):
                 i += 1
                 continue
-            start, surname = words[after]
-            if surname[1:] and not surname.endswith("."):
-                yield start, start + len(surname), f"surname {_script(surname)}", surname.lower()
+            # First letters of more given names stay; a longer word with a point ends a sentence.
+            while after + 1 < len(words) and len(words[after][1]) == 2 and words[after][1][1] == ".":
+                after += 1
+            at, word = words[after]
+            surname = _bare(word)
+            if len(surname) > 1 and not (word.endswith(".") and len(surname) < 3):
+                if kind:
+                    yield start, start + len(given), f"given {kind[0]} {kind[1]}", given.lower()
+                yield at, at + len(surname), f"surname {_script(surname)}", surname.lower()
+            elif kind:
+                yield start, start + len(given), f"given {kind[0]} {kind[1]}", given.lower()
             i = after + 1
 
 
+def _mentions(text: str, people: list[Part]) -> Iterator[Part]:
+    """Later mentions of single names of people that the text names in full."""
+    kinds: dict[str, tuple[int, str]] = {}
+    for start, _, kind, canon in people:
+        kinds.setdefault(canon, (start, kind))
+    for m in _CAPITAL.finditer(text):
+        bare = _bare(m.group())
+        first = kinds.get(bare.lower())
+        if first and m.start() > first[0]:
+            yield m.start(), m.start() + len(bare), first[1], bare.lower()
+
+
 def find(text: str | None) -> list[Part]:
     """Entities of a text from left to right; a name gives a part for each of its words."""
     if not text:
         return []
     parts = list(_numbers(text)) if _CLUE.search(text) else []
-    parts += _people(text)
+    people = list(_people(text))
+    if people:
+        parts += people
+        parts += _mentions(text, people)
     parts.sort()
     out: list[Part] = []
     for p in parts:
