@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import html as references
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -77,6 +77,11 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_FORM = re.compile(r"<(/?)form\b[^>]*>", re.I)
+_UNREAD = re.compile(r"<(script|style|select|textarea)\b.*?(?:</\1\s*>|\Z)", re.I | re.S)
+_MARKUP = re.compile(r"\s*<[^>]*>\s*")
+# Words of a line of prose in a form; a form with twice as many in such lines holds text to read.
+_PROSE = 20
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -116,21 +121,39 @@ def _own(tag: str, attributes: str) -> tuple[float, bool]:
     return balance, hidden
 
 
+def _layout_forms(page: str) -> set[int]:
+    """Starts of forms that hold prose: those are the layout of a page, not something to fill in."""
+    out, start = set(), None
+    for m in _FORM.finditer(page):
+        if not m.group(1):
+            start = m.start() if start is None else start
+        elif start is not None:
+            inside = _UNREAD.sub(" ", page[start : m.start()])
+            if sum(len(p.split()) for p in _MARKUP.sub("\n", inside).split("\n") if len(p.split()) >= _PROSE) >= 2 * _PROSE:
+                out.add(start)
+            start = None
+    return out
+
+
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order. Unclosed and stray tags are handled as browsers do, in the main."""
     out: list[Block] = []
     # tag, balance of it and all around it, silent, number, what evidence for content counts inside
     stack: list[tuple[str, float, bool, int, str]] = [("", 0.0, False, 0, "all")]
     pieces: list[str] = []
-    linked, links, number = 0, 0, 0
+    linked, number = 0, 0
+    opened: Counter[str] = Counter()  # open elements by tag
+    forms = _layout_forms(page) if "<form" in page.lower() else set()
+
+    def depth_of(tag: str) -> int:
+        return next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag) if opened[tag] else 0
 
     def flush() -> None:
         nonlocal linked
         if pieces:
             text = _SPACE.sub(" ", "".join(pieces)).strip()
             if text:
-                home = next(e for e in reversed(stack) if e[0] in _BLOCK or e[0] == "")
-                place = next((i for i, e in enumerate(stack) if e is home), 0)
+                place = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in _BLOCK or not i)
                 out.append(Block(text, stack[-1][1], stack[max(0, place - 1)][3], min(linked, len(text))))
             pieces.clear()
         linked = 0
@@ -140,14 +163,12 @@ def blocks(page: str) -> list[Block]:
         if raw and not stack[-1][2]:
             text = references.unescape(raw) if "&" in raw else raw
             pieces.append(text)
-            if links:
+            if opened["a"]:
                 linked += len(text.strip())
 
     def pop_to(depth: int) -> None:
-        nonlocal links
         while len(stack) > depth:
-            links -= stack[-1][0] == "a"
-            stack.pop()
+            opened[stack.pop()[0]] -= 1
 
     at, end = 0, len(page)
     while at < end:
@@ -160,14 +181,14 @@ def blocks(page: str) -> list[Block]:
         closing, opening = m.group(1), m.group(2)
         if closing:
             tag = closing.lower()
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
+            depth = depth_of(tag)
             if tag in _BLOCK:
                 flush()
                 if depth:
                     pop_to(depth)
             elif tag == "br":
                 say(" ")
-            elif depth and not any(e[0] in _BLOCK for e in stack[depth + 1 :]):
+            elif depth and not any(stack[i][0] in _BLOCK for i in range(len(stack) - 1, depth, -1)):
                 pop_to(depth)
         elif opening:
             tag, attributes = opening.lower(), m.group(3)
@@ -177,11 +198,11 @@ def blocks(page: str) -> list[Block]:
             if tag in _BLOCK:
                 flush()
                 if tag in _CLOSES_P:
-                    depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == "p"), 0)
+                    depth = depth_of("p")
                     if depth:
                         pop_to(depth)
                 ends, stops = _SIBLINGS.get(tag, (set(), set()))
-                for i in range(len(stack) - 1, 0, -1):
+                for i in range(len(stack) - 1 if any(opened[t] for t in ends) else 0, 0, -1):
                     if stack[i][0] in stops:
                         break
                     if stack[i][0] in ends:
@@ -192,7 +213,9 @@ def blocks(page: str) -> list[Block]:
             if tag in _VOID:
                 continue
             balance, hidden = _own(tag, attributes)
-            if tag == "header" and any(e[0] == "article" for e in stack):
+            if m.start() in forms:
+                balance -= _AROUND["form"]
+            if tag == "header" and opened["article"]:
                 balance = max(balance, 0.0)
             number += 1
             outer = stack[-1][1]
@@ -209,8 +232,8 @@ def blocks(page: str) -> list[Block]:
                 counts = "all"
             else:
                 inner = outer
-            stack.append((tag, inner, stack[-1][2] or hidden or tag in _SILENT, number, counts))
-            links += tag == "a"
+            stack.append((tag, inner, stack[-1][2] or hidden or (tag in _SILENT and not (tag == "button" and opened["p"])), number, counts))
+            opened[tag] += 1
             if tag in _RAW:
                 close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
                 if tag not in _SILENT and tag != "title":
@@ -294,6 +317,9 @@ def cut(terminal: list[tuple[float, float]], ties: list[tuple[int, int, float]])
 
 
 def main_text(page: str | None) -> str:
+    """Main text of a page. Source without any markup is text as a whole."""
+    if page and "<" not in page:
+        return _SPACE.sub(" ", references.unescape(page)).strip()
     found = blocks(page) if page else []
     ties = [(i, i + 1, _NEXT) for i in range(len(found) - 1)]
     last: dict[int, int] = {}
