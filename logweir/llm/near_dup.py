@@ -18,7 +18,9 @@ middle. Texts that reach a hub are one class with it. All but the hub go on:
 first to buckets of finer bands, more and longer ones, in which texts that
 merely share a common passage rarely meet, then with other hubs, none of them of
 the bucket's largest class, until one class is left in each. No larger bucket is
-ever expanded into all pairs. Texts that earlier rounds put in one class are not
+ever expanded into all pairs. Windows that a text of a large bucket shares with no
+other of them bound its similarity to all of these; pairs, and texts of a bucket,
+that this bound rules out are never compared, and no link is lost by it. Texts that earlier rounds put in one class are not
 compared again, nor those whose numbers of windows alone rule out the
 similarity. Buckets with the same texts in them count once. A link at the
 threshold is missed by bands with a probability of 3 in a million, in a large
@@ -151,15 +153,35 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", (common / (F.size("in_a") + F.size("in_b") - common)).alias("sim"))
 
 
-_MEMBER = ("doc_id", "key", "size", "root")
+_MEMBER = ("doc_id", "key", "size", "own", "root")
 
 
 def _pair(x: str, y: str) -> list[F.Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def own_windows(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """doc_id, own: windows that no other of the ``members`` (doc_id) has. Texts without one are left out."""
+
+    def run(batches):
+        for part in chunks(batches):
+            owner, key, _, _ = shingles(part["text"].tolist())
+            yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy()[owner], "window": key.view(np.int64)})
+
+    rows = texts.join(members, "doc_id", "left_semi").mapInPandas(run, "doc_id long, window long")
+    # Windows of many texts are combined before they meet.
+    holders = rows.groupBy("window").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
+    return holders.where("doc_id = last").groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("own"))
+
+
+def can_link(x: tuple[str, str], y: tuple[str, str], threshold: float) -> F.Column:
+    """Whether numbers of windows (all, own) of two texts allow the similarity: no own window is in the other text."""
+    common = F.least(F.col(x[0]) - F.col(x[1]), F.col(y[0]) - F.col(y[1]))
+    return common * (1 + threshold) >= threshold * (F.col(x[0]) + F.col(y[0])) - 1e-9
+
+
 def finer_bands(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """``members`` (doc_id, size, root) with a row and a key for each of their finer bands."""
+    """``members`` (doc_id, size, own, root) with a row and a key for each of their finer bands."""
 
     def run(batches):
         for part in chunks(batches):
@@ -180,7 +202,7 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
     ``reps`` has doc_id, size and bands, one row for each different text.
     """
     members = reps.select("doc_id", "size", F.posexplode("bands").alias("path", "h")).select(
-        "doc_id", F.xxhash64("path", "h").alias("key"), "size", F.col("doc_id").alias("root")
+        "doc_id", F.xxhash64("path", "h").alias("key"), "size", F.lit(0).alias("own"), F.col("doc_id").alias("root")
     )
     done: DataFrame | None = None
     roots: DataFrame | None = None
@@ -188,34 +210,44 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
     while True:
         many = _HUBS[min(level, len(_HUBS) - 1)]
         sums = (F.sum(F.xxhash64("doc_id", F.lit(k)).cast("decimal(38,0)")).alias(f"who{k}") for k in (1, 2))
-        classes = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("of_root"), *sums)
+        classes = members.groupBy("key", "root").agg(
+            F.count(F.lit(1)).alias("of_root"), F.min("size").alias("low"), *sums
+        )
         found = classes.groupBy("key").agg(
             F.sum("of_root").alias("n"),
             F.count(F.lit(1)).alias("classes"),
             F.max(F.struct("of_root", "root")).alias("most"),
+            F.min("low").alias("low"),
             *(F.sum(who).alias(who) for who in ("who1", "who2")),
         )
         found = found.where("classes > 1").groupBy("n", "who1", "who2")
-        found = found.agg(F.min("key").alias("key"), F.first("most").alias("most"))
-        buckets = written(members.join(found.select("key", "n", "most"), "key"), "buckets")
+        found = found.agg(F.min("key").alias("key"), F.first("most").alias("most"), F.first("low").alias("low"))
+        buckets = written(members.join(found.select("key", "n", "most", "low"), "key"), "buckets")
         is_small = F.col("n") - F.col("most.of_root") <= _ALL_PAIRS
         small = buckets.where(is_small).withColumn("other", F.col("root") != F.col("most.root"))
         large = buckets.where(~is_small)
+        if level == 0:
+            own = own_windows(large.select("doc_id").distinct(), texts)
+            large = large.drop("own").join(written(own, "own"), "doc_id", "left").na.fill(0, ["own"])
+        # Texts that may link to one of the size of the bucket's smallest, or of the smallest that can be near them.
+        least = F.greatest("low", threshold * F.col("size"))
+        large = large.where((F.col("size") - F.col("own")) * (1 + threshold) >= threshold * (F.col("size") + least) - 1e-9)
+        large = written(large, "large")
         company = large.groupBy("doc_id").agg(F.sum("n").alias("company"))
         slot = F.pmod(F.xxhash64("doc_id"), F.lit(many))
         central = F.max(F.struct("company", (-F.col("doc_id")).alias("back")))
         # The largest class needs no hub: it is through when all others are.
+        hub = ("hub", "hub_root", "hub_size", "hub_own")
         able = large if level == 0 else large.where(F.col("root") != F.col("most.root"))
         hubs = able.join(company, "doc_id").groupBy("key", slot.alias("slot")).agg((-central["back"]).alias("hub"))
-        roots_of_hubs = large.select("key", F.col("doc_id").alias("hub"), F.col("root").alias("hub_root"))
-        hubs = written(hubs.join(roots_of_hubs, ["key", "hub"]).select("key", "hub", "hub_root"), "hubs")
+        of_hubs = large.select("key", *(F.col(c).alias(h) for c, h in zip(("doc_id", "root", "size", "own"), hub, strict=True)))
+        hubs = written(hubs.join(of_hubs, ["key", "hub"]).select("key", *hub), "hubs")
         one, two = (
-            small.select("key", *(F.col(c).alias(f"{x}_{c}") for c in ("doc_id", "root", "size", "other"))) for x in "xy"
+            small.select("key", *(F.col(c).alias(f"{x}_{c}") for c in ("doc_id", "root", "size", "own", "other"))) for x in "xy"
         )
-        near = F.least("x_size", "y_size") >= threshold * F.greatest("x_size", "y_size") - 1e-9
         pairs = one.where("x_other").join(two, "key").where("x_root <> y_root and (not y_other or x_doc_id < y_doc_id)")
-        pairs = pairs.where(near).select(*_pair("x_doc_id", "y_doc_id"))
-        met = large.join(hubs, "key").where("root <> hub_root")
+        pairs = pairs.where(can_link(("x_size", "x_own"), ("y_size", "y_own"), threshold)).select(*_pair("x_doc_id", "y_doc_id"))
+        met = large.join(hubs, "key").where("root <> hub_root").where(can_link(("size", "own"), ("hub_size", "hub_own"), threshold))
         pairs = pairs.union(met.select(*_pair("doc_id", "hub"))).distinct()
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
@@ -228,13 +260,13 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
         if roots is None or not fresh.where(F.col("sim") >= threshold).isEmpty():
             roots = components(links).toDF("doc_id", "root")
         # Hubs are through, as they met all of other classes.
-        rest = large.select("doc_id", "key", "size")
+        rest = large.select("doc_id", "key", "size", "own")
         rest = rest.join(hubs.select(F.col("hub").alias("doc_id"), "key"), ["doc_id", "key"], "left_anti")
         rest = rest.join(roots, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
         mixed = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
         rest = written(rest.join(mixed.select("key"), "key", "left_semi"), "rest")
         if level == 0:
-            once = rest.groupBy("doc_id").agg(F.max("size").alias("size"), F.max("root").alias("root"))
+            once = rest.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in ("size", "own", "root")))
             rest = finer_bands(written(once, "once"), texts)
         members = written(rest.select(*_MEMBER), "members")
         level += 1
