@@ -146,7 +146,8 @@ def _sets(docs: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """a, b, sim: Jaccard similarity of the window sets of each pair. ``texts`` has one row for an id."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    # A written table has a known size, so texts are shuffled only where the ids are too many to broadcast.
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     sets = written(_sets(texts.join(ids, "doc_id", "left_semi")), "windows")
     both = pairs.join(sets.toDF("a", "in_a"), "a").join(sets.toDF("b", "in_b"), "b")
     common = F.size(F.array_intersect("in_a", "in_b"))
@@ -227,7 +228,7 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
         small = buckets.where(is_small).withColumn("other", F.col("root") != F.col("most.root"))
         large = buckets.where(~is_small)
         if level == 0:
-            own = own_windows(large.select("doc_id").distinct(), texts)
+            own = own_windows(written(large.select("doc_id").distinct(), "ids"), texts)
             large = large.drop("own").join(written(own, "own"), "doc_id", "left").na.fill(0, ["own"])
         # Texts that may link to one of the size of the bucket's smallest, or of the smallest that can be near them.
         least = F.greatest("low", threshold * F.col("size"))
