@@ -586,6 +586,27 @@ def test_probminhash_estimates():
     assert abs((sig[0] == sig[1]).mean() - want) < 0.03
 
 
+def test_own_windows_bound_similarity(spark):
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(30):
+        words = list(base)
+        for j in range(i % 8):
+            words[rng.randrange(60)] = f"n{i}x{j}" if i % 3 else f"n{j}"
+        texts.append(" ".join(words[: 60 - i % 5]))
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in texts]
+    want = {i: sum(all(w not in o for j, o in enumerate(sets) if j != i) for w in s) for i, s in enumerate(sets)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["own"] for r in near_dup.own_windows(docs.select("doc_id"), docs).collect()}
+    assert {i: got.get(i, 0) for i in want} == want
+    rows = [(a, b, len(sets[a]), want[a], len(sets[b]), want[b]) for a in want for b in range(a)]
+    pairs = spark.createDataFrame(rows, "a int, b int, n int, u int, m int, v int")
+    left = {(r["a"], r["b"]) for r in pairs.where(near_dup.can_link(("n", "u"), ("m", "v"), 0.8)).collect()}
+    links = {(a, b) for a, b, *_ in rows if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert links and links <= left and len(left) < len(rows)
+
+
 def test_near_duplicates_on_odd_rows(spark, odd):
     out = near_dup.near_duplicates(odd).collect()
     assert len(out) == 8
