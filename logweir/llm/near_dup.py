@@ -19,8 +19,10 @@ first to buckets of finer bands, more and longer ones, in which texts that
 merely share a common passage rarely meet, then with other hubs, none of them of
 the bucket's largest class, until one class is left in each. No larger bucket is
 ever expanded into all pairs. Windows that a text of a large bucket shares with no
-other of them bound its similarity to all of these; pairs, and texts of a bucket,
-that this bound rules out are never compared, and no link is lost by it. Texts that earlier rounds put in one class are not
+other of them bound its similarity to all of these. With the finer bands each text
+gets a bitmap, in which each of its windows flips a bit: bits that differ between
+two texts are windows that one of them lacks, at the least. Pairs, and texts of a
+bucket, that these bounds rule out are never compared, and no link is lost by it. Texts that earlier rounds put in one class are not
 compared again, nor those whose numbers of windows alone rule out the
 similarity. Buckets with the same texts in them count once. A link at the
 threshold is missed by bands with a probability of 3 in a million, in a large
@@ -58,7 +60,11 @@ _ALL_PAIRS = 12
 # Hubs of a larger bucket: in the first round, in all later ones.
 _HUBS = (1, 16)
 # Texts whose finer signatures are made in one run of steps.
-_AT_ONCE = 512
+_AT_ONCE = 256
+# Characters of texts in one run: words, windows and signatures of a run are in memory at once.
+_RUN_CHARS = 750_000
+# Bits of a text's bitmap: windows that fall together hide differences, so that longer texts are bounded less.
+_BITS = 2048
 
 
 def shingles(texts: list[str | None], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
@@ -108,25 +114,37 @@ def prob_minhash(owner: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int,
     return sig.reshape(n, slots)
 
 
-def band_hashes(texts: list[str | None], n_bands: int = BANDS, rows: int = ROWS) -> tuple[list[bytes | None], np.ndarray, list[np.ndarray | None]]:
-    """Digest of the word sequence, number of different windows and hashes of the bands of each text; None without words."""
-    owner, key, _, words = shingles(texts)
+def bands_of(owner: np.ndarray, key: np.ndarray, n: int, n_bands: int, rows: int) -> np.ndarray:
+    """Hashes of the bands of ``n`` sets of windows."""
     # Verification is by sets: with weights that grow with the count, repeated lines would part near copies here.
-    sig = prob_minhash(owner, key, np.ones(len(key)), len(texts), n_bands * rows)
-    parts = sig.reshape(len(texts), n_bands, rows)
-    bands = np.zeros((len(texts), n_bands), np.uint64)
+    parts = prob_minhash(owner, key, np.ones(len(key)), n, n_bands * rows).reshape(n, n_bands, rows)
+    bands = np.zeros((n, n_bands), np.uint64)
     for r in range(rows):
         bands = mix(bands * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, r])
+    return bands.view(np.int64)
+
+
+def bitmaps(owner: np.ndarray, key: np.ndarray, n: int, bits: int = _BITS) -> np.ndarray:
+    """Bitmaps of ``n`` sets of windows, in numbers of 64 bits: a bit is set where an odd number of windows falls on it."""
+    at = owner * bits + (key % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(at, minlength=n * bits).reshape(n, bits) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+
+
+def band_hashes(texts: list[str | None], n_bands: int = BANDS, rows: int = ROWS) -> tuple[list[bytes | None], np.ndarray, list[np.ndarray | None]]:
+    """Digest of the word sequence, number of different windows and hashes of the bands of each text; None without words."""
+    owner, key, _, words = shingles(texts)
+    bands = bands_of(owner, key, len(texts), n_bands, rows)
     digests = [hashlib.md5(" ".join(w).encode("utf-8", "surrogatepass")).digest() if w else None for w in words]
     sizes = np.bincount(owner, minlength=len(texts))
-    return digests, sizes, [b if w else None for b, w in zip(bands.view(np.int64), words, strict=True)]
+    return digests, sizes, [b if w else None for b, w in zip(bands, words, strict=True)]
 
 
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, digest, size, bands, text of every row."""
 
     def run(batches):
-        for part in chunks(batches):
+        for part in chunks(batches, limit=_RUN_CHARS):
             digests, sizes, bands = band_hashes(part["text"].tolist())
             yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "digest": digests, "size": sizes, "bands": bands, "text": part["text"]})
 
@@ -136,7 +154,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 def _sets(docs: DataFrame) -> DataFrame:
     def run(batches):
-        for part in chunks(batches):
+        for part in chunks(batches, limit=_RUN_CHARS):
             owner, key, _, _ = shingles(part["text"].tolist())
             ends = np.searchsorted(owner, np.arange(1, len(part)))
             yield pd.DataFrame({"doc_id": part["doc_id"], "windows": np.split(key.view(np.int64), ends)})
@@ -165,7 +183,7 @@ def own_windows(members: DataFrame, texts: DataFrame) -> DataFrame:
     """doc_id, own: windows that no other of the ``members`` (doc_id) has. Texts without one are left out."""
 
     def run(batches):
-        for part in chunks(batches):
+        for part in chunks(batches, limit=_RUN_CHARS):
             owner, key, _, _ = shingles(part["text"].tolist())
             yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy()[owner], "window": key.view(np.int64)})
 
@@ -175,26 +193,34 @@ def own_windows(members: DataFrame, texts: DataFrame) -> DataFrame:
     return holders.where("doc_id = last").groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("own"))
 
 
-def can_link(x: tuple[str, str], y: tuple[str, str], threshold: float) -> F.Column:
-    """Whether numbers of windows (all, own) of two texts allow the similarity: no own window is in the other text."""
+def can_link(x: tuple[str, ...], y: tuple[str, ...], threshold: float) -> F.Column:
+    """Whether numbers of windows (all, own) of two texts, and their bitmaps if these are named and known, allow the similarity.
+
+    No own window is in the other text, and no fewer windows are in one text only than bits differ.
+    """
     common = F.least(F.col(x[0]) - F.col(x[1]), F.col(y[0]) - F.col(y[1]))
-    return common * (1 + threshold) >= threshold * (F.col(x[0]) + F.col(y[0])) - 1e-9
+    both = F.col(x[0]) + F.col(y[0])
+    # The cheap bound first: bitmaps meet only where it leaves the pair.
+    able = common * (1 + threshold) >= threshold * both - 1e-9
+    if len(x) > 2:
+        differ = F.aggregate(F.zip_with(x[2], y[2], lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, k: n + k)
+        able &= (both - F.coalesce(differ, F.lit(0))) / 2 * (1 + threshold) >= threshold * both - 1e-9
+    return able
 
 
-def finer_bands(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """``members`` (doc_id, size, own, root) with a row and a key for each of their finer bands."""
+def sketches(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """doc_id, bands (the finer ones), bits (the bitmap) of the ``members`` (doc_id)."""
 
     def run(batches):
-        for part in chunks(batches):
+        for part in chunks(batches, limit=_RUN_CHARS):
             for lo in range(0, len(part), _AT_ONCE):
                 some = part.iloc[lo : lo + _AT_ONCE]
-                _, _, bands = band_hashes(some["text"].tolist(), *FINER)
-                yield pd.DataFrame({"doc_id": some["doc_id"], "bands": bands})
+                owner, key, _, _ = shingles(some["text"].tolist())
+                bands, bits = bands_of(owner, key, len(some), *FINER), bitmaps(owner, key, len(some))
+                yield pd.DataFrame({"doc_id": some["doc_id"], "bands": list(bands), "bits": list(bits)})
 
-    rows = texts.join(members.select("doc_id"), "doc_id", "left_semi").mapInPandas(run, "doc_id long, bands array<long>")
-    keys = rows.select("doc_id", F.posexplode("bands").alias("path", "h"))
-    keys = written(keys.select("doc_id", F.xxhash64("path", "h").alias("key")), "finer")
-    return keys.join(members, "doc_id").select(*_MEMBER)
+    rows = texts.join(members.select("doc_id"), "doc_id", "left_semi")
+    return rows.mapInPandas(run, "doc_id long, bands array<long>, bits array<long>")
 
 
 def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -207,6 +233,7 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
     )
     done: DataFrame | None = None
     roots: DataFrame | None = None
+    bits: DataFrame | None = None
     level = 0
     while True:
         many = _HUBS[min(level, len(_HUBS) - 1)]
@@ -223,7 +250,12 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
         )
         found = found.where("classes > 1").groupBy("n", "who1", "who2")
         found = found.agg(F.min("key").alias("key"), F.first("most").alias("most"), F.first("low").alias("low"))
-        buckets = written(members.join(found.select("key", "n", "most", "low"), "key"), "buckets")
+        buckets = members.join(found.select("key", "n", "most", "low"), "key")
+        if bits is None:
+            buckets = buckets.withColumn("bits", F.lit(None).cast("array<bigint>"))
+        else:
+            buckets = buckets.join(bits, "doc_id")
+        buckets = written(buckets, "buckets")
         is_small = F.col("n") - F.col("most.of_root") <= _ALL_PAIRS
         small = buckets.where(is_small).withColumn("other", F.col("root") != F.col("most.root"))
         large = buckets.where(~is_small)
@@ -238,17 +270,17 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
         slot = F.pmod(F.xxhash64("doc_id"), F.lit(many))
         central = F.max(F.struct("company", (-F.col("doc_id")).alias("back")))
         # The largest class needs no hub: it is through when all others are.
-        hub = ("hub", "hub_root", "hub_size", "hub_own")
+        hub = ("hub", "hub_root", "hub_size", "hub_own", "hub_bits")
         able = large if level == 0 else large.where(F.col("root") != F.col("most.root"))
         hubs = able.join(company, "doc_id").groupBy("key", slot.alias("slot")).agg((-central["back"]).alias("hub"))
-        of_hubs = large.select("key", *(F.col(c).alias(h) for c, h in zip(("doc_id", "root", "size", "own"), hub, strict=True)))
+        of_hubs = large.select("key", *(F.col(c).alias(h) for c, h in zip(("doc_id", "root", "size", "own", "bits"), hub, strict=True)))
         hubs = written(hubs.join(of_hubs, ["key", "hub"]).select("key", *hub), "hubs")
         one, two = (
-            small.select("key", *(F.col(c).alias(f"{x}_{c}") for c in ("doc_id", "root", "size", "own", "other"))) for x in "xy"
+            small.select("key", *(F.col(c).alias(f"{x}_{c}") for c in ("doc_id", "root", "size", "own", "bits", "other"))) for x in "xy"
         )
         pairs = one.where("x_other").join(two, "key").where("x_root <> y_root and (not y_other or x_doc_id < y_doc_id)")
-        pairs = pairs.where(can_link(("x_size", "x_own"), ("y_size", "y_own"), threshold)).select(*_pair("x_doc_id", "y_doc_id"))
-        met = large.join(hubs, "key").where("root <> hub_root").where(can_link(("size", "own"), ("hub_size", "hub_own"), threshold))
+        pairs = pairs.where(can_link(("x_size", "x_own", "x_bits"), ("y_size", "y_own", "y_bits"), threshold)).select(*_pair("x_doc_id", "y_doc_id"))
+        met = large.join(hubs, "key").where("root <> hub_root").where(can_link(("size", "own", "bits"), ("hub_size", "hub_own", "hub_bits"), threshold))
         pairs = pairs.union(met.select(*_pair("doc_id", "hub"))).distinct()
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
@@ -268,7 +300,11 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
         rest = written(rest.join(mixed.select("key"), "key", "left_semi"), "rest")
         if level == 0:
             once = rest.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in ("size", "own", "root")))
-            rest = finer_bands(written(once, "once"), texts)
+            once = written(once, "once")
+            fine = written(sketches(once, texts), "finer")
+            bits = fine.select("doc_id", "bits")
+            rest = fine.select("doc_id", F.posexplode("bands").alias("path", "h")).join(once, "doc_id")
+            rest = rest.withColumn("key", F.xxhash64("path", "h"))
         members = written(rest.select(*_MEMBER), "members")
         level += 1
 

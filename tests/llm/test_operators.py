@@ -607,6 +607,43 @@ def test_own_windows_bound_similarity(spark):
     assert links and links <= left and len(left) < len(rows)
 
 
+def test_bitmaps_lose_no_link(spark):
+    rng = random.Random(21)
+    texts = []
+    for n in (1, 4, 60, 60, 60, 400):
+        base = [f"w{i}" for i in range(n)]
+        texts += [" ".join(w if rng.random() > i / 150 else f"n{i}" for w in base) for i in range(8)]
+    owner, key, _, _ = near_dup.shingles(texts)
+    sets = [set(key[owner == i]) for i in range(len(texts))]
+    bits = near_dup.bitmaps(owner, key, len(texts), 128)
+    rows = [(a, b, len(sets[a]), bits[a].tolist(), len(sets[b]), bits[b].tolist()) for a in range(len(texts)) for b in range(a)]
+    pairs = spark.createDataFrame(rows, "a int, b int, n int, x array<long>, m int, y array<long>").withColumn("u", F.lit(0))
+    left = {(r["a"], r["b"]) for r in pairs.where(near_dup.can_link(("n", "u", "x"), ("m", "u", "y"), 0.8)).collect()}
+    links = {(a, b) for a, b, *_ in rows if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert links and links <= left and len(left) < len(rows) / 2
+
+
+def test_texts_near_a_large_class_are_not_compared_with_all_of_it(spark, monkeypatch):
+    """Texts with much in common with each other and with a class, but no link, in the buckets of finer bands."""
+    rng = random.Random(22)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for i in range(90):
+        words = list(base)
+        for at in rng.sample(range(300), 2 if i < 50 else 16):
+            words[at] = f"x{i}-{at}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    want = slow_classes(rows)
+    assert sum(c == 0 for c in want.values()) >= 50 and len(set(want.values())) > 10
+    compared = []
+    verified = near_dup.verified
+    monkeypatch.setattr(near_dup, "verified", lambda pairs, texts: compared.append(pairs.count()) or verified(pairs, texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(docs).collect()} == want
+    assert len(compared) > 1 and sum(compared[1:]) < 200
+
+
 def test_near_duplicates_on_odd_rows(spark, odd):
     out = near_dup.near_duplicates(odd).collect()
     assert len(out) == 8
