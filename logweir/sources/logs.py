@@ -31,7 +31,9 @@ from logweir.schemas import IP_RANGES, log_schema
 Opener = Callable[[str], IO[bytes]]
 
 _PATH = "_log_path"
-_BLOCK_BYTES = 8 * 1024 * 1024
+# Bytes that are decoded at a time: a task holds some ten times as much. A row has to fit into
+# a block; only where one does not, larger ones are taken.
+_BLOCK_BYTES = (1024 * 1024, 8 * 1024 * 1024)
 
 
 def raw_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -156,12 +158,32 @@ def _batches_of(
 
     ``partly``: columns of the schema that the member lacks are null.
     """
+    done = 0
+    for block in _BLOCK_BYTES:
+        at = 0
+        try:
+            for batch in _decoded(path, schema, opener, partly, block):
+                # Rows that smaller blocks have given are not given again.
+                fresh = batch.slice(min(max(done - at, 0), batch.num_rows))
+                at += batch.num_rows
+                if fresh.num_rows:
+                    done = at
+                    yield fresh
+            return
+        except pa.ArrowInvalid as error:
+            if block == _BLOCK_BYTES[-1] or "straddl" not in str(error):
+                raise
+
+
+def _decoded(
+    path: str, schema: pa.Schema, opener: Opener, partly: bool, block: int
+) -> Iterator[pa.RecordBatch]:
     with opener(path) as file, zipfile.ZipFile(file) as archive:
         with archive.open(_csv_member(archive, path)) as member:
             reader = arrow_csv.open_csv(
                 member,
                 # One core per task, and no blocks read ahead.
-                read_options=arrow_csv.ReadOptions(block_size=_BLOCK_BYTES, use_threads=False),
+                read_options=arrow_csv.ReadOptions(block_size=block, use_threads=False),
                 parse_options=arrow_csv.ParseOptions(newlines_in_values=True),
                 convert_options=arrow_csv.ConvertOptions(
                     column_types=schema,

@@ -7,6 +7,7 @@ import gzip
 import json
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +16,7 @@ from logweir import CountryRule, Layout, from_table, load_ip_ranges, run
 from logweir.__main__ import main
 from logweir.operators.columns import union_of
 from logweir.operators.counters import counted
-from logweir.sources import commits, folders, tables
+from logweir.sources import commits, folders, logs, tables
 from logweir.sources.archives import write_logs
 from logweir.sources.commits import committed
 from logweir.sources.learned import read_answers
@@ -488,3 +489,19 @@ def test_large_archives_come_first(spark, tmp_path):
     rows = read_zip_logs(spark, str(tmp_path))
     order = rows.select("log_date", F.spark_partition_id().alias("task")).distinct().orderBy("task").collect()
     assert [row.log_date for row in order] == [TWO, THREE, ONE]
+
+
+def test_archives_are_decoded_in_small_blocks(tmp_path):
+    """Memory of a task does not follow the archive; a row over one block still comes, once and in its place."""
+    schema = pa.schema([("a", pa.string()), ("b", pa.string())])
+    rows = [(str(i), "x" * 90) for i in range(60_000)]
+    held = []
+    for name, more in (("plain", []), ("long", [("long", "y" * 3_000_000), *rows[:3]])):
+        path = str(tmp_path / f"{name}.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("log.csv", "a,b\n" + "".join(f"{a},{b}\n" for a, b in rows + more))
+        batches = list(logs._batches_of(path, schema, logs.open_path, True))
+        held.append(max(batch.get_total_buffer_size() for batch in batches))
+        got = pa.Table.from_batches(batches)
+        assert list(zip(got["a"].to_pylist(), got["b"].to_pylist())) == rows + more
+    assert held[0] < 4_000_000
