@@ -19,10 +19,18 @@ from logweir.llm.pii import replace_pii
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # A text with less than this share of its words in one language is in none.
 LEAST_SCORE = 0.3
+# Bytes of rows that a task hands to Python at once. Both sides hold a batch, and more than once while it grows or is read.
+BATCH_BYTES = 1 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session hands rows to Python in batches of ``BATCH_BYTES``, whatever it did before."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a language go; the others get the language found as ``lang``."""
+    small_batches(spark)
     named = identify(docs.select(*COLUMNS), learn_language_model(docs))
     kept = named.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     return kept.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
@@ -30,6 +38,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies stays: the one with the smallest id."""
+    small_batches(spark)
     kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
     docs = docs.select(*COLUMNS)
     once = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -38,6 +47,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Surrogates in place of personal data; ``n_chars`` counts anew."""
+    small_batches(spark)
     clean = replace_pii(docs.select(*COLUMNS))
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
@@ -51,6 +61,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return pack(docs, default_tokenizer())
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import sys
 import types
@@ -10,6 +11,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from logweir.sources.workspace import shared_folder
@@ -46,10 +48,18 @@ def process_cache() -> dict:
     return sys.modules.setdefault("_logweir_kept", types.ModuleType("_logweir_kept")).__dict__
 
 
+def give_back() -> None:
+    """Return this process's free memory to the system: a worker stays between tasks, and others need the room."""
+    pa.default_memory_pool().release_unused()
+    # Only glibc keeps what is free, and has the call.
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def chunks(
     batches: Iterable[pd.DataFrame], column: str = "text", limit: int = CHUNK_CHARS
 ) -> Iterator[pd.DataFrame]:
-    """Cut batches into runs of rows with at most ``limit`` characters, or one row."""
+    """Cut batches into runs of rows with at most ``limit`` characters, or one row. Memory goes back at the end."""
     for batch in batches:
         if not len(batch):
             continue
@@ -61,6 +71,8 @@ def chunks(
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.iloc[start:stop].reset_index(drop=True)
             start = stop
+    batch = None
+    give_back()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -27,7 +27,8 @@ import heapq
 import json
 from itertools import cycle, islice
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -162,7 +163,7 @@ def mix(
         (p, *(divmod(sum(flow.values()), words) if words else (0, 0)))
         for (p, words), flow in zip(rows, flows, strict=True)
     ]
-    plan_df = spark.createDataFrame(plan, "_pattern string, rounds long, rest long")
+    plan_df = _few_rows(spark, plan, {"_pattern": pa.string(), "rounds": pa.int64(), "rest": pa.int64()})
     # Room left for each bucket once those before it are taken; the rows are few (see above).
     before = F.sum("words").over(Window.partitionBy("_pattern").orderBy("_bucket")) - F.col("words")
     edges = written(
@@ -200,10 +201,14 @@ def mix(
     chosen = settled.unionByName(_some_of(parts.select(*columns, "rounds", "_pattern", "_same", "_wanted")).select(*columns, "rounds", "_extra"))
     copies = (F.col("rounds") + F.col("_extra")).alias("copies")
     mixed = chosen.select(*columns, copies).withColumn("taken", F.col("copies") * F.col("size"))
-    goal = spark.createDataFrame(
-        [(s, float(t), int(sizes[s])) for s, t in targets.items()], "source string, target double, source_size long"
-    )
-    return mixed, goal
+    goal = [(s, float(t), int(sizes[s])) for s, t in targets.items()]
+    return mixed, _few_rows(spark, goal, {"source": pa.string(), "target": pa.float64(), "source_size": pa.int64()})
+
+
+def _few_rows(spark: SparkSession, rows: list[tuple], columns: dict[str, pa.DataType]) -> DataFrame:
+    """A table of the driver's rows that is part of the plan: from a list, Spark would start Python workers to read it."""
+    values = zip(*rows, strict=True) if rows else ([] for _ in columns)
+    return spark.createDataFrame(pa.table({c: pa.array(v, t) for (c, t), v in zip(columns.items(), values, strict=True)}))
 
 
 def _some_of(parts: DataFrame) -> DataFrame:

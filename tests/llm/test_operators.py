@@ -13,10 +13,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from logweir.llm import near_dup, pii, prefix_forest, warc_zip
+from logweir.llm import common, near_dup, pii, prefix_forest, warc_zip
 from logweir.llm.kneser_ney import ORDER, classify, gram_counts, perplexities, probabilities
 from logweir.llm.language_id import Crf, fit_crf, identify, label_texts, learning_sample, posteriors, words_of
 from logweir.llm.main_text import cut, extract, main_text
@@ -347,6 +348,25 @@ def test_mix_takes_some_of_equal_rows(spark):
     assert seen[0] == seen[1]
 
 
+def test_mix_starts_no_python_workers(spark):
+    docs = spark.createDataFrame([(1, 10, ["a"]), (2, 30, ["b"]), (3, 5, [None])], "doc_id long, size long, sources array<string>")
+    for table in (docs, docs.limit(0)):
+        mixed, targets = mix(table)
+        assert targets.schema.simpleString() == "struct<source:string,target:double,source_size:bigint>"
+        assert "RDD" not in targets._jdf.queryExecution().toString()
+        assert mixed.count() == table.count() and targets.count() == table.count()
+
+
+def test_chunks_give_memory_back_at_the_end(monkeypatch):
+    events = []
+    monkeypatch.setattr(common, "give_back", lambda: events.append("back"))
+    for part in common.chunks([pd.DataFrame({"text": ["abc", None, "defg", "h"]}), pd.DataFrame({"text": []})], limit=5):
+        events.append(len(part))
+    assert events == [2, 2, "back"]
+    monkeypatch.undo()
+    common.give_back()
+
+
 def test_flow_costs_least():
     """Overlapping sources: repetitions cost as little as any whole-number routing."""
     rng = random.Random(4)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
+import pandas as pd
 from logweir.llm.common import written
 
 FOLDER = "/root/testdata/sf0.001"
@@ -37,3 +38,17 @@ def test_stages_take_effect(spark):
 def test_run_gives_pieces(spark):
     out = corpus_pipeline.run(spark, FOLDER)
     assert out.columns[:3] == ["doc_id", "start", "length"] and out.count() > 100
+
+
+def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    def sizes(batches):
+        for b in batches:
+            total = str(b["text"].str.len().sum())
+            yield pd.DataFrame({"doc_id": b["doc_id"], "text": b["text"], "lang": total, "source": None, "n_chars": 0})
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    monkeypatch.setattr(corpus_pipeline, "replace_pii", lambda docs: docs.mapInPandas(sizes, schema))
+    docs = spark.range(200, numPartitions=1).selectExpr("id as doc_id", "repeat('a', 40000) as text", "'en' as lang", "'s' as source", "0L as n_chars")
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    seen = [int(r["lang"]) for r in corpus_pipeline.personal_data(spark, docs, FOLDER).select("lang").collect()]
+    assert len(seen) == 200 and max(seen) <= 1_200_000
