@@ -14,12 +14,13 @@ texts with an equal band share a bucket. A bucket in which few texts are outside
 its largest class gives all pairs of these with texts of other classes. In
 another one every text is compared with a hub only, later with some hubs more;
 a hub is the text that has most company in its buckets, mostly the one in the
-middle. Texts that reach a hub are one class with it. All but the hub go on:
-first to buckets of finer bands, more and longer ones, in which texts that
+middle. Texts that reach a hub are one class with it. All but the hub go on: a
+bucket in which few are outside the largest class by then gives their pairs, the
+texts of another one go to buckets of finer bands, more and longer ones, in which texts that
 merely share a common passage rarely meet, then with other hubs, none of them of
 the bucket's largest class, until one class is left in each. No larger bucket is
 ever expanded into all pairs. Windows that a text of a large bucket shares with no
-other of them bound its similarity to all of these. With the finer bands each text
+other of them bound its similarity to all of these. After the first hub each text
 gets a bitmap, in which each of its windows flips a bit: bits that differ between
 two texts are windows that one of them lacks, at the least. Pairs, and texts of a
 bucket, that these bounds rule out are never compared, and no link is lost by it. Texts that earlier rounds put in one class are not
@@ -57,6 +58,8 @@ BANDS, ROWS = 24, 4
 FINER = 160, 12
 # Texts outside a bucket's largest class whose pairs are all compared.
 _ALL_PAIRS = 12
+# The same once texts have bitmaps: to compare a text with so many costs no more than its rows of finer bands would.
+_ALL_PAIRS_BY_BITS = FINER[0]
 # Hubs of a larger bucket: in the first round, in all later ones.
 _HUBS = (1, 16)
 # Texts whose finer signatures are made in one run of steps.
@@ -209,17 +212,21 @@ def can_link(x: tuple[str, ...], y: tuple[str, ...], threshold: float) -> F.Colu
 
 
 def sketches(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """doc_id, bands (the finer ones), bits (the bitmap) of the ``members`` (doc_id)."""
+    """doc_id, bands (the finer ones of texts that are ``hard``, else none), bits (the bitmap) of the ``members`` (doc_id, hard)."""
 
     def run(batches):
         for part in chunks(batches, limit=_RUN_CHARS):
             for lo in range(0, len(part), _AT_ONCE):
                 some = part.iloc[lo : lo + _AT_ONCE]
                 owner, key, _, _ = shingles(some["text"].tolist())
-                bands, bits = bands_of(owner, key, len(some), *FINER), bitmaps(owner, key, len(some))
-                yield pd.DataFrame({"doc_id": some["doc_id"], "bands": list(bands), "bits": list(bits)})
-
-    rows = texts.join(members.select("doc_id"), "doc_id", "left_semi")
+                hard = some["hard"].to_numpy(bool)
+                of_hard = hard[owner]
+                number = np.cumsum(hard) - 1
+                finer = iter(bands_of(number[owner[of_hard]], key[of_hard], int(hard.sum()), *FINER) if hard.any() else ())
+                bands = [next(finer) if h else np.zeros(0, np.int64) for h in hard]
+                yield pd.DataFrame({"doc_id": some["doc_id"], "bands": bands, "bits": list(bitmaps(owner, key, len(some)))})
+
+    rows = texts.join(members.select("doc_id", "hard"), "doc_id")
     return rows.mapInPandas(run, "doc_id long, bands array<long>, bits array<long>")
 
 
@@ -256,7 +263,7 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
         else:
             buckets = buckets.join(bits, "doc_id")
         buckets = written(buckets, "buckets")
-        is_small = F.col("n") - F.col("most.of_root") <= _ALL_PAIRS
+        is_small = F.col("n") - F.col("most.of_root") <= (_ALL_PAIRS if bits is None else _ALL_PAIRS_BY_BITS)
         small = buckets.where(is_small).withColumn("other", F.col("root") != F.col("most.root"))
         large = buckets.where(~is_small)
         if level == 0:
@@ -296,15 +303,19 @@ def similar_pairs(reps: DataFrame, texts: DataFrame, threshold: float = THRESHOL
         rest = large.select("doc_id", "key", "size", "own")
         rest = rest.join(hubs.select(F.col("hub").alias("doc_id"), "key"), ["doc_id", "key"], "left_anti")
         rest = rest.join(roots, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-        mixed = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        rest = written(rest.join(mixed.select("key"), "key", "left_semi"), "rest")
+        of_root = rest.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+        mixed = of_root.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), (F.sum("n") - F.max("n")).alias("outside"))
+        rest = written(rest.join(mixed.where("classes > 1").select("key", "outside"), "key"), "rest")
         if level == 0:
-            once = rest.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in ("size", "own", "root")))
+            hard = F.col("outside") > _ALL_PAIRS_BY_BITS
+            once = rest.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in ("size", "own", "root")), F.max(hard).alias("hard"))
             once = written(once, "once")
             fine = written(sketches(once, texts), "finer")
             bits = fine.select("doc_id", "bits")
-            rest = fine.select("doc_id", F.posexplode("bands").alias("path", "h")).join(once, "doc_id")
-            rest = rest.withColumn("key", F.xxhash64("path", "h"))
+            # Numbers come to the text, not to each of its bands.
+            finer = fine.select("doc_id", "bands").join(once.where("hard"), "doc_id")
+            finer = finer.select("doc_id", "size", "own", "root", F.posexplode("bands").alias("path", "h"))
+            rest = rest.where(~hard).select(*_MEMBER).union(finer.withColumn("key", F.xxhash64("path", "h")).select(*_MEMBER))
         members = written(rest.select(*_MEMBER), "members")
         level += 1
 

@@ -664,6 +664,36 @@ def test_texts_near_a_large_class_are_not_compared_with_all_of_it(spark, monkeyp
     assert len(compared) > 1 and sum(compared[1:]) < 200
 
 
+@pytest.mark.parametrize("by_bits", [160, 3])
+def test_few_outside_a_large_class_need_no_finer_bands(spark, monkeypatch, by_bits):
+    """Buckets with few texts outside the largest class give these pairs by bitmaps; finer bands are for the others."""
+    rng = random.Random(23)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for at in rng.sample(range(200), 1 if i < 90 else 6):
+            words[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(words)))
+    rows += [(500 + i, t.replace("w7 ", "y ")) for i, t in rows[100:110]]
+    want = slow_classes(rows)
+    assert len(set(want.values())) > 3
+    made = []
+    written = near_dup.written
+
+    def noted(df, label, *more):
+        out = written(df, label, *more)
+        if label == "finer":
+            made.append(out.agg(F.sum(F.size("bands"))).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(near_dup, "written", noted)
+    monkeypatch.setattr(near_dup, "_ALL_PAIRS_BY_BITS", by_bits)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(docs).collect()} == want
+    assert len(made) == 1 and (made[0] == 0) == (by_bits == 160) and made[0] % near_dup.FINER[0] == 0
+
+
 def test_near_duplicates_on_odd_rows(spark, odd):
     out = near_dup.near_duplicates(odd).collect()
     assert len(out) == 8
