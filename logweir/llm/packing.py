@@ -31,8 +31,15 @@ WINDOW = 1024
 CLOSE = 0
 # Texts with characters from here on are encoded whole by the library.
 _TABLE_END = 0x0590
-# Pieces of text whose ids a task remembers.
+# Words and pieces, and characters of them, that a worker remembers; twice as many with those met before.
 _REMEMBERED = 600_000
+_REMEMBERED_CHARS = 12_000_000
+# Signs that end a word; after letters each is a piece.
+_SIGNS = frozenset(".,;:!?")
+# Put before each place where a text is cut; no text that is cut has it.
+_MARK = "\x1f"
+# White space that a cut before its space or line feed would change.
+_RUN = re.compile(r"[ \n](?<=\s.)(?:\s|\Z)", re.S)
 
 
 def _class(kinds: str) -> str:
@@ -53,75 +60,103 @@ def _pieces_pattern() -> re.Pattern:
     )
 
 
-class _Pieces(dict):
-    """Numbers of pieces in the order they are met; ``new`` has those whose ids are not known yet."""
+class _Words(dict):
+    """Ids of words and of pieces, as bytes. A word without any gets an empty row, which ``new`` has until it is filled."""
 
-    def __init__(self):
+    def __init__(self, earlier: dict[str, bytes]):
         super().__init__()
-        self.new: list[str] = []
+        self.earlier = earlier
+        self.new: dict[str, bytearray] = {}
 
-    def __missing__(self, piece: str) -> int:
-        self.new.append(piece)
-        self[piece] = number = len(self)
-        return number
+    def __missing__(self, word: str) -> bytes | bytearray:
+        self[word] = ids = self.earlier.get(word)
+        if ids is None:
+            self[word] = self.new[word] = ids = bytearray()
+        return ids
 
 
 class Encoder:
-    """Ids of texts, with the ids of pieces remembered.
+    """Ids of texts, with the ids of words and pieces remembered.
 
     The vocabulary splits a text into pieces before any merge, and a piece alone
-    gives the ids it gives inside a text. Texts with special tokens, unassigned
-    or further characters go to the library as a whole.
+    gives the ids it gives inside a text. No piece goes on from anything else into
+    white space, so a text is cut before its spaces and line feeds, into words of
+    some pieces each, unless one stands within a run of white space. Texts with
+    special tokens, unassigned or further characters go to the library as a whole,
+    and so do all texts if the vocabulary is not one of byte-level BPE.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        size = max(self.tokenizer.get_vocab().values()) + 1
+        self.kind = "<u4" if size > 1 << 16 else "<u2"
+        self.raw = [i.tobytes() for i in np.arange(size, dtype=self.kind)]
         self.pieces = _pieces_pattern()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         simple = "".join(
             chr(i) for i in range(_TABLE_END) if unicodedata.category(chr(i)) not in ("Cn", "Cs") and not 0x1C <= i <= 0x1F
         )
         self.odd = re.compile(f"[^{re.escape(simple)}]")
-        self.known = _Pieces()
-        self.sizes = np.zeros(0, np.int64)
-        self.starts = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
-
-    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Number of ids of each text, and all ids in a row."""
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, got), np.int64, len(got))
-        return sizes, np.fromiter(chain.from_iterable(got), np.uint32, int(sizes.sum()))
+        # How the vocabulary writes the bytes of each character.
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # Other vocabularies split or change texts in ways of their own.
+        own = self.tokenizer.pre_tokenizer
+        self.published = (
+            self.tokenizer.normalizer is None
+            and isinstance(own, pre_tokenizers.ByteLevel) and own.use_regex and not own.add_prefix_space
+        )
+        self.letters = {ord(c): level.pre_tokenize_str(c)[0][0] for c in simple}
+        self.known = _Words({})
+        self.chars = 0
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _cut(self, text: str) -> list[str]:
+        if _RUN.search(text):
+            return self.pieces.findall(text)
+        return text.replace(" ", f"{_MARK} ").replace("\n", f"{_MARK}\n").split(_MARK)
+
+    def _learn(self) -> None:
+        """New words get their ids by their pieces, and these by the vocabulary's merges."""
+        known, new = self.known, self.known.new
+        if not new:
+            return
+        pieces, words = [], {}
+        for w in new:
+            # Letters after a space or a letter are one piece, a sign after them another.
+            plain = w[:1] == " " or w[:1].isalpha()
+            if plain and w[1:].isalpha():
+                pieces.append(w)
+            elif plain and w[-1] in _SIGNS and w[1:-1].isalpha():
+                words[w] = (w[:-1], w[-1])
+            elif len(parts := self.pieces.findall(w)) == 1:
+                pieces.append(w)
+            else:
+                words[w] = parts
+        pieces += [p for p in set(chain.from_iterable(words.values())) if p not in known and p not in known.earlier]
+        merge, raw = self.tokenizer.model.tokenize, self.raw
+        spelt = _MARK.join(pieces).translate(self.letters).split(_MARK) if pieces else []
+        known.update(zip(pieces, [b"".join([raw[t.id] for t in merge(x)]) for x in spelt], strict=True))
+        known.update((w, b"".join([known[p] for p in parts])) for w, parts in words.items())
+        for w, row in new.items():
+            row += known[w]
+        self.chars += sum(map(len, pieces)) + sum(map(len, words))
+        new.clear()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [i for i, t in enumerate(texts) if not self.odd.search(t) and not any(s in t for s in self.special)]
-        out: dict[int, np.ndarray] = {}
-        if plain:
-            found = [self.pieces.findall(texts[i]) for i in plain]
-            counts = np.fromiter(map(len, found), np.int64, len(found))
-            flat = list(chain.from_iterable(found))
-            if len(self.known) > _REMEMBERED:
-                self.known, self.sizes, self.starts, self.flat = _Pieces(), self.sizes[:0], self.starts[:0], self.flat[:0]
-            at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
-            if self.known.new:
-                sizes, ids = self._whole(self.known.new)
-                self.known.new = []
-                self.starts = np.concatenate([self.starts, len(self.flat) + spans(sizes)[1]])
-                self.sizes = np.concatenate([self.sizes, sizes])
-                self.flat = np.concatenate([self.flat, ids])
-            sizes = self.sizes[at]
-            piece, begins = spans(sizes)
-            ids = self.flat[self.starts[at][piece] + np.arange(len(piece)) - begins[piece]]
-            ends = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum(counts)] if len(flat) else np.zeros(len(found), np.int64)
-            out.update(zip(plain, np.split(ids, ends[:-1]), strict=True))
-        rest = [i for i in range(len(texts)) if i not in out]
-        if rest:
-            sizes, ids = self._whole([texts[i] for i in rest])
-            out.update(zip(rest, np.split(ids, np.cumsum(sizes)[:-1]), strict=True))
-        return [out[i] for i in range(len(texts))]
+        if len(self.known) > _REMEMBERED or self.chars > _REMEMBERED_CHARS:
+            self.known.earlier = {}
+            self.known, self.chars = _Words(self.known), 0
+        plain = [self.published and not self.odd.search(t) and not any(s in t for s in self.special) for t in texts]
+        found = [list(map(self.known.__getitem__, self._cut(t))) for t, p in zip(texts, plain, strict=True) if p]
+        self._learn()
+        ids = (np.frombuffer(b"".join(rows), self.kind) for rows in found)
+        rest = iter(self._whole([t for t, p in zip(texts, plain, strict=True) if not p]))
+        return [next(ids if p else rest) for p in plain]
 
 
 def kept_encoder(path: str) -> Encoder:
@@ -140,17 +175,17 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
 
         encoder = kept_encoder(tokenizer)
         part, before = TaskContext.get().partitionId(), 0
-        wide = encoder.tokenizer.get_vocab_size() > 1 << 16
+        close = np.array(CLOSE, encoder.kind).tobytes()
         for rows in chunks(batches):
-            ids = [np.append(x, np.uint32(CLOSE)) for x in encoder.encode([t or "" for t in rows["text"]])]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            ids = [x.tobytes() + close for x in encoder.encode([t or "" for t in rows["text"]])]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // len(close)
             yield pd.DataFrame(
                 {
                     "part": part,
                     "before": before + spans(sizes)[1],
                     "doc_id": rows["doc_id"].astype("Int64"),
                     "n_tokens": sizes,
-                    "ids": [x.astype("<u4" if wide else "<u2").tobytes() for x in ids],
+                    "ids": ids,
                 }
             )
             before += int(sizes.sum())

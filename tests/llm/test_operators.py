@@ -17,7 +17,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from logweir.llm import common, near_dup, pii, prefix_forest, warc_zip
+from logweir.llm import common, near_dup, packing, pii, prefix_forest, warc_zip
 from logweir.llm.kneser_ney import ORDER, classify, gram_counts, perplexities, probabilities
 from logweir.llm.language_id import Crf, fit_crf, identify, label_texts, learning_sample, posteriors, words_of
 from logweir.llm.main_text import cut, extract, main_text
@@ -399,6 +399,45 @@ def test_encoder_equals_library():
     assert [x.tolist() for x in encoder.encode(texts)] == whole == [x.tolist() for x in encoder.encode(texts)]
 
 
+def test_encoder_cuts_words_where_the_library_does():
+    chars = [chr(i) for i in range(0x3100) if chr(i) not in "ab"]
+    texts = [f"a{c}b {c}a{c} a\n{c}b{c}\na {c} b\n{c}\na  {c}{c}b {c}" for c in chars]
+    texts += ["".join(x) for n in range(6) for x in itertools.product(" \n\ta.'", repeat=n)]
+    encoder = Encoder(default_tokenizer())
+    whole = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in encoder.encode(texts)] == whole
+    assert [x.tolist() for t in texts for x in encoder.encode([t])] == whole
+
+
+def test_encoder_forgets_words_and_learns_them_again(monkeypatch):
+    monkeypatch.setattr(packing, "_REMEMBERED", 8)
+    encoder = Encoder(default_tokenizer())
+    texts = ["".join(f" {a}{b}xq, {a}{b}xq" for b in "pqrst") for a in "mn"] * 3
+    whole = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for t in texts for x in encoder.encode([t])] == whole
+    # At most two texts' words and pieces in each half.
+    assert len(encoder.known) + len(encoder.known.earlier) <= 4 * 11
+    assert not encoder.known.new
+
+
+def test_encoder_of_a_vocabulary_that_changes_texts(tmp_path):
+    from tokenizers import Tokenizer, normalizers
+
+    lower = Tokenizer.from_file(default_tokenizer())
+    lower.normalizer = normalizers.Lowercase()
+    lower.save(str(tmp_path / "lower.json"))
+    texts = ["One TWO, Three", ""]
+    assert [x.tolist() for x in Encoder(str(tmp_path / "lower.json")).encode(texts)] == [lower.encode(t).ids for t in texts]
+
+
+def test_encoder_does_not_ask_the_library_about_plain_words(monkeypatch):
+    encoder = Encoder(default_tokenizer())
+    asked = []
+    monkeypatch.setattr(encoder, "_whole", lambda texts: asked.extend(texts) or Encoder._whole(encoder, texts))
+    encoder.encode([" Señor Ωmega, it's 12,5%\n\nnext  line\t", "日本 x", "<|endoftext|>"])
+    assert asked == ["日本 x", "<|endoftext|>"]
+
+
 @pytest.mark.parametrize("window", [16, 1024])
 def test_pieces_cover_every_id_once(spark, odd, window):
     rng = random.Random(4)
